@@ -1 +1,115 @@
-"""TODO"""
+"""Column tests, freshness and relation comparison."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from checks.inputs import cte, frame, table
+from checks.registry import check
+from checks.staging import STG_CONTACTS, STG_LEADS, STG_SEARCH, staged_contacts, staged_leads
+from leadvault.operators import quality as Q
+from leadvault.plans import staging as S
+from leadvault.plans.layers import source_tests, staging_tests
+
+
+def _rows(table_name, *tests):
+    return [f"SELECT '{kind}' AS test, '{col}' AS column_name, COUNT(*) FILTER ({bad}) AS failures FROM {table_name}"
+            for kind, col, bad in tests]
+
+
+def _dupes(table_name, col):
+    return (f"SELECT 'unique' AS test, '{col}' AS column_name, COUNT(*) AS failures FROM "
+            f"(SELECT {col} FROM {table_name} WHERE {col} IS NOT NULL GROUP BY {col} HAVING COUNT(*) > 1)")
+
+
+@check("dq_not_null", cte("contacts") + " UNION ALL ".join(_rows(
+    "contacts", ("not_null", "id", "id IS NULL"), ("not_null", "email", "email IS NULL"),
+    ("not_null", "cdate", "cdate IS NULL"), ("not_null", "phone", "phone IS NULL"))))
+def dq_not_null(spark, sf):
+    return Q.check_not_null(frame(spark, sf, "contacts"), "id", "email", "cdate", "phone")
+
+
+@check("dq_unique", " UNION ALL ".join([_dupes("orders", "o_orderkey"), _dupes("orders", "o_custkey"),
+                                        _dupes("orders", "o_orderdate")]))
+def dq_unique(spark, sf):
+    return Q.check_unique(table(spark, sf, "orders"), "o_orderkey", "o_custkey", "o_orderdate")
+
+
+@check("dq_accepted_values", """SELECT 'accepted_values' AS test, 'o_orderstatus' AS column_name,
+  COUNT(*) FILTER (o_orderstatus NOT IN ('O', 'F')) AS failures FROM orders""")
+def dq_accepted_values(spark, sf):
+    return Q.check_accepted(table(spark, sf, "orders"), "o_orderstatus", ["O", "F"])
+
+
+_LABELS = "('Completo', 'Parcial', 'Mínimo', 'Incompleto')"
+
+
+def _report(name, tests, dupes=()):
+    parts = _rows(name, *tests) + [_dupes(name, d) for d in dupes]
+    return [f"SELECT '{name}' AS table_name, t.*, CASE WHEN failures > 0 THEN 'warn' ELSE 'pass' END AS status FROM ({p}) t"
+            for p in parts]
+
+
+def _nulls(*cols):
+    return [("not_null", c, f"{c} IS NULL") for c in cols]
+
+
+@check("dq_report", cte("contacts", "leads", "search_rows") + STG_CONTACTS + STG_LEADS + STG_SEARCH
+       + """, stg_search_rows AS (SELECT *, cost_micros / 1000000 AS cost_brl, 'google_ads' AS origem,
+  (impressions > 0 OR clicks > 0 OR cost_micros > 0) AS has_activity FROM typed) """ + " UNION ALL ".join([
+        *_report("stg_contacts", [*_nulls("contact_id", "email", "origem", "qualidade_lead", "has_contact_info"),
+                                  ("accepted_values", "origem", "origem <> 'activecampaign'"),
+                                  ("accepted_values", "qualidade_lead", f"qualidade_lead NOT IN {_LABELS}"),
+                                  ("accepted_values", "has_contact_info", "FALSE")], ["contact_id"]),
+        *_report("stg_leads", [*_nulls("lead_id", "email", "origem", "has_contact_info", "has_valid_email"),
+                               ("accepted_values", "origem", "origem <> 'facebook_ads'"),
+                               ("accepted_values", "has_contact_info", "FALSE"),
+                               ("accepted_values", "has_valid_email", "FALSE")], ["lead_id"]),
+        *_report("stg_search_rows", [*_nulls("customer_id", "campaign_id", "campaign_date", "impressions", "clicks",
+                                             "cost_brl", "origem", "has_activity"),
+                                     ("accepted_values", "origem", "origem <> 'google_ads'"),
+                                     ("accepted_values", "has_activity", "FALSE")])]))
+def dq_report(spark, sf):
+    """All 28 declared tests of the staging models."""
+    frames = {"stg_contacts": staged_contacts(spark, sf), "stg_leads": staged_leads(spark, sf),
+              "stg_search_rows": S.stg_search_rows(frame(spark, sf, "search_rows"))}
+    return Q.dq_report({name: (frames[name], tests) for name, tests in staging_tests().items()})
+
+
+@check("dq_report_sources", cte("contacts", "leads", "search_rows") + " UNION ALL ".join([
+    *_report("leads", [*_nulls("id", "created_time", "_load_date", "_extraction_timestamp", "_source_system"),
+                       ("accepted_values", "_source_system", "_source_system <> 'facebook_ads'")], ["id"]),
+    *_report("search_rows", [*_nulls("customer_id", "campaign_id", "date", "_extraction_timestamp", "_source_system"),
+                             ("accepted_values", "_source_system", "_source_system <> 'google_ads'")]),
+    *_report("contacts", [*_nulls("id", "email", "cdate", "_extraction_timestamp", "_source_system"),
+                          ("accepted_values", "_source_system", "_source_system <> 'activecampaign'")], ["id"])]))
+def dq_report_sources(spark, sf):
+    """All 20 declared tests of the raw sources."""
+    return Q.dq_report({name: (frame(spark, sf, name), tests) for name, tests in source_tests().items()})
+
+
+@check("dq_failing_rows", cte("contacts") + "SELECT id, phone FROM contacts WHERE email IS NULL")
+def dq_failing_rows(spark, sf):
+    """What store-failures keeps for one test, read back from where it was stored."""
+    from leadvault.session import scratch_dir
+    store = scratch_dir(spark, "failures")
+    contacts = frame(spark, sf, "contacts")
+    Q.dq_report({"contacts": (contacts, Q.not_null("email") + Q.unique("id"))}, store)
+    return spark.read.parquet(f"{store}/contacts/not_null_email").select("id", "phone")
+
+
+@check("freshness", """SELECT MAX(ts) AS max_loaded_at, datesub('hour', MAX(ts), TIMESTAMP '2024-02-01') AS age_hours,
+  CASE WHEN datesub('hour', MAX(ts), TIMESTAMP '2024-02-01') > 24 THEN 'warn' ELSE 'pass' END AS status FROM events""")
+def freshness(spark, sf):
+    return Q.freshness(table(spark, sf, "events"), "ts", "2024-02-01")
+
+
+@check("compare_relations", """WITH a AS (SELECT o_custkey, o_orderpriority FROM orders WHERE o_orderkey % 3 <> 0),
+b AS (SELECT o_custkey, o_orderpriority FROM orders WHERE o_orderkey % 3 <> 1),
+shared AS (SELECT COUNT(*) AS n FROM (SELECT * FROM a INTERSECT ALL SELECT * FROM b))
+SELECT n AS in_both, (SELECT COUNT(*) FROM a) - n AS only_left, (SELECT COUNT(*) FROM b) - n AS only_right FROM shared""")
+def compare_relations(spark, sf):
+    orders = table(spark, sf, "orders")
+    cols = ["o_custkey", "o_orderpriority"]
+    return Q.compare_relations(orders.filter("o_orderkey % 3 <> 0").select(cols),
+                               orders.filter("o_orderkey % 3 <> 1").select(cols))

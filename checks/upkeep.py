@@ -1 +1,86 @@
-"""TODO"""
+"""Dataset maintenance."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from checks.inputs import table
+from checks.registry import check
+from leadvault.operators import maintenance as M
+from leadvault.session import scratch_dir
+from leadvault.sources import catalog
+from leadvault.sources.versions import load_log, publish
+
+
+@check("compact", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P'")
+def compact(spark, sf):
+    """Many small files become one; the predicate leaves part of the rows out of the rewrite."""
+    src, dst = scratch_dir(spark, "small"), scratch_dir(spark, "compacted")
+    table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus").repartition(16).write.parquet(src)
+    return M.compact(spark, src, dst, "o_orderstatus <> 'P'")
+
+
+@check("compact_partitioned", "SELECT o_orderkey, o_orderstatus FROM orders")
+def compact_partitioned(spark, sf):
+    src, dst = scratch_dir(spark, "small"), scratch_dir(spark, "compacted")
+    table(spark, sf, "orders").select("o_orderkey", "o_orderstatus").repartition(8).write.partitionBy(
+        "o_orderstatus").parquet(src)
+    return M.compact(spark, src, dst, partition_by=["o_orderstatus"])
+
+
+@check("rewrite_sorted", "SELECT o_orderkey, o_custkey FROM orders")
+def rewrite_sorted(spark, sf):
+    src, dst = scratch_dir(spark, "unsorted"), scratch_dir(spark, "sorted")
+    table(spark, sf, "orders").select("o_orderkey", "o_custkey").repartition(8).write.parquet(src)
+    return M.rewrite_sorted(spark, src, dst, ["o_custkey", "o_orderkey"])
+
+
+@check("file_health")
+def file_health(spark, sf):
+    """File sizes depend on the writer, so there is nothing in SQL to compare with."""
+    out = scratch_dir(spark, "health")
+    table(spark, sf, "lineitem").repartition(8).write.parquet(out)
+    return M.file_health(spark, out, "lineitem")
+
+
+@check("dataset_report")
+def dataset_report(spark, sf):
+    root = scratch_dir(spark, "reported")
+    orders = table(spark, sf, "orders")
+    for day in ("2024-01-01", "2024-01-02"):
+        publish(orders, root, day)
+    return M.dataset_report(spark, root, load_log(spark, root), "2024-01-03")
+
+
+@check("analyze_table", """SELECT CAST(COUNT(*) AS BIGINT) AS row_count FROM lineitem""")
+def analyze_table(spark, sf):
+    """The row count the optimizer recorded."""
+    name = f"lines_{uuid.uuid4().hex[:8]}"
+    table(spark, sf, "lineitem").write.option("path", scratch_dir(spark, "lines")).saveAsTable(name)
+    recorded = catalog.analyze(spark, name)
+    return recorded.select(F.regexp_extract("data_type", r"(\d+) rows", 1).cast("bigint").alias("row_count"))
+
+
+# Orders stand for versions: one dataset per customer, committed at the order date.
+
+
+@check("expiry_candidates", """SELECT version, committed_at, dataset FROM (SELECT o_orderkey AS version,
+  o_orderdate AS committed_at, o_custkey AS dataset, row_number() OVER (PARTITION BY o_custkey
+  ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders)
+  WHERE rn > 5 AND committed_at < TIMESTAMP '1998-06-01' - INTERVAL 7 DAY""")
+def expiry_candidates(spark, sf):
+    versions = table(spark, sf, "orders").selectExpr(
+        "o_orderkey AS version", "o_orderdate AS committed_at", "o_custkey AS dataset")
+    return M.expiry_candidates(versions, "1998-06-01", 7, 5, "dataset").select("version", "committed_at", "dataset")
+
+
+@check("orphan_candidates", """SELECT file_path, modified_at FROM (SELECT 'part-' || o_orderkey AS file_path,
+  o_orderdate AS modified_at FROM orders) WHERE modified_at < TIMESTAMP '1998-06-01' - INTERVAL 3 DAY
+  AND file_path NOT IN (SELECT 'part-' || l_orderkey FROM lineitem)""")
+def orphan_candidates(spark, sf):
+    """Orders stand for files; those with line items are named by a live version."""
+    files = table(spark, sf, "orders").selectExpr("'part-' || o_orderkey AS file_path", "o_orderdate AS modified_at")
+    live = table(spark, sf, "lineitem").selectExpr("'part-' || l_orderkey AS file_path")
+    return M.orphan_candidates(files, live, "1998-06-01", 3)

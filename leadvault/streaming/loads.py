@@ -42,13 +42,21 @@ def upsert_stream(stream: DataFrame, root: str, checkpoint: str, keys, order_by,
      .trigger(availableNow=True).start().awaitTermination())
 
 
+def _watermarked(stream: DataFrame, event_col: str, lateness: str) -> DataFrame:
+    """Stream with a watermark; event times without zone are read in the session's zone, because
+    watermarks exist on zoned times only."""
+    return stream.withColumn(event_col, F.col(event_col).cast("timestamp")).withWatermark(event_col, lateness)
+
+
 def dedupe_stream(stream: DataFrame, pk, event_col: str, lateness: str = "28 days") -> DataFrame:
     """Drop repeats of a key that arrive within the allowed lateness; the first row wins."""
-    return stream.withWatermark(event_col, lateness).dropDuplicatesWithinWatermark(list(pk))
+    deduped = _watermarked(stream, event_col, lateness).dropDuplicatesWithinWatermark(list(pk))
+    return deduped.withColumn(event_col, F.col(event_col).cast(stream.schema[event_col].dataType))
 
 
 def windowed_counts(stream: DataFrame, ts: str, width: str, *dims: str, lateness: str = "1 day") -> DataFrame:
     """Rows per tumbling window (and dimension); run in update mode, counts refresh as rows come."""
-    counted = (stream.withWatermark(ts, lateness).groupBy(F.window(ts, width), *dims)
+    counted = (_watermarked(stream, ts, lateness).groupBy(F.window(ts, width), *dims)
                .agg(F.count(F.lit(1)).alias("n")))
-    return counted.select(F.col("window.start").alias("window_start"), *dims, "n")
+    start = F.col("window.start").cast(stream.schema[ts].dataType)
+    return counted.select(start.alias("window_start"), *dims, "n")
