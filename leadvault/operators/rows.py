@@ -15,6 +15,15 @@ def tag(df: DataFrame, **constants) -> DataFrame:
     return df.withColumns({name: F.lit(value) for name, value in constants.items()})
 
 
+def compute_once(df: DataFrame, columns: dict) -> DataFrame:
+    """Add expensive columns that later filters and projections read instead of re-evaluating.
+
+    Spark moves a filter below the projection it tests and repeats the projected expressions in
+    it, once per mention. A one-row generator is a border such filters do not cross."""
+    packed = F.array(F.struct(*[expr.alias(name) for name, expr in columns.items()]))
+    return df.select("*", F.inline(packed))
+
+
 def require(df: DataFrame, *cols: str) -> DataFrame:
     """Rows in which none of the columns is NULL."""
     return df.dropna(how="any", subset=list(cols))

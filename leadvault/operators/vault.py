@@ -41,15 +41,13 @@ def version_history(rows: DataFrame, key: str, load_date: str, diff: str, end_co
     Only a summary with one row per (key, load date) is ordered per key, so the rows of a hot
     key are spread over its load dates and no task holds them all: within a date, hashes are
     distinct, so just the date's least hash can repeat the previous version, and just its
-    greatest hash lives on to the next date."""
+    greatest hash lives on to the next date. Repeats are dropped by the join with that summary,
+    before whole rows are grouped."""
+    rest = [c for c in rows.columns if c not in (key, load_date, diff)]
     if mode == "first_seen":
-        per_version, dated = [key, diff], [load_date]
-    else:
-        per_version, dated = [key, load_date, diff], []
-    rest = [c for c in rows.columns if c not in per_version + dated]
-    versions = earliest_row(rows, per_version, dated + rest)
+        rows = earliest_row(rows, [key, diff], [load_date, *rest])
 
-    dates = versions.groupBy(key, load_date).agg(F.min(diff).alias("_lo"), F.max(diff).alias("_hi"))
+    dates = rows.groupBy(key, load_date).agg(F.min(diff).alias("_lo"), F.max(diff).alias("_hi"))
     in_order = Window.partitionBy(key).orderBy(load_date)
     if mode == "first_seen":
         dates = dates.withColumn("_repeat", F.lit(None).cast("string"))
@@ -62,9 +60,12 @@ def version_history(rows: DataFrame, key: str, load_date: str, diff: str, end_co
         key, load_date, "_repeat", "_hi", "_next")
 
     end = F.when(F.col(diff) == F.col("_hi"), F.col("_next")).otherwise(F.col(load_date))
-    return (versions.join(alive, [key, load_date])
-            .filter(F.col("_repeat").isNull() | (F.col(diff) != F.col("_repeat")))
-            .select(*rows.columns, end.alias(end_col)))
+    versions = (rows.join(alive, [key, load_date])
+                .filter(F.col("_repeat").isNull() | (F.col(diff) != F.col("_repeat")))
+                .select(*rows.columns, end.alias(end_col)))
+    if mode == "first_seen":
+        return versions
+    return earliest_row(versions, [key, load_date, diff], [*rest, end_col]).select(versions.columns)
 
 
 def load_satellite(batch: DataFrame, key: str, load_date: str, diff: str, target: DataFrame | None = None,

@@ -6,13 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadvault.functions import (
-    blank_to_null, first_usable, flag, flag01, hash_diff, hash_key, non_blank, not_sentinel, person_hash, score,
+    first_usable, flag, flag01, hash_diff, hash_key, non_blank, not_sentinel, person_hash, score,
     strip, tagged_name,
 )
 from leadvault.operators.aggregates import earliest_row, first_seen
 from leadvault.operators.incremental import new_keys, newer_than
 from leadvault.operators.joins import alias_column, spread_join
-from leadvault.operators.rows import require
+from leadvault.operators.rows import compute_once
 from leadvault.operators.vault import load_hub, load_link, load_satellite
 from leadvault.plans.staging import ADS, CRM, SEARCH
 
@@ -24,15 +24,19 @@ SOURCE_ALIASES = {"facebook": ADS, "fb": ADS, "google": SEARCH, "adwords": SEARC
 MATCH_RULES = ("match_by_id", "match_by_name", "match_by_source")
 
 
+def with_person(df: DataFrame, name: str) -> DataFrame:
+    """Staged rows with their identity hash; those without an identity are left out. Staging has
+    stripped the texts, so absent ones are empty."""
+    present = [F.nullif(c, F.lit("")) for c in (name, "email", "telefone")]
+    return compute_once(df, {PERSON: person_hash(*present)}).filter(F.col(PERSON).isNotNull())
+
+
 def contact_person(contacts: DataFrame) -> DataFrame:
-    """Contacts with their identity hash; those without an identity are left out."""
-    identity = person_hash(blank_to_null("nome_completo"), blank_to_null("email"), blank_to_null("telefone"))
-    return require(contacts.withColumn(PERSON, identity), PERSON)
+    return with_person(contacts, "nome_completo")
 
 
 def lead_person(leads: DataFrame) -> DataFrame:
-    identity = person_hash(blank_to_null("nome"), blank_to_null("email"), blank_to_null("telefone"))
-    return require(leads.withColumn(PERSON, identity), PERSON)
+    return with_person(leads, "nome")
 
 
 def hub_person(contacts: DataFrame, target: DataFrame | None = None) -> DataFrame:

@@ -45,8 +45,10 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType | str, par
 
 
 def register_path(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """Make existing parquet files a table."""
+    """Make existing parquet files a table, with the partitions found on disk."""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
     return spark.table(name)
 
 

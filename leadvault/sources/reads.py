@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from leadvault.operators.rows import compute_once
 from leadvault.sources.schemas import ANSWERS
 
 def scan_bronze(spark: SparkSession, path: str, schema: T.StructType | None = None,
@@ -35,11 +36,11 @@ def unpack_answers(df: DataFrame, names: dict, col: str = "field_data") -> DataF
     ``names`` maps output column to question name. The first value of the first answer counts;
     a question not answered gives NULL."""
     as_text = isinstance(df.schema[col].dataType, T.StringType)
-    parsed = df.withColumn("_answers", F.from_json(col, ANSWERS) if as_text else F.col(col))
+    parsed = compute_once(df, {"_answers": F.from_json(col, ANSWERS) if as_text else F.col(col)})
 
     def answer(question):
-        hits = F.filter("_answers", lambda a: a["name"] == question)
-        return F.get(F.get(hits, F.lit(0))["values"], F.lit(0))
+        at = F.array_position("_answers.name", F.lit(question)).cast("int") - 1
+        return F.get(F.get("_answers.values", at), F.lit(0))
 
     return parsed.select(*[c for c in df.columns if c != col],
                          *[answer(q).alias(out) for out, q in names.items()])
