@@ -8,7 +8,6 @@ from checks.inputs import table
 from checks.registry import check
 from leadvault import streaming as ST
 from leadvault.session import scratch_dir
-from leadvault.sources.versions import current
 
 
 def _events_in_files(spark, sf, files=4, copies=1):
@@ -37,8 +36,18 @@ def upsert_stream(spark, sf):
     src, schema = _events_in_files(spark, sf)
     root = scratch_dir(spark, "upserted")
     stream = ST.read_stream(spark, src, schema, files_per_batch=2)
-    ST.upsert_stream(stream, root, scratch_dir(spark, "checkpoint"), ["user_id"], ["ts", "event_id"], "2024-02-01")
-    return current(spark, root)
+    ST.upsert_stream(stream, root, scratch_dir(spark, "checkpoint"), ["user_id"], ["ts", "event_id"])
+    return ST.read_upserts(spark, root, ["user_id"], ["ts", "event_id"], schema)
+
+
+@check("fold_upserts", "SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
+def fold_upserts(spark, sf):
+    """The stored batches folded into one."""
+    src, schema = _events_in_files(spark, sf)
+    root = scratch_dir(spark, "upserted")
+    ST.upsert_stream(ST.read_stream(spark, src, schema, files_per_batch=1), root, scratch_dir(spark, "checkpoint"),
+                     ["user_id"], ["ts", "event_id"])
+    return ST.fold_upserts(spark, root, scratch_dir(spark, "folded"), ["user_id"], ["ts", "event_id"], schema, 99)
 
 
 @check("dedupe_stream", "SELECT * FROM events")
@@ -57,6 +66,5 @@ def windowed_counts(spark, sf):
     src, schema = _events_in_files(spark, sf)
     root = scratch_dir(spark, "counts")
     counts = ST.windowed_counts(ST.read_stream(spark, src, schema, files_per_batch=2), "ts", "1 day", "event_type")
-    ST.upsert_stream(counts, root, scratch_dir(spark, "checkpoint"), ["window_start", "event_type"], ["n"],
-                     "2024-02-01", mode="update")
-    return current(spark, root)
+    ST.upsert_stream(counts, root, scratch_dir(spark, "checkpoint"), ["window_start", "event_type"], ["n"], "update")
+    return ST.read_upserts(spark, root, ["window_start", "event_type"], ["n"], counts.schema)

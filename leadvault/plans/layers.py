@@ -7,12 +7,14 @@ from dataclasses import dataclass
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.utils import AnalysisException
 
 from leadvault.operators.quality import accepted, dq_report, not_null, unique
 from leadvault.plans import campaigns as C
 from leadvault.plans import marts as M
 from leadvault.plans import staging as S
 from leadvault.plans import vault as V
+from leadvault.sources.versions import current, publish
 from leadvault.sources.writes import write_table
 
 STATUS_SCHEMA = "layer string, step string, status string, error string, seconds double"
@@ -20,13 +22,17 @@ STATUS_SCHEMA = "layer string, step string, status string, error string, seconds
 
 @dataclass(frozen=True)
 class Step:
-    """One stored model: a function of the models before it, and the layer it belongs to."""
+    """One stored model: a function of the models before it and of its own stored state.
+
+    ``load`` says how the result is stored: ``rebuild`` replaces the table, ``append`` adds the
+    returned new rows to it, ``version`` publishes a new version of the whole table."""
 
     layer: str
     name: str
-    build: Callable[[dict], DataFrame]
+    build: Callable[[dict, DataFrame | None], DataFrame]
     options: str = "mart"
     sort_by: tuple = ()
+    load: str = "rebuild"
 
 
 # A failure in these layers ends the run; elsewhere it is recorded and the run goes on.
@@ -64,63 +70,86 @@ def source_tests() -> dict:
 
 
 def steps(as_of: str) -> list[Step]:
-    """The models in dependency order. ``t`` holds the inputs and every model built so far."""
+    """The models in dependency order. ``t`` holds the inputs and every model built so far,
+    ``old`` what is stored of the model itself."""
     return [
-        Step("staging", "stg_contacts", lambda t: S.stg_contacts(t["contacts"], as_of)),
-        Step("staging", "stg_leads", lambda t: S.stg_leads(t["leads"])),
-        Step("staging", "stg_search_rows", lambda t: S.stg_search_rows(t["search_rows"])),
-        Step("staging", "stg_ad_campaigns", lambda t: S.stg_ad_campaigns(t["ad_campaigns"], t["insights"])),
-        Step("staging", "stg_search_campaigns", lambda t: S.stg_search_campaigns(t["search_rows"])),
-        Step("silver", "hub_person", lambda t: V.hub_person_multi(t["stg_leads"], t["stg_contacts"]),
-             "hub", (V.PERSON,)),
-        Step("silver", "hub_campaign", lambda t: V.hub_campaign(t["stg_ad_campaigns"], t["stg_search_campaigns"]),
-             "hub", (V.CAMPAIGN,)),
-        Step("silver", "hub_producer", lambda t: V.hub_producer(t["stg_contacts"], as_of), "hub", (V.PRODUCER,)),
-        Step("silver", "link_person_producer", lambda t: V.link_person_producer(t["stg_contacts"]),
-             "link", (V.PERSON_PRODUCER,)),
+        Step("staging", "stg_contacts", lambda t, old: S.stg_contacts(t["contacts"], as_of), "bronze"),
+        Step("staging", "stg_leads", lambda t, old: S.stg_leads(t["leads"]), "bronze"),
+        Step("staging", "stg_search_rows", lambda t, old: S.stg_search_rows(t["search_rows"]), "bronze"),
+        Step("staging", "stg_ad_campaigns", lambda t, old: S.stg_ad_campaigns(t["ad_campaigns"], t["insights"]),
+             "bronze"),
+        Step("staging", "stg_search_campaigns", lambda t, old: S.stg_search_campaigns(t["search_rows"]), "bronze"),
+        Step("silver", "hub_person", lambda t, old: V.hub_person_multi(t["stg_leads"], t["stg_contacts"], old),
+             "hub", (V.PERSON,), "append"),
+        Step("silver", "hub_campaign",
+             lambda t, old: V.hub_campaign(t["stg_ad_campaigns"], t["stg_search_campaigns"], old),
+             "hub", (V.CAMPAIGN,), "append"),
+        Step("silver", "hub_producer", lambda t, old: V.hub_producer(t["stg_contacts"], as_of, old),
+             "hub", (V.PRODUCER,), "append"),
+        Step("silver", "link_person_producer", lambda t, old: V.link_person_producer(t["stg_contacts"], old),
+             "link", (V.PERSON_PRODUCER,), "append"),
         Step("silver", "campaign_match_keys",
-             lambda t: V.campaign_match_keys(t["stg_ad_campaigns"], t["stg_search_campaigns"]), "link"),
+             lambda t, old: V.campaign_match_keys(t["stg_ad_campaigns"], t["stg_search_campaigns"]), "link"),
         Step("silver", "person_campaign_matches",
-             lambda t: V.person_campaign_matches(t["stg_contacts"], t["campaign_match_keys"]), "link", (V.PERSON,)),
-        Step("silver", "sat_person", lambda t: V.sat_person(t["stg_leads"], t["stg_contacts"]),
-             "satellite", (V.PERSON, "load_date")),
-        Step("gold", "campaign_metrics", lambda t: C.campaign_metrics(t["insights"], t["search_rows"])),
-        Step("gold", "campaigns", lambda t: C.campaigns_unified(
+             lambda t, old: V.person_campaign_matches(t["stg_contacts"], t["campaign_match_keys"]), "link", (V.PERSON,)),
+        Step("silver", "sat_person", lambda t, old: V.sat_person(t["stg_leads"], t["stg_contacts"], old),
+             "satellite", (V.PERSON, "load_date"), "version"),
+        Step("gold", "campaign_metrics", lambda t, old: C.campaign_metrics(t["insights"], t["search_rows"])),
+        Step("gold", "campaigns", lambda t, old: C.campaigns_unified(
             t["ads_dim"], t["search_dim"], t["campaign_metrics"], as_of)),
-        Step("gold", "mart_leads", lambda t: M.mart_leads(
+        Step("gold", "mart_leads", lambda t, old: M.mart_leads(
             t["hub_person"], t["sat_person"], t["campaigns"], as_of), "mart", ("lead_key",)),
     ]
 
 
+def stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """A stored table, or None before its first load."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
+
+
+def load_step(spark: SparkSession, step: Step, tables: dict, root: str, as_of: str) -> DataFrame:
+    """Build one model, store it, and return it read back."""
+    path = f"{root}/{step.layer}/{step.name}"
+    if step.load == "version":
+        return publish(step.build(tables, current(spark, path)), path, as_of, layer=step.options)
+    old = stored(spark, path) if step.load == "append" else None
+    df = step.build(tables, old)
+    mode = "append" if step.load == "append" else "overwrite"
+    write_table(df, path, sort_by=step.sort_by, distribute_by=step.sort_by[:1], layer=step.options, mode=mode)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def run_layers(spark: SparkSession, inputs: dict, root: str, as_of: str, extra_steps=()) -> DataFrame:
-    """Build every layer below ``root`` and return one status row per step.
+    """Load every layer below ``root`` and return one status row per step.
 
-    Staging models are lazy frames; stored models are written as tables and read back, so a later
-    step starts from files instead of recomputing what came before, and a lost executor costs
-    only its own tasks. The full person-campaign link is left to its readers
-    (``vault.expand_matches`` over the two stored tables), since it can be far larger than all
-    its inputs."""
+    Each model is written as a table and read back, so a later step starts from files instead of
+    recomputing what came before, and a lost executor costs only its own tasks. Run again on the
+    same root, hubs and links grow by their new rows, and the satellite gets a new version.
+
+    The full person-campaign link is left to its readers (``vault.expand_matches`` over the two
+    stored tables), since it can be far larger than all its inputs."""
     tables, status = dict(inputs), []
-    for step in [*steps(as_of), *extra_steps]:
+
+    def attempt(layer: str, name: str, work: Callable[[], None]) -> None:
         began, error = time.monotonic(), None
         try:
-            df = step.build(tables)
-            if step.layer == "staging":
-                df.createOrReplaceTempView(step.name)
-            else:
-                path = f"{root}/{step.layer}/{step.name}"
-                write_table(df, path, sort_by=step.sort_by, distribute_by=step.sort_by[:1], layer=step.options)
-                df = spark.read.schema(df.schema).parquet(path)
-            tables[step.name] = df
+            work()
         except Exception as failure:  # recorded per step, raised for the layers others rest on
-            if step.layer in CRITICAL:
+            if layer in CRITICAL:
                 raise
-            error = str(failure).splitlines()[0][:500]
-        status.append((step.layer, step.name, "failed" if error else "success", error,
-                       round(time.monotonic() - began, 3)))
-
-    began = time.monotonic()
-    checks = {name: (tables[name], tests) for name, tests in staging_tests().items()}
-    write_table(dq_report(checks), f"{root}/test_failures/report", layer="seed")
-    status.append(("test", "dq_report", "success", None, round(time.monotonic() - began, 3)))
+            error = str(failure).strip().splitlines()[0][:500]
+        status.append((layer, name, "failed" if error else "success", error, round(time.monotonic() - began, 3)))
+
+    for step in [*steps(as_of), *extra_steps]:
+        def load(step=step):
+            tables[step.name] = load_step(spark, step, tables, root, as_of)
+        attempt(step.layer, step.name, load)
+
+    def test():
+        checks = {name: (tables[name], tests) for name, tests in staging_tests().items()}
+        write_table(dq_report(checks), f"{root}/test_failures/report", layer="seed")
+    attempt("test", "dq_report", test)
     return spark.createDataFrame(status, STATUS_SCHEMA)

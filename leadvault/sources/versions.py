@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from leadvault.sources.writes import write_table
+
 LOG_SCHEMA = "version bigint, committed_at timestamp_ntz, path string"
 
 
@@ -31,17 +33,17 @@ def current(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.parquet(f"{root}/version={version}") if version else None
 
 
-def publish(df: DataFrame, root: str, as_of: str, version: int | None = None) -> DataFrame:
+def publish(df: DataFrame, root: str, as_of: str, version: int | None = None, layer: str = "bronze") -> DataFrame:
     """Write the next version and log it; returns it read back, cut off from its lineage.
 
-    A caller that numbers its versions (a stream, by batch) publishes each number once: a number
-    already logged is left as it is."""
+    A caller that numbers its versions publishes each number once: a number already logged is left
+    as it is."""
     spark = df.sparkSession
     newest = newest_version(spark, root)
     number = newest + 1 if version is None else version
     path = f"{root}/version={number}"
     if number > newest:
-        df.write.mode("overwrite").parquet(path)
+        write_table(df, path, layer=layer)
         entry = spark.range(1).select(
             F.lit(number).cast("bigint").alias("version"),
             F.lit(as_of).cast("timestamp_ntz").alias("committed_at"), F.lit(path).alias("path"))

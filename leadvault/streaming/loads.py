@@ -5,9 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from leadvault.operators.incremental import merge_upsert
-from leadvault.sources.versions import current, publish
+from leadvault.operators.incremental import latest_by_key
 
 
 def read_stream(spark: SparkSession, src: str, schema, pattern: str = "*.parquet",
@@ -28,20 +28,35 @@ def ingest_stream(stream: DataFrame, out: str, checkpoint: str, partition_by=())
     writer.start(out).awaitTermination()
 
 
-def upsert_stream(stream: DataFrame, root: str, checkpoint: str, keys, order_by, as_of: str,
-                  mode: str = "append") -> None:
-    """Merge each batch by key into a versioned dataset.
+def upsert_stream(stream: DataFrame, root: str, checkpoint: str, keys, order_by, mode: str = "append") -> None:
+    """Merge a stream by key, merge-on-read: each batch stores its newest row per key below
+    ``<root>/batch=<id>``, and ``read_upserts`` resolves the batches.
 
-    Batch n becomes version n + 1, and a version is published once, so a batch that is run again
-    after a failure changes nothing."""
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        merged = merge_upsert(current(batch.sparkSession, root), batch, keys, order_by)
-        publish(merged, root, as_of, version=batch_id + 1)
+    A batch costs what it holds, not what the target holds. A batch that is run again after a
+    failure replaces its own folder, so nothing is counted twice."""
+    def store(batch: DataFrame, batch_id: int) -> None:
+        newest = latest_by_key(batch, keys, order_by)
+        newest.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
 
-    (stream.writeStream.foreachBatch(merge).outputMode(mode).option("checkpointLocation", checkpoint)
+    (stream.writeStream.foreachBatch(store).outputMode(mode).option("checkpointLocation", checkpoint)
      .trigger(availableNow=True).start().awaitTermination())
 
 
+def read_upserts(spark: SparkSession, root: str, keys, order_by, schema) -> DataFrame:
+    """Current state of an upserted dataset: the newest row per key; at a tie the later batch wins."""
+    batches = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(root)
+    return latest_by_key(batches, keys, [*order_by, "batch"]).drop("batch")
+
+
+def fold_upserts(spark: SparkSession, root: str, dst: str, keys, order_by, schema, last_batch: int) -> DataFrame:
+    """Fold the batches up to ``last_batch`` into one under a new root, as upkeep when there are many."""
+    batches = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(root)
+    old = batches.filter(F.col("batch") <= last_batch)
+    latest_by_key(old, keys, [*order_by, "batch"]).drop("batch").write.mode("overwrite").parquet(
+        f"{dst}/batch={last_batch}")
+    return spark.read.schema(schema).parquet(f"{dst}/batch={last_batch}")
+
+
 def _watermarked(stream: DataFrame, event_col: str, lateness: str) -> DataFrame:
     """Stream with a watermark; event times without zone are read in the session's zone, because
     watermarks exist on zoned times only."""
