@@ -79,10 +79,10 @@ def steps(as_of: str) -> list[Step]:
         Step("staging", "stg_ad_campaigns", lambda t, old: S.stg_ad_campaigns(t["ad_campaigns"], t["insights"]),
              "bronze"),
         Step("staging", "stg_search_campaigns", lambda t, old: S.stg_search_campaigns(t["search_rows"]), "bronze"),
-        Step("silver", "hub_person", lambda t, old: V.hub_person_multi(t["stg_leads"], t["stg_contacts"], old),
+        Step("silver", "hub_person", lambda t, old: V.hub_person_multi(t["stg_leads"], t["stg_contacts"], old, False),
              "hub", (V.PERSON,), "append"),
         Step("silver", "hub_campaign",
-             lambda t, old: V.hub_campaign(t["stg_ad_campaigns"], t["stg_search_campaigns"], old),
+             lambda t, old: V.hub_campaign(t["stg_ad_campaigns"], t["stg_search_campaigns"], old, False),
              "hub", (V.CAMPAIGN,), "append"),
         Step("silver", "hub_producer", lambda t, old: V.hub_producer(t["stg_contacts"], as_of, old),
              "hub", (V.PRODUCER,), "append"),

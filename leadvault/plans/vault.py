@@ -46,22 +46,28 @@ def hub_person(contacts: DataFrame, target: DataFrame | None = None) -> DataFram
     return load_hub(rows, PERSON, target)
 
 
-def hub_person_multi(leads: DataFrame, contacts: DataFrame, target: DataFrame | None = None) -> DataFrame:
-    """New people from leads and CRM: least load date and least source, each on its own."""
+def hub_person_multi(leads: DataFrame, contacts: DataFrame, target: DataFrame | None = None,
+                     use_mark: bool = True) -> DataFrame:
+    """New people from leads and CRM: least load date and least source, each on its own.
+
+    The high-water mark spans both sources, so a source that lags behind the other would lose
+    rows to it; without the mark every row is tried, and known people are still left out."""
     cols = [PERSON, "load_date", "record_source"]
     rows = lead_person(leads).select(cols).unionByName(contact_person(contacts).select(cols))
-    return new_keys(first_seen(newer_than(rows, target, "load_date"), PERSON), target, PERSON)
+    fresh = newer_than(rows, target, "load_date") if use_mark else rows
+    return new_keys(first_seen(fresh, PERSON), target, PERSON)
 
 
 def campaign_key(platform: str) -> Column:
     return hash_key("campaign_id", F.lit(platform))
 
 
-def hub_campaign(ads: DataFrame, search: DataFrame, target: DataFrame | None = None) -> DataFrame:
-    """New campaigns of both platforms."""
+def hub_campaign(ads: DataFrame, search: DataFrame, target: DataFrame | None = None,
+                 use_mark: bool = True) -> DataFrame:
+    """New campaigns of both platforms; ``use_mark`` as for ``hub_person_multi``."""
     def rows(df, platform):
-        return newer_than(df, target, "load_date").select(
-            campaign_key(platform).alias(CAMPAIGN), "load_date", "record_source")
+        fresh = newer_than(df, target, "load_date") if use_mark else df
+        return fresh.select(campaign_key(platform).alias(CAMPAIGN), "load_date", "record_source")
     return load_hub(rows(ads, ADS).unionByName(rows(search, SEARCH)), CAMPAIGN, target)
 
 
