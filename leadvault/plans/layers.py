@@ -90,8 +90,10 @@ def steps(as_of: str) -> list[Step]:
              "link", (V.PERSON_PRODUCER,), "append"),
         Step("silver", "campaign_match_keys",
              lambda t, old: V.campaign_match_keys(t["stg_ad_campaigns"], t["stg_search_campaigns"]), "link"),
-        Step("silver", "person_campaign_matches",
-             lambda t, old: V.person_campaign_matches(t["stg_contacts"], t["campaign_match_keys"]), "link", (V.PERSON,)),
+        Step("silver", "campaign_offers",
+             lambda t, old: V.campaign_offers(t["stg_contacts"], t["campaign_match_keys"]), "link"),
+        Step("silver", "person_campaign_matches", lambda t, old: V.best_matches(t["campaign_offers"]),
+             "link", (V.PERSON,)),
         Step("silver", "sat_person", lambda t, old: V.sat_person(t["stg_leads"], t["stg_contacts"], old),
              "satellite", (V.PERSON, "load_date"), "version"),
         Step("gold", "campaign_metrics", lambda t, old: C.campaign_metrics(t["insights"], t["search_rows"])),

@@ -105,45 +105,58 @@ def campaign_match_keys(ads: DataFrame, search: DataFrame) -> DataFrame:
     return both.select(CAMPAIGN, F.inline(keys)).filter(F.col("match_key").isNotNull()).distinct()
 
 
-def person_campaign_matches(contacts: DataFrame, keys: DataFrame) -> DataFrame:
-    """How each person is matched: the first rule that finds a campaign, and the key it found.
-
-    One row per (person, rule, match_key). This is the link table in short form: the campaigns
-    behind a row are those with the same rule and key, so a person matched to a whole platform
-    is one row here, not one per campaign.
-
-    Every contact offers a key per rule; keys that exist are kept by a semi join, and each
-    person keeps its best rule. That equals trying the rules one after the other on the people
-    still unmatched, without re-reading the contacts per rule."""
+def campaign_offers(contacts: DataFrame, keys: DataFrame) -> DataFrame:
+    """Every key a person's tags offer that some campaign has: one row per (person, rule,
+    match_key) with its earliest load. Offers are folded on the map side, so the many rows of one
+    person or tag shrink before they are shuffled."""
     tagged = contact_person(contacts).filter(non_blank("utm_campaign"))
     offer = lambda rule, col: F.struct(F.lit(rule).alias("rule"), col.alias("match_key"))
     offers = F.array(offer(1, F.col("utm_campaign")), offer(2, F.lower("utm_campaign")),
                      offer(3, alias_column("utm_source", SOURCE_ALIASES)))
     offered = tagged.select(PERSON, "load_date", "record_source", F.inline(offers)).filter(
         F.col("match_key").isNotNull())
-    distinct_offers = earliest_row(offered, [PERSON, "rule", "match_key"], ["load_date", "record_source"])
-    known = distinct_offers.join(keys.select("rule", "match_key").distinct(), ["rule", "match_key"], "left_semi")
-    best = known.groupBy(PERSON).agg(F.min("rule").alias("rule"))
-    return known.join(best, [PERSON, "rule"], "left_semi").select(
+    folded = earliest_row(offered, [PERSON, "rule", "match_key"], ["load_date", "record_source"])
+    return folded.join(keys.select("rule", "match_key").distinct(), ["rule", "match_key"], "left_semi")
+
+
+def best_matches(offers: DataFrame) -> DataFrame:
+    """Each person's offers under the first rule that found anything.
+
+    That equals trying the rules one after the other on the people still unmatched, without
+    reading the contacts once per rule. ``offers`` is used twice; a job at scale stores it first."""
+    best = offers.groupBy(PERSON).agg(F.min("rule").alias("_best"))
+    return offers.join(best, PERSON).filter(F.col("rule") == F.col("_best")).select(
         PERSON, "rule", "match_key", "load_date", "record_source")
 
 
+def person_campaign_matches(contacts: DataFrame, keys: DataFrame) -> DataFrame:
+    """How each person is matched: the first rule that finds a campaign, and the keys it found.
+
+    One row per (person, rule, match_key). This is the link table in short form: the campaigns
+    behind a row are those with the same rule and key, so a person matched to a whole platform
+    is one row here, not one per campaign."""
+    return best_matches(campaign_offers(contacts, keys))
+
+
 def expand_matches(matches: DataFrame, keys: DataFrame, target: DataFrame | None = None,
                    spread: int | None = None) -> DataFrame:
     """The link table in full: one row per person and campaign.
 
-    A platform match stands for every campaign of the platform, so the output can be far larger
-    than the input; heavy keys are therefore spread over many tasks. Rows of the id and platform
-    rules are unique as they come; only a campaign that had several names can repeat under the
-    name rule, so only that part is folded."""
-    named = [(k, f"_{k}") for k in ("rule", "match_key")]
-    side = keys.select(CAMPAIGN, *[F.col(k).alias(a) for k, a in named])
-    cols = [PERSON, CAMPAIGN, "load_date", "record_source"]
-    pairs = lambda m: spread_join(m, side, dict(named), spread).select(cols)
-    once = pairs(matches.filter("rule <> 2"))
-    folded = earliest_row(pairs(matches.filter("rule = 2")), [PERSON, CAMPAIGN], ["load_date", "record_source"])
-    links = once.unionByName(folded).select(hash_key(PERSON, CAMPAIGN).alias(PERSON_CAMPAIGN), *cols)
-    return new_keys(links, target, PERSON_CAMPAIGN)
+    A platform match stands for every campaign of the platform: two keys, and an output far
+    larger than the input, so that join is spread over many tasks. Ids and names are many keys
+    with few campaigns each: plain equi joins. Id and platform rows are unique as they come; only
+    a campaign that had several names can repeat, so only the name rule's part is folded."""
+    def pairs(rule, join):
+        side = keys.filter(F.col("rule") == rule).select(CAMPAIGN, F.col("match_key").alias("_key"))
+        found = join(matches.filter(F.col("rule") == rule), side)
+        return found.select(PERSON, CAMPAIGN, "load_date", "record_source")
+
+    plain = lambda people, side: people.join(side, F.col("match_key") == F.col("_key"))
+    spread_out = lambda people, side: spread_join(people, side, {"match_key": "_key"}, spread)
+    named = earliest_row(pairs(2, plain), [PERSON, CAMPAIGN], ["load_date", "record_source"])
+    links = pairs(1, plain).unionByName(named).unionByName(pairs(3, spread_out))
+    keyed = links.select(hash_key(PERSON, CAMPAIGN).alias(PERSON_CAMPAIGN), *links.columns)
+    return new_keys(keyed, target, PERSON_CAMPAIGN)
 
 
 def link_person_campaign(contacts: DataFrame, ads: DataFrame, search: DataFrame,

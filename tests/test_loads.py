@@ -117,7 +117,7 @@ def test_two_daily_runs(spark, sf):
     counts = []
     for given in (first, inputs, inputs):
         status = layers.run_layers(spark, given, root, "2000-01-01").collect()
-        assert {r["status"] for r in status} == {"success"} and len(status) == 16
+        assert {r["status"] for r in status} == {"success"} and len(status) == 17
         hub = spark.read.parquet(f"{root}/silver/hub_person")
         sat = current(spark, f"{root}/silver/sat_person")
         assert hub.count() == hub.select("pessoa_hash_key").distinct().count()
