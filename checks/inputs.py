@@ -9,7 +9,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadvault.session import configure
+from leadvault.session import configure, scratch_dir
+from leadvault.sources.writes import write_table
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -155,6 +156,13 @@ def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.selectExpr(*d.columns)
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The frame written to a fresh scratch folder and read back, as between two layers."""
+    out = scratch_dir(df.sparkSession, label)
+    write_table(df, out)
+    return df.sparkSession.read.schema(df.schema).parquet(out)
+
+
 def cte(*names: str) -> str:
     """The derived inputs as the head of a DuckDB query."""
     parts = []

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.inputs import cte, frame
+from checks.inputs import cte, frame, stored
 from checks.registry import check
 from checks.staging import (
     CAMPAIGNS, METRICS, STG_CONTACTS, STG_LEADS, rounded, staged_contacts, staged_leads, unified_campaigns,
@@ -43,7 +43,7 @@ mart AS (
 
 
 def mart(spark, sf):
-    leads, contacts = staged_leads(spark, sf), staged_contacts(spark, sf)
+    leads, contacts = stored(staged_leads(spark, sf), "leads"), stored(staged_contacts(spark, sf), "contacts")
     return M.mart_leads(V.hub_person_multi(leads, contacts), V.sat_person(leads, contacts),
                         unified_campaigns(spark, sf), AS_OF)
 
