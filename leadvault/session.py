@@ -27,7 +27,7 @@ RECOMMENDED = {
 def configure(spark: SparkSession, overrides: dict | None = None) -> SparkSession:
     """Apply RECOMMENDED to a running session, leaving alone what the cluster already set."""
     for key, value in RECOMMENDED.items():
-        if spark.conf.get(key, "") == "":
+        if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
     for key, value in (overrides or {}).items():
         spark.conf.set(key, value)
@@ -57,7 +57,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     The cluster names its shared folder in ``spark.checkpoint.dir``. Only a local-mode session,
     where driver and executors are one process, may fall back to a temporary folder.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", "")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")

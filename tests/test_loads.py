@@ -182,3 +182,15 @@ def test_catalog_ddl(spark):
     catalog.rename_table(spark, "t_ddl", "t_ddl2")
     catalog.drop_table(spark, "t_ddl2")
     assert not spark.catalog.tableExists("t_ddl2")
+
+
+def test_configure_a_plain_session(spark):
+    """Settings nobody made are applied, settings the cluster made are kept."""
+    from leadvault.session import RECOMMENDED, configure
+    plain = spark.newSession()
+    for key in RECOMMENDED:
+        plain.conf.unset(key)
+    plain.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    configure(plain)
+    assert plain.conf.get("spark.sql.adaptive.skewJoin.enabled") == "false"
+    assert plain.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
