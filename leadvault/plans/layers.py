@@ -151,7 +151,8 @@ def run_layers(spark: SparkSession, inputs: dict, root: str, as_of: str, extra_s
         attempt(step.layer, step.name, load)
 
     def test():
-        checks = {name: (tables[name], tests) for name, tests in staging_tests().items()}
+        declared = {**source_tests(), **staging_tests()}
+        checks = {name: (tables[name], tests) for name, tests in declared.items()}
         write_table(dq_report(checks), f"{root}/test_failures/report", layer="seed")
     attempt("test", "dq_report", test)
     return spark.createDataFrame(status, STATUS_SCHEMA)

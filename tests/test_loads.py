@@ -124,7 +124,7 @@ def test_two_daily_runs(spark, sf):
         counts.append((hub.count(), sat.count(), sat.filter("load_end_date is null").count()))
     assert counts[0][0] < counts[1][0] and counts[0][1] < counts[1][1]
     assert counts[1] == counts[2]
-    assert spark.read.parquet(f"{root}/test_failures/report").count() == 28
+    assert spark.read.parquet(f"{root}/test_failures/report").count() == 48
 
 
 def test_failing_steps(spark, sf):
