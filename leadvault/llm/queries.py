@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadvault.llm import (langid, maxscore, mixing, packing, reputation, secret_scan, simhash, suffix_dedup, weak_quality)
+from leadvault.llm import (langid, licences, maxscore, mixing, packing, reputation, secret_scan, simhash, suffix_dedup, weak_quality)
 from leadvault.llm.common import ship_code
 from leadvault.session import configure
 
@@ -15,6 +15,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(spark, _table(spark, sf_dir, "documents"))
+
+
 def op3_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(spark, _table(spark, sf_dir, "documents")).drop("kept")
 
@@ -79,7 +83,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op3_suffix, op4_packing, op5_language, op6_secrets, op7_urls, op8_quality,
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_licences, op3_suffix, op4_packing, op5_language, op6_secrets, op7_urls, op8_quality,
                                    op9_search, op10_simhash)}
 
 #: Only where SQL can express the whole result.
