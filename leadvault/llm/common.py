@@ -15,6 +15,8 @@ from leadvault.session import scratch_dir
 #: A word: no space and none of tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
+_GIVE_BACK = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def ship_code(spark: SparkSession) -> SparkSession:
     """Gives this package to the executors' Python workers through Spark, once per application, so that they
@@ -37,9 +39,15 @@ def ship_code(spark: SparkSession) -> SparkSession:
 
 def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Writes `df` to the folder all executors share and reads it back: lineage ends here, so a
-    lost executor repeats only the tasks that read this table, never what came before."""
+    lost executor repeats only the tasks that read this table, never what came before. The shuffle files
+    that went into it are no longer needed and given back."""
     path = scratch_dir(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(_GIVE_BACK, "false")
+    spark.conf.set(_GIVE_BACK, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_GIVE_BACK, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
