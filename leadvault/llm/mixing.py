@@ -117,7 +117,7 @@ def mix(spark: SparkSession, docs: DataFrame, weights=WEIGHTS, most: int = MOST,
         "slot", "turn", "number", F.expr("turn % blocks").alias("block"),
         F.expr("quota - (turn div blocks) * source_size").alias("stop"))  # words of this round through the source
     words = F.least("to", "stop") - F.col("from")
-    mixed = slots.join(parts, ["number", "block"]).where(words > 0).select(
+    mixed = slots.join(parts.hint("merge"), ["number", "block"]).where(words > 0).select(
         "slot", "turn", "number", "source", "doc_id", "at", (F.col("from") - F.col("at")).alias("start"), words.alias("words"))
     mixed = stored(spark, mixed, "mix")
     taken = mixed.groupBy("number", "at").agg(F.sum("words").alias("taken"))

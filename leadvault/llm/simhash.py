@@ -95,7 +95,8 @@ def links(spark: SparkSession, fps: DataFrame, bits: int = MAX_BITS, pairwise: i
             "fp", F.expr("if(last = 64, point, point ^ shiftleft(1L, last))").alias("point"), "last")
     points = points.select("fp", "point")
     least = points.groupBy("point").agg(F.min("fp").alias("a"), F.max("fp").alias("top")).where("a < top").select("point", "a")
-    through = points.join(least, "point").where("fp <> a").select("a", F.col("fp").alias("b"))
+    # Spark can't foresee how many points there are: no broadcast here.
+    through = points.join(least.hint("merge"), "point").where("fp <> a").select("a", F.col("fp").alias("b"))
     return near.unionByName(through).distinct()
 
 
