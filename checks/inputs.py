@@ -107,7 +107,7 @@ INSIGHTS = Derived("lineitem", (
     "CAST(l_quantity AS BIGINT) * (l_linenumber - 1) AS clicks",
     "CAST(l_extendedprice AS DECIMAL(15,2)) AS spend",
     "CAST(l_quantity * 60 AS BIGINT) AS reach",
-), where="l_partkey % 4 = 0")
+), where="l_partkey % 2 = 0")
 
 SEARCH_ROWS = Derived("lineitem", (
     "'cust' || CAST(l_suppkey % 4 AS STRING) AS customer_id", "CAST(l_partkey AS STRING) AS campaign_id",

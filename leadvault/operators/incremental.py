@@ -42,12 +42,15 @@ def lookback_replace(target: DataFrame, new: DataFrame, date_col: str, days: int
     """Replace, by key, what was re-read for the last ``days`` days.
 
     Target rows inside the window give way to re-read rows of the same key; rows before the
-    window are passed through without a join."""
+    window are passed through without a join. Rows without a date count as inside, on both sides.
+    Rows of ``new`` from before the window are no part of the re-read and left out; of several
+    re-read rows per key the newest counts."""
     since = F.date_sub(F.lit(as_of).cast("date"), days)
     keys = _as_list(pk)
-    reread = new.filter(F.col(date_col) >= since)
-    before = target.filter(F.col(date_col) < since)
-    inside = target.filter(F.col(date_col) >= since).join(reread.select(*keys).distinct(), keys, "left_anti")
+    inside_window = F.coalesce(F.col(date_col) >= since, F.lit(True))
+    reread = latest_of(new.filter(inside_window), keys, date_col)
+    before = target.filter(~inside_window)
+    inside = target.filter(inside_window).join(reread.select(*keys).distinct(), keys, "left_anti")
     return before.unionByName(inside).unionByName(reread, allowMissingColumns=True)
 
 

@@ -30,16 +30,21 @@ def files_for(size_bytes: int, target_mb: int) -> int:
 
 def compact(spark: SparkSession, src: str, dst: str, where: str | None = None, target_mb: int = 128,
             partition_by=()) -> DataFrame:
-    """Rewrite small files to about the target size, optionally only rows matching a predicate.
+    """Rewrite small files to about the target size. Every row is kept; a predicate picks the rows that are
+    gathered into large files, the others are carried over as they lie.
 
     The number of output files follows from the stored size. Partitioned data is gathered by
     partition and dealt over enough tasks that a heavy partition is not one task's work."""
     n = files_for(total_bytes(spark, src), target_mb)
-    df = rows_where(spark.read.parquet(src), where)
+    whole = spark.read.parquet(src)
+    df = rows_where(whole, where)
     if partition_by:
         df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(dst)
     else:
         df.repartition(n).write.mode("overwrite").parquet(dst)
+    if where is not None:
+        rest = whole.filter(~F.coalesce(F.expr(where), F.lit(False)))
+        rest.write.mode("append").partitionBy(*partition_by).parquet(dst)
     return spark.read.parquet(dst)
 
 

@@ -60,7 +60,8 @@ def version_history(rows: DataFrame, key: str, load_date: str, diff: str, end_co
         key, load_date, "_repeat", "_hi", "_next")
 
     end = F.when(F.col(diff) == F.col("_hi"), F.col("_next")).otherwise(F.col(load_date))
-    versions = (rows.join(alive, [key, load_date])
+    alive = alive.withColumnsRenamed({key: "_key", load_date: "_at"})  # a load date may be NULL: the oldest
+    versions = (rows.join(alive, (F.col(key) == F.col("_key")) & F.col(load_date).eqNullSafe(F.col("_at")))
                 .filter(F.col("_repeat").isNull() | (F.col(diff) != F.col("_repeat")))
                 .select(*rows.columns, end.alias(end_col)))
     if mode == "first_seen":
@@ -100,20 +101,21 @@ def snapshot_scd2(source: DataFrame, keys, updated_at: str, target: DataFrame |
 
 def changelog(old: DataFrame, new: DataFrame, keys) -> DataFrame:
     """Row changes between two states that are unique on their keys: ``insert``, ``delete``, and
-    ``update_before`` / ``update_after`` for rows whose other columns differ."""
+    ``update_before`` / ``update_after`` for rows whose other columns differ (NULL is a value of its own)."""
     keys = _as_list(keys)
     rest = [c for c in new.columns if c not in keys]
     pack = F.struct(*rest)
 
     def side(df, name):
-        return df.select(*keys, pack.alias(name), hash_diff(*rest).alias(f"{name}_hash"))
+        return df.select(*keys, pack.alias(name), F.lit(True).alias(f"in_{name}"))
 
     both = side(old, "before").join(side(new, "after"), keys, "full")
-    both = both.filter(~F.col("before_hash").eqNullSafe(F.col("after_hash")))
+    same = F.col("in_before").isNotNull() & F.col("in_after").isNotNull() & F.col("before").eqNullSafe(F.col("after"))
+    both = both.filter(~same)
     step = lambda name, row: F.struct(F.lit(name).alias("change_type"), row.alias("row"))
     before, after = F.col("before"), F.col("after")
-    steps = (F.when(F.col("before_hash").isNull(), F.array(step("insert", after)))
-             .when(F.col("after_hash").isNull(), F.array(step("delete", before)))
+    steps = (F.when(F.col("in_before").isNull(), F.array(step("insert", after)))
+             .when(F.col("in_after").isNull(), F.array(step("delete", before)))
              .otherwise(F.array(step("update_before", before), step("update_after", after))))
     out = both.select(*keys, F.explode(steps).alias("s"))
     return out.select("s.change_type", *keys, *[F.col(f"s.row.{c}").alias(c) for c in rest])

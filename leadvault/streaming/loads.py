@@ -49,12 +49,14 @@ def read_upserts(spark: SparkSession, root: str, keys, order_by, schema) -> Data
 
 
 def fold_upserts(spark: SparkSession, root: str, dst: str, keys, order_by, schema, last_batch: int) -> DataFrame:
-    """Fold the batches up to ``last_batch`` into one under a new root, as upkeep when there are many."""
+    """Fold the batches up to ``last_batch`` into one under a new root, as upkeep when there are many; later
+    batches are carried over. Returns the current state of the new root."""
     batches = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(root)
     old = batches.filter(F.col("batch") <= last_batch)
     latest_by_key(old, keys, [*order_by, "batch"]).drop("batch").write.mode("overwrite").parquet(
         f"{dst}/batch={last_batch}")
-    return spark.read.schema(schema).parquet(f"{dst}/batch={last_batch}")
+    batches.filter(F.col("batch") > last_batch).write.mode("append").partitionBy("batch").parquet(dst)
+    return read_upserts(spark, dst, keys, order_by, schema)
 
 
 def _watermarked(stream: DataFrame, event_col: str, lateness: str) -> DataFrame:
@@ -64,13 +66,15 @@ def _watermarked(stream: DataFrame, event_col: str, lateness: str) -> DataFrame:
 
 
 def dedupe_stream(stream: DataFrame, pk, event_col: str, lateness: str = "28 days") -> DataFrame:
-    """Drop repeats of a key that arrive within the allowed lateness; the first row wins."""
-    deduped = _watermarked(stream, event_col, lateness).dropDuplicatesWithinWatermark(list(pk))
+    """Drop repeats of a key that arrive within the allowed lateness; the first row wins. Rows that come
+    later than that are dropped."""
+    deduped = _watermarked(stream, event_col, lateness).dropDuplicatesWithinWatermark([pk] if isinstance(pk, str) else list(pk))
     return deduped.withColumn(event_col, F.col(event_col).cast(stream.schema[event_col].dataType))
 
 
 def windowed_counts(stream: DataFrame, ts: str, width: str, *dims: str, lateness: str = "1 day") -> DataFrame:
-    """Rows per tumbling window (and dimension); run in update mode, counts refresh as rows come."""
+    """Rows per tumbling window (and dimension); run in update mode, counts refresh as rows come.
+    Rows more than ``lateness`` late are dropped."""
     counted = (_watermarked(stream, ts, lateness).groupBy(F.window(ts, width), *dims)
                .agg(F.count(F.lit(1)).alias("n")))
     start = F.col("window.start").cast(stream.schema[ts].dataType)

@@ -9,6 +9,7 @@ from checks.inputs import frame, table
 from checks.staging import daily_insights
 from leadvault.operators import maintenance as M
 from leadvault.operators import quality as Q
+from leadvault.streaming import loads as ST
 from leadvault.operators.incremental import lookback_replace, merge_upsert, newer_than
 from leadvault.plans import layers
 from leadvault.session import scratch_dir
@@ -106,6 +107,28 @@ def test_lookback_keeps_what_was_not_reread(spark):
     assert got == {1: "a", 2: "b", 3: "a"}
 
 
+def test_lookback_keeps_undated_rows(spark):
+    target = spark.createDataFrame([(1, None, "a"), (2, None, "a")], "id int, d date, v string")
+    new = spark.createDataFrame([(2, None, "b"), (2, None, "b")], "id int, d date, v string")
+    got = sorted((r["id"], r["v"]) for r in lookback_replace(target, new, "d", 28, "id", "2024-01-31").collect())
+    assert got == [(1, "a"), (2, "b")]
+
+
+def test_compaction_with_predicate_keeps_every_row(spark, tmp_path):
+    src, dst = str(tmp_path / "src"), str(tmp_path / "dst")
+    spark.createDataFrame([(1, "x"), (2, None), (3, "y")], "id int, s string").repartition(3).write.parquet(src)
+    assert sorted(r["id"] for r in M.compact(spark, src, dst, "s = 'x'").collect()) == [1, 2, 3]
+
+
+def test_fold_keeps_later_batches(spark, tmp_path):
+    root, dst = str(tmp_path / "root"), str(tmp_path / "dst")
+    for batch, rows in enumerate([[(1, 1)], [(2, 1), (1, 2)], [(3, 1), (2, 5)]]):
+        spark.createDataFrame(rows, "k int, v int").write.parquet(f"{root}/batch={batch}")
+    schema = spark.createDataFrame([], "k int, v int").schema
+    got = ST.fold_upserts(spark, root, dst, ["k"], ["v"], schema, 1)
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 2), (2, 5), (3, 1)]
+
+
 def test_two_daily_runs(spark, sf):
     """The second run over grown inputs adds to hubs and closes versions; repeating it adds nothing."""
     names = ("contacts", "leads", "search_rows", "ad_campaigns", "ads_dim", "search_dim")

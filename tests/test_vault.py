@@ -168,6 +168,19 @@ def test_campaign_with_two_names_links_once(spark):
     assert [str(r["load_date"]) for r in links] == ["2024-01-01"]
 
 
+def test_changelog_compares_values(spark):
+    old = spark.createDataFrame([(1, None, "c"), (2, "a|b", "c"), (3, "x", "y")], "id int, p string, q string")
+    new = spark.createDataFrame([(1, "", "c"), (2, "a", "b|c"), (3, "x", "y")], "id int, p string, q string")
+    got = sorted((r["id"], r["change_type"]) for r in dv.changelog(old, new, "id").collect())
+    assert got == [(1, "update_after"), (1, "update_before"), (2, "update_after"), (2, "update_before")]
+
+
+def test_history_keeps_rows_without_load_date(spark):
+    rows = spark.createDataFrame([("k", None, "a"), ("k", "2024-01-02", "b")], "key string, load_date string, diff string")
+    got = sorted((r["diff"], r["load_end_date"]) for r in dv.version_history(rows, "key", "load_date", "diff").collect())
+    assert got == [("a", "2024-01-02"), ("b", None)]
+
+
 def test_changelog_of_nulls(spark):
     schema = "id int, a string, b int"
     old = spark.createDataFrame([(1, "x", 1), (2, None, 2), (3, "z", 3)], schema)
