@@ -90,9 +90,9 @@ QUERIES = {f.__name__: f for f in (op1_mixing, op2_licences, op3_suffix, op4_pac
 ORACLES = {
     "op9_search": """
         WITH v AS (
-            SELECT DISTINCT vec_id, list_transform(embedding, x -> floor(x::DOUBLE * 64)::BIGINT) AS w FROM embeddings
+            SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 64)::BIGINT) AS w FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         s AS (
             SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.w::DOUBLE[], c.w::DOUBLE[])::BIGINT AS score
             FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
