@@ -27,11 +27,12 @@ def _loaded_since(df: DataFrame, start_date: str) -> DataFrame:
 
 
 def _stamp(name: str) -> Column:
-    return F.col(name).cast("timestamp_ntz")
+    """Malformed times are NULL; they do not end the run."""
+    return F.col(name).try_cast("timestamp_ntz")
 
 
 def _cents(name: str) -> Column:
-    return F.col(name).cast("decimal(15,2)").cast("double") / 100
+    return F.col(name).try_cast("decimal(15,2)").cast("double") / 100
 
 
 def stg_contacts(bronze: DataFrame, as_of: str, start_date: str = START_DATE) -> DataFrame:
@@ -56,7 +57,7 @@ def stg_contacts(bronze: DataFrame, as_of: str, start_date: str = START_DATE) ->
         _stamp("cdate").alias("created_timestamp"),
         _stamp("udate").alias("updated_timestamp"),
         _stamp("_extraction_timestamp").alias("extraction_timestamp"),
-        F.col("_load_date").cast("date").alias("load_date"),
+        F.col("_load_date").try_cast("date").alias("load_date"),
         F.coalesce(F.col("_f")["lead_source"], F.lit("unknown")).alias("lead_source"),
         or_blank("utm_campaign").alias("utm_campaign"),
         or_blank("utm_source").alias("utm_source"),
@@ -125,7 +126,7 @@ def stg_ad_campaigns(campaigns: DataFrame, insights: DataFrame, start_date: str
         _cents("daily_budget").alias("daily_budget_brl"), _cents("lifetime_budget").alias("lifetime_budget_brl"),
         _cents("budget_remaining").alias("budget_remaining_brl"),
         _stamp("_extraction_timestamp").alias("extraction_timestamp"),
-        F.col("_load_date").cast("date").alias("load_date"),
+        F.col("_load_date").try_cast("date").alias("load_date"),
     )
     sums = {"impressions": "total_impressions", "clicks": "total_clicks", "spend": "total_spend_brl",
             "reach": "total_reach"}
@@ -151,14 +152,14 @@ def stg_search_rows(rows: DataFrame, start_date: str = START_DATE) -> DataFrame:
     """Search-ad rows, typed: one per campaign and day (and whatever the source splits by)."""
     typed = _loaded_since(rows, start_date).select(
         "customer_id", "campaign_id", "campaign_name",
-        F.col("impressions").cast("bigint").alias("impressions"),
-        F.col("clicks").cast("bigint").alias("clicks"),
-        F.col("cost_micros").cast("bigint").alias("cost_micros"),
-        F.col("conversions").cast("decimal(10,2)").alias("conversions"),
-        F.col("conversion_value").cast("decimal(10,2)").alias("conversion_value"),
-        F.col("date").cast("date").alias("campaign_date"),
+        F.col("impressions").try_cast("bigint").alias("impressions"),
+        F.col("clicks").try_cast("bigint").alias("clicks"),
+        F.col("cost_micros").try_cast("bigint").alias("cost_micros"),
+        F.col("conversions").try_cast("decimal(10,2)").alias("conversions"),
+        F.col("conversion_value").try_cast("decimal(10,2)").alias("conversion_value"),
+        F.col("date").try_cast("date").alias("campaign_date"),
         _stamp("_extraction_timestamp").alias("extraction_timestamp"),
-        F.col("_load_date").cast("date").alias("load_date"),
+        F.col("_load_date").try_cast("date").alias("load_date"),
     )
     return typed.withColumns({
         "cost_brl": F.col("cost_micros").cast("double") / 1_000_000,

@@ -6,10 +6,12 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from checks.inputs import frame
 from checks.staging import staged_ads, staged_contacts, staged_leads, staged_search
 from leadvault.operators import vault as dv
 from leadvault.operators import windows as W
 from leadvault.operators.joins import spread_join
+from leadvault.plans import staging as S
 from leadvault.plans import vault as V
 
 
@@ -188,3 +190,14 @@ def test_changelog_of_nulls(spark):
     got = sorted(tuple(r) for r in dv.changelog(old, new, "id").collect())
     assert got == [("delete", 3, "z", 3), ("insert", 4, None, None), ("update_after", 2, "y", 2),
                    ("update_before", 2, None, 2)]
+
+
+def test_malformed_times_and_numbers_become_null_and_keep_their_rows(spark):
+    sf = "/root/testdata/sf0.001"
+    contacts = frame(spark, sf, "contacts")
+    broken = contacts.withColumn("cdate", F.when(F.col("id") == "1", F.lit("0000-00-00 00:00:00")).otherwise(F.col("cdate")))
+    assert S.stg_contacts(broken, "2023-05-01").count() == S.stg_contacts(contacts, "2023-05-01").count()
+    assert S.stg_contacts(broken, "2023-05-01").where("contact_id = '1' AND created_timestamp IS NOT NULL").count() == 0
+    rows = frame(spark, sf, "search_rows").withColumns({"clicks": F.lit("n/a"), "date": F.lit("yesterday")})
+    typed = S.stg_search_rows(rows)
+    assert typed.where("clicks IS NULL AND campaign_date IS NULL").count() == rows.count()
