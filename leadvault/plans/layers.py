@@ -86,7 +86,7 @@ def steps(as_of: str) -> list[Step]:
              "hub", (V.CAMPAIGN,), "append"),
         Step("silver", "hub_producer", lambda t, old: V.hub_producer(t["stg_contacts"], as_of, old),
              "hub", (V.PRODUCER,), "append"),
-        Step("silver", "link_person_producer", lambda t, old: V.link_person_producer(t["stg_contacts"], old),
+        Step("silver", "link_person_producer", lambda t, old: V.link_person_producer(t["stg_contacts"], old, False),
              "link", (V.PERSON_PRODUCER,), "append"),
         Step("silver", "campaign_match_keys",
              lambda t, old: V.campaign_match_keys(t["stg_ad_campaigns"], t["stg_search_campaigns"]), "link"),

@@ -84,9 +84,12 @@ def hub_producer(contacts: DataFrame, as_of: str, target: DataFrame | None = Non
     return new_keys(rows, target, PRODUCER)
 
 
-def link_person_producer(contacts: DataFrame, target: DataFrame | None = None) -> DataFrame:
-    """New person-producer links."""
-    rows = contact_person(newer_than(contacts, target, "load_date")).withColumn("_producer", producer_name())
+def link_person_producer(contacts: DataFrame, target: DataFrame | None = None,
+                         use_mark: bool = True) -> DataFrame:
+    """New person-producer links. The mark loses contacts that arrive late or on the day of the mark;
+    without it every row is tried, and known links are still left out."""
+    fresh = newer_than(contacts, target, "load_date") if use_mark else contacts
+    rows = contact_person(fresh).withColumn("_producer", producer_name())
     pairs = rows.filter(not_sentinel("_producer")).select(
         PERSON, hash_key("_producer", upper=True).alias(PRODUCER), "load_date", "record_source")
     return load_link(pairs, PERSON, PRODUCER, PERSON_PRODUCER, target)

@@ -201,3 +201,12 @@ def test_malformed_times_and_numbers_become_null_and_keep_their_rows(spark):
     rows = frame(spark, sf, "search_rows").withColumns({"clicks": F.lit("n/a"), "date": F.lit("yesterday")})
     typed = S.stg_search_rows(rows)
     assert typed.where("clicks IS NULL AND campaign_date IS NULL").count() == rows.count()
+
+
+def test_late_and_same_day_contacts_find_their_producer_link(spark):
+    contacts = staged_contacts(spark, "/root/testdata/sf0.001")
+    whole = {r[0] for r in V.link_person_producer(contacts).select(V.PERSON_PRODUCER).collect()}
+    early = V.link_person_producer(contacts.where("load_date = DATE '2023-04-01'"))
+    late = V.link_person_producer(contacts, early, False)
+    first, then = ({r[0] for r in df.select(V.PERSON_PRODUCER).collect()} for df in (early, late))
+    assert then and not first & then and first | then == whole
