@@ -1,11 +1,12 @@
-"""Every registered query against its SQL counterpart, and the shape of every plan."""
+"""Every query of the marketing model against its SQL counterpart, and the shape of every plan."""
 
 import pytest
 
+import checks
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.compare import differences, duck
 
-QUERIES, SQLS = queries(), oracle_sql()
+QUERIES, SQLS = checks.QUERIES, checks.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -26,6 +27,10 @@ def test_query(spark, sf, con, name):
         assert df.count() > 0
 
 
+def test_all_of_them_are_registered():
+    assert set(QUERIES) <= set(queries()) and set(SQLS) <= set(oracle_sql()) <= set(queries())
+
+
 def test_every_sql_has_a_query():
     assert set(SQLS) <= set(QUERIES)
     assert set(QUERIES) - set(SQLS) == {"run_layers", "file_health", "dataset_report"}
