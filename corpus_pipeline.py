@@ -24,7 +24,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group: the one with the smallest doc_id."""
+    """One document of each SimHash group: the one with the smallest doc_id, see `keep_one`."""
     ship_code(configure(spark))
     return simhash.keep_one(spark, docs)
 

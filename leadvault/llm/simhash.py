@@ -19,7 +19,7 @@ from itertools import combinations, islice
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadvault.llm.common import connected, stored
@@ -50,15 +50,17 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long, one row per row of `docs`."""
+def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, copy: Column | None = None) -> DataFrame:
+    """(doc_id, fp): the fingerprint as a signed long, one row per row of `docs`; with `copy`, a long, as a third column."""
+    names = ["doc_id", "fp"] + ([] if copy is None else ["copy"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.fromiter((fingerprint(t.as_py(), words) for t in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64)), *batch.columns[2:]], names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    read = docs.select(F.col("doc_id").cast("long"), "text", *([] if copy is None else [copy.alias("copy")]))
+    return read.mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
 def _masks(blocks: int, bits: int) -> list[int]:
@@ -100,6 +102,13 @@ def links(spark: SparkSession, fps: DataFrame, bits: int = MAX_BITS, pairwise: i
     return near.unionByName(through).distinct()
 
 
+def _rooted(spark: SparkSession, own: DataFrame, bits: int) -> DataFrame:
+    """(fp, first, root) per fingerprint of `own` (doc_id, fp): its smallest doc_id and the fingerprint that names its group."""
+    nodes = stored(spark, own.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
+    roots = connected(spark, links(spark, nodes.select("fp"), bits))
+    return nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = SHINGLE_WORDS, bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, fp, component_id) for every row of `docs` (doc_id, text, others ignored).
 
@@ -107,19 +116,23 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = SHINGLE_W
     have fingerprint 0 and are linked like any other; repeated rows are copies of each other; a null
     doc_id is never a component's id unless all its rows have none. An empty table gives no rows."""
     own = stored(spark, fingerprints(docs, words), "fingerprints")
-    nodes = stored(spark, own.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    roots = connected(spark, links(spark, nodes.select("fp"), bits))
-    rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(spark, own, bits)
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.join(smallest, "root").select("fp", "component_id")
     return own.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, words: int = SHINGLE_WORDS, bits: int = MAX_BITS) -> DataFrame:
-    """The rows of `docs` whose doc_id is the smallest of its group, once each; all columns stay.
-    Rows without doc_id have no say in who stays: they go if their group has a row with one."""
-    found = near_duplicates(spark, docs, words, bits)
-    stay = found.where("doc_id <=> component_id").select("doc_id").distinct()
-    first = docs.dropDuplicates(["doc_id"])
-    return first.join(stay.withColumnRenamed("doc_id", "_stay"), F.col("doc_id").eqNullSafe(F.col("_stay")), "left_semi")
+    """One row of `docs` per group: that with the smallest doc_id, rows without one last; all columns stay.
+    Rows that share a doc_id, or have none, are judged by their texts: those of several groups stay in each, of
+    several in one group the text with the smallest hash does. Of rows repeated exactly one stays, and of rows that
+    differ in other columns only, any one."""
+    copy = F.xxhash64("text", F.isnull("text"))  # tells texts under one doc_id apart
+    own = stored(spark, fingerprints(docs, words, copy), "fingerprints")
+    rooted = _rooted(spark, own, bits).select("fp", "root")
+    by_fp = own.groupBy("fp").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "copy")).alias("least"))
+    stay = by_fp.join(rooted, "fp").groupBy("root").agg(F.min("least").alias("least")).select(
+        F.col("least.doc_id").alias("_doc_id"), F.col("least.copy").alias("_least"))
+    kept = docs.withColumn("_copy", copy).join(
+        stay, F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id")) & (F.col("_copy") == F.col("_least")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_copy"]).drop("_copy")

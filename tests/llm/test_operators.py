@@ -14,6 +14,7 @@ import corpus_pipeline
 from leadvault.llm import (langid, licences, maxscore, mixing, packing, queries, reputation, secret_scan, simhash,
                            suffix_dedup, weak_quality)
 from leadvault.llm.common import connected, ship_code
+from tests.compare import differences, duck
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size int, row string, words int"
 SPLIT = re.compile("[^\x20\x09-\x0d]+")
@@ -287,3 +288,38 @@ def test_pipeline_stages(spark, docs, rows):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(groups.values())) and kept.columns == docs.columns
     assert corpus_pipeline.redact_secrets(spark, docs, "").columns == docs.columns
     assert corpus_pipeline.mix_sources(spark, docs, "").columns == docs.columns
+
+
+def test_one_of_each_group_stays(spark, rows):
+    """Null ids and ids with several texts: every group keeps one row, and no text outside it goes."""
+    texts = {k: t for k, t, *_ in rows}
+    some = [(40, texts[40]), (40, texts[41]), (None, texts[42]), (None, texts[43]), (None, texts[40]), (44, texts[42]), (45, texts[44]), (45, texts[44]), (None, None), (7, "")]
+    table = ship_code(spark).createDataFrame([(k, t, None, None, 1, 1, "r", 2) for k, t in some], DOCS)
+    fps = {n: brute_fingerprint(t) for n, (_, t) in enumerate(some)}
+    groups = brute_components(fps)
+    want = []
+    for g in set(groups.values()):
+        want.append(min((some[n] for n in groups if groups[n] == g), key=lambda r: (r[0] is None, r[0] or 0)))
+    got = [(r["doc_id"], r["text"]) for r in simhash.keep_one(spark, table).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+
+
+NATIVE = ("op1_mixing", "op2_licences", "op8_quality")
+
+
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+def test_registered_queries(spark, sf, name):
+    df = queries.QUERIES[name](spark, sf)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    bad = ["BroadcastNestedLoopJoin", "CartesianProduct"] + (["Python", "Pandas", "InArrow"] if name in NATIVE else [])
+    assert [b for b in bad if b in plan] == [] and df.count() > 0
+    if name in queries.ORACLES:
+        assert differences(df, duck(sf), queries.ORACLES[name]) == []
+
+
+def test_pipeline(spark, sf):
+    got = corpus_pipeline.run(spark, sf).collect()
+    ends = defaultdict(int)
+    for r in got:
+        ends[r["sequence_id"]] += r["length"]
+    assert got and max(ends.values()) <= 4096
