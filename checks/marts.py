@@ -113,7 +113,7 @@ def lead_heatmap(spark, sf):
 @check("run_layers")
 def run_layers_(spark, sf):
     """Every layer written to a fresh folder; the result is the status of each step."""
-    from checks.staging import daily_insights
+    from checks.staging import insights_log
     inputs = {n: frame(spark, sf, n) for n in ("contacts", "leads", "search_rows", "ad_campaigns", "ads_dim", "search_dim")}
-    inputs["insights"] = daily_insights(spark, sf)
+    inputs["insights"] = insights_log(spark, sf)
     return run_layers(spark, inputs, scratch_dir(spark, "layers"), AS_OF)

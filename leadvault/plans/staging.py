@@ -23,7 +23,8 @@ COST_BANDS = [("<=", 2.0, "Baixo Custo"), ("<=", 5.0, "Custo Médio")]
 
 
 def _loaded_since(df: DataFrame, start_date: str) -> DataFrame:
-    return df.filter(F.col("_load_date") >= F.lit(start_date)) if "_load_date" in df.columns else df
+    """Rows loaded from the start date on; a frame without `_load_date` is an error."""
+    return df.filter(F.col("_load_date") >= F.lit(start_date))
 
 
 def _stamp(name: str) -> Column:
@@ -106,16 +107,16 @@ def stg_leads(bronze: DataFrame, start_date: str | None = None) -> DataFrame:
     return flagged.withColumn("has_contact_info", F.col("has_valid_email") | F.col("has_valid_phone"))
 
 
-def current_insights(insights: DataFrame) -> DataFrame:
-    """An insights append log without superseded rows: the newest load per primary key."""
-    return latest_by_key(insights, AD_INSIGHTS.key, ["_load_date", "_extraction_timestamp"])
+def current_insights(insights: DataFrame, start_date: str = START_DATE) -> DataFrame:
+    """An insights append log from the start date on without superseded rows: the newest load per primary key."""
+    return latest_by_key(_loaded_since(insights, start_date), AD_INSIGHTS.key, ["_load_date", "_extraction_timestamp"])
 
 
 def stg_ad_campaigns(campaigns: DataFrame, insights: DataFrame, start_date: str = START_DATE) -> DataFrame:
     """Ad campaigns with their insight totals and averages.
 
-    ``campaigns`` may be an append log (its newest rows count); ``insights`` holds one row per
-    campaign, day and breakdown. Insights are folded to one row per campaign before the join, so
+    Both are append logs, of which the newest rows count: per campaign, and per campaign, day and
+    breakdown. Insights are folded to one row per campaign before the join, so
     the join adds no rows and a campaign with most of the insights is folded on the map side."""
     newest = latest_by_key(_loaded_since(campaigns, start_date), "id", ["updated_time", "_load_date"])
     cleaned = newest.filter(all_present("name", "id")).select(
@@ -132,7 +133,7 @@ def stg_ad_campaigns(campaigns: DataFrame, insights: DataFrame, start_date: str
             "reach": "total_reach"}
     avgs = ["frequency", "cpm", "cpc", "ctr"]
     zero = F.lit(0)
-    totals = _loaded_since(insights, start_date).groupBy("campaign_id").agg(
+    totals = current_insights(insights, start_date).groupBy("campaign_id").agg(
         *[F.sum(F.coalesce(F.col(c), zero)).alias(out) for c, out in sums.items()],
         *[exact_avg(F.coalesce(F.col(c), zero)).alias(f"avg_{c}") for c in avgs])
     joined = cleaned.join(totals, "campaign_id", "left").fillna(

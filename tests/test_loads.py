@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.inputs import frame, table
-from checks.staging import daily_insights
+from checks.staging import insights_log
 from leadvault.operators import maintenance as M
 from leadvault.operators import quality as Q
 from leadvault.streaming import loads as ST
@@ -133,7 +133,7 @@ def test_two_daily_runs(spark, sf):
     """The second run over grown inputs adds to hubs and closes versions; repeating it adds nothing."""
     names = ("contacts", "leads", "search_rows", "ad_campaigns", "ads_dim", "search_dim")
     inputs = {n: frame(spark, sf, n) for n in names}
-    inputs["insights"] = daily_insights(spark, sf)
+    inputs["insights"] = insights_log(spark, sf)
     root = scratch_dir(spark, "daily")
     cut = F.lit("1997-01-01").cast("date")
     first = {**inputs, "leads": inputs["leads"].filter(F.col("load_date") < cut)}
@@ -153,7 +153,7 @@ def test_two_daily_runs(spark, sf):
 def test_failing_steps(spark, sf):
     """Gold failures are recorded, silver failures end the run."""
     inputs = {n: frame(spark, sf, n) for n in ("contacts", "leads", "search_rows", "ad_campaigns", "search_dim")}
-    inputs["insights"] = daily_insights(spark, sf)
+    inputs["insights"] = insights_log(spark, sf)
     status = {r["step"]: r for r in layers.run_layers(spark, inputs, scratch_dir(spark, "x"), "2000-01-01").collect()}
     assert status["campaigns"]["status"] == status["mart_leads"]["status"] == "failed"
     assert "ads_dim" in status["campaigns"]["error"] and status["dq_report"]["status"] == "success"
