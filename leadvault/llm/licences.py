@@ -104,11 +104,9 @@ def _examples(spark: SparkSession, docs: DataFrame, sample_docs: int) -> DataFra
     several = notices.withColumn("cut", F.explode(F.sequence(F.lit(0), F.lit(3)))).select(
         "class", F.slice("notice", F.least(F.lit(1) + F.col("cut").bitwiseAND(F.lit(1)), F.size("notice")),
                          F.greatest(F.size("notice") - F.col("cut").bitwiseAND(F.lit(1)) - F.shiftright("cut", 1), F.lit(1))).alias("words"))
-    none = F.array().cast("array<string>")
-    # A fixed number of notices (48) times a fixed number of surroundings (at most 48).
-    nears = around.agg(F.collect_list(F.struct("key", "near")).alias("all"))
-    inside = several.join(F.broadcast(nears), F.lit(True), "left").select("class", "words", F.explode(F.coalesce("all", F.array().cast(
-        "array<struct<key:bigint,near:array<string>>>"))).alias("a")).select(
+    # A fixed number of notices (48), each once per number, meets at most 48 numbered surroundings.
+    nears = around.agg(F.collect_list(F.struct("key", "near")).alias("all")).select(F.posexplode("all").alias("at", "a"))
+    inside = several.withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(47)))).join(nears, "at").select(
         "class", F.concat(F.col("a.near"), "words", F.reverse("a.near")).alias("words"), F.col("a.key").alias("key"))
     told = several.select("class", "words", F.lit(1).cast("long").alias("key")).unionByName(inside).withColumn(
         "key", F.xxhash64("class", "words", "key")).unionByName(plain.select(F.lit(0.0).alias("class"), "words", "key"))
