@@ -23,13 +23,15 @@ from leadvault.llm.automaton import compile_rules, linked_rows
 class Rule:
     """`pattern` over ASCII; `fold`: letters in either case; the match, or its group `group`, has `least`
     characters or more. No match of a rule may begin inside the part of another that precedes its first
-    accepted byte (true of key = value and of prefix + run forms)."""
+    accepted byte (true of key = value and of prefix + run forms). `tail`: what may follow the pattern and then
+    belongs to the match, as much of it as there is; only the rule's forward automaton knows it."""
 
     kind: str
     pattern: str
     fold: bool = False
     group: int = 0
     least: int = 1
+    tail: str = ""
 
 
 # The three base rules, in their order.
@@ -39,9 +41,15 @@ BASE = (
     # Runs of 16 or more: the same as all runs less the short ones, and the pass stays quiet in words.
     Rule("hex", r"[0-9a-f]{16,}", least=16),
 )
+# What follows a key's header: anything without five dashes in a row up to the end marker (quoted, escaped and
+# indented keys too); or, where a key is cut, its header lines and the runs of base64, the last one of any length.
+_BETWEEN, _RUN = r"([^A-Za-z0-9+/=-]|\\[nrt]| \+)", r"[A-Za-z0-9+/=]"
+_WHOLE_KEY = r"([^-]|--?-?-?[^-])*-----+END ([A-Z]+ )*PRIVATE KEY-----"
+_CUT_KEY = (rf"({_BETWEEN}*(Proc-Type|DEK-Info|Comment|Version): [^\r\n\\]*)*"
+            rf"(({_BETWEEN}*{_RUN}{{16,}})+({_BETWEEN}+{_RUN}+)?|{_BETWEEN}*([\r\n]|\\[nr]){_BETWEEN}*{_RUN}+)?({_BETWEEN}*-----+END[A-Z ]*-*)?")
 #: Further public token formats.
 MORE = (
-    Rule("private_key", r"-----BEGIN ([A-Z]+ )*PRIVATE KEY-----"),
+    Rule("private_key", r"-----BEGIN ([A-Z]+ )*PRIVATE KEY-----", tail=f"({_WHOLE_KEY}|{_CUT_KEY})"),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]+", least=40),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", least=20),
 )
@@ -52,7 +60,7 @@ RULES = BASE + MORE
 def _compiled(rules: tuple[Rule, ...]):
     patterns = [(r.pattern, r.fold) for r in rules]
     combined = compile_rules(patterns, anywhere=True)
-    return (combined, linked_rows(combined), [compile_rules([p]) for p in patterns],
+    return (combined, linked_rows(combined), [compile_rules([(r.pattern + r.tail, r.fold)]) for r in rules],
             [compile_rules([p], backward=True) for p in patterns],
             [re.compile(r.pattern.encode(), re.IGNORECASE if r.fold else 0) for r in rules])
 
@@ -82,8 +90,8 @@ def find(data: bytes, rules: tuple[Rule, ...] = RULES) -> list[tuple[int, int, i
             if start is None:
                 continue
             done[r] = end = _farthest(forward[r], data, range(start, len(data))) + 1
-            group = exact[r].fullmatch(data, start, end).group(rules[r].group)
-            if len(group) >= rules[r].least:
+            size = len(exact[r].fullmatch(data, start, end).group(rules[r].group)) if rules[r].group else end - start
+            if size >= rules[r].least:
                 found.append((start, end, r))
 
     ahead, row = iter(data.translate(combined.letters)), rows[combined.start // width]

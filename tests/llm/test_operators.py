@@ -154,6 +154,23 @@ def test_secret_queries(spark, docs, rows, odd):
     assert secret_scan.redact(odd).count() == odd.count()
 
 
+@pytest.mark.parametrize("line", ["\n", "\r\n", "\\n", "\n    ", '\\n" +\n  "'])
+def test_private_keys_go_whole(spark, line):
+    """Header, body and end marker are one span; of a key cut anywhere nothing of its body stays."""
+    rng = random.Random(8)
+    runs = ["".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(64)) for _ in range(9)] + ["Zm9v=="]
+    for name, more in (("", ""), ("RSA ", f"{line}Proc-Type: 4,ENCRYPTED{line}DEK-Info: AES-128-CBC,0A1B2C{line}")):
+        body = f"-----BEGIN {name}PRIVATE KEY-----{more}{line}"
+        key = f"{body}{line.join(runs)}{line}-----END {name}PRIVATE KEY-----"
+        texts = [f"é one {key}. Two\n{key}\nend", *[key[:cut] for cut in range(len(body) + 1, len(key))],
+                 f"a -----BEGIN {name}PRIVATE KEY----- marks a key. {key} after"]
+        table = ship_code(spark).createDataFrame([(k, t, None, None, 1, 1, "r", 2) for k, t in enumerate(texts)], DOCS)
+        clean = [r["text"] for r in secret_scan.redact(table).orderBy("doc_id").collect()]
+        assert clean[0] == "é one [secret]. Two\n[secret]\nend" and clean[-1] == "a [secret] marks a key. [secret] after"
+        assert all(re.fullmatch(r"\[secret\](\s|[\\nr+\"]|-+[A-Z -]*)*", t) for t in clean[1:-1])
+        assert secret_scan.spans(key) == [("private_key", 0, len(key))]
+
+
 def test_mixing(spark, docs, rows):
     _, per_doc = mixing.mix(spark, docs, block=16)
     got = per_doc.collect()
