@@ -6,6 +6,7 @@ if that is one too many the fullest closes first. A task holds its open bins and
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -27,13 +28,19 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 class _Ids(dict):
-    """word (bytes) -> its ids as little-endian unsigned 32-bit numbers, tokenised when first asked for."""
+    """word (bytes) -> its ids as little-endian unsigned 32-bit numbers, tokenised when first asked for. `special`
+    finds the names of the tokenizer's special tokens, `special_ids` has their ids."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # Words hold no such name but in another case, and come here in lower case.
         self.tokenizer.encode_special_tokens = True
+        named = {t.content: k for k, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.special_ids = {name: array("I", [k]).tobytes() for name, k in named.items()}
+        longest = sorted(named, key=len, reverse=True)
+        self.special = re.compile(f"({'|'.join(map(re.escape, longest))})" if longest else "((?!))")
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= KNOWN_WORDS:
@@ -48,11 +55,17 @@ _END = np.array([END_ID], "<u4").tobytes()
 
 
 def token_ids(text: str | None, path: str) -> np.ndarray:
-    """The ids (uint32) of the text without special tokens, then END_ID; a null text has END_ID only.
-    The vocabulary lower-cases, drops white space and joins nothing across it, so a text's ids are those of
-    its words in a row; words are cut at ASCII spaces, and other spaces stay inside them."""
-    words = (text or "").encode("utf-8", "replace").lower().split()
-    return np.frombuffer(b"".join([*map(_known(path).__getitem__, words), _END]), "<u4")
+    """The ids (uint32) that the tokenizer gives the text with add_special_tokens=False, then END_ID; a null text
+    has END_ID only. The names of special tokens in a text, in their exact case, are those tokens. Between them the
+    vocabulary lower-cases, drops white space and joins nothing across it, so the ids are those of the words in a
+    row; words are cut at ASCII spaces, and other spaces stay inside them."""
+    known, out = _known(path), []
+    for k, part in enumerate(known.special.split(text or "")):
+        if k % 2:
+            out.append(known.special_ids[part])
+        else:
+            out += map(known.__getitem__, part.encode("utf-8", "replace").lower().split())
+    return np.frombuffer(b"".join([*out, _END]), "<u4")
 
 
 def pieces(docs: DataFrame, path: str, sequence: int = SEQUENCE) -> DataFrame:

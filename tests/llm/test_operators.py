@@ -217,6 +217,21 @@ def test_packing(spark, docs, rows):
         assert all(a + n == b for (a, n), (b, _) in zip(held, held[1:])) and held[0][0] == 0 and sum(held[-1]) <= 4096
 
 
+def test_packing_of_special_tokens(spark):
+    """Ids are those of the tokenizer as it is, also where a text holds the names of its special tokens."""
+    path = queries.tokenizer_path()
+    from tokenizers import Tokenizer
+
+    rng, tokenizer = random.Random(9), Tokenizer.from_file(path)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|endoftext|", "|>", " ", "hello", "don't", "É", "\n", "x1", "\u00a0"]
+    texts = ["hello <|endoftext|> world", *["".join(rng.choice(parts) for _ in range(rng.randint(1, 12))) for _ in range(300)]]
+    table = ship_code(spark).createDataFrame([(k, t, None, None, 1, 1, "r", 2) for k, t in enumerate(texts)], DOCS)
+    got = {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in packing.pack_documents(table, path).collect()}
+    for k, text in enumerate(texts):
+        ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 1], "<u4")
+        assert got[k] == (len(ids), zlib.crc32(ids.tobytes())), text
+
+
 def test_best_fit_closes_the_fullest():
     bins = packing.BestFit(10, 2)
     # 6, 7 and 8 open bins of 4, 3 and 2 free; the third makes the fullest of the first two (3 free) close.
