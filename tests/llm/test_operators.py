@@ -253,6 +253,29 @@ def test_language_of_odd_rows(spark, docs, rows, odd):
     assert langid.identify(odd, model).count() == odd.count()
 
 
+def spoken(rng, k, n):
+    """`n` words of language `k`, which has syllables of its own."""
+    own = random.Random(k)
+    syllables = ["".join(own.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(3)) for _ in range(12)]
+    return " ".join(rng.choice(syllables) + rng.choice(syllables) for _ in range(n))
+
+
+def test_stage_rejects_by_language(spark):
+    rng = random.Random(11)
+    rows = [(k, spoken(rng, k % 4, 200), "abcd"[k % 4]) for k in range(200)]
+    clean = [spoken(rng, k % 4, 40) for k in range(20)] + [spoken(rng, 0, 30) + " " + spoken(rng, 1, 20)]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    gone = [" ".join("".join(rng.choice(letters) for _ in range(rng.randint(3, 9))) for _ in range(60)),
+            "for (int i = 0; i < n; i++) { printf(buf[i]); } return NULL; struct foo *bar = malloc(sizeof(foo));",
+            "съешь же ещё этих мягких французских булок да выпей чаю", spoken(rng, 9, 60), "", None, "12 34",
+            spoken(rng, 0, 20) + " " + spoken(rng, 9, 60)]
+    rows += [(1000 + k, t, None) for k, t in enumerate(clean)] + [(2000 + k, t, None) for k, t in enumerate(gone)]
+    table = ship_code(spark).createDataFrame([(k, t, lang, None, 1, 1, "r", 2) for k, t, lang in rows], DOCS)
+    got = corpus_pipeline.keep_known_languages(spark, table, "")
+    assert got.columns == table.columns
+    assert sorted(r["doc_id"] for r in got.collect()) == [*range(200), *range(1000, 1000 + len(clean))]
+
+
 def test_quality(spark, docs, rows):
     got = {r["doc_id"]: r for r in weak_quality.judge(spark, docs).collect()}
     for key, text, *_ in rows:
