@@ -23,8 +23,6 @@ from pyspark.sql import functions as F
 UNKNOWN = "und"
 #: Labelled documents per language that the model is fitted on (expected number, drawn by hash).
 TRAIN_DOCS = 4000
-#: The model knows at most so many languages, the most frequent ones.
-MAX_LANGUAGES = 64
 #: Trigram counts a training task holds at a time, in languages; it passes them on where there are more.
 HELD_LANGUAGES = 64
 BUCKETS = 1 << 15
@@ -83,14 +81,14 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
     """A model of the labelled rows of `docs` (doc_id, text, lang). Rows without text or lang teach nothing;
     a table without labelled rows gives a model without languages."""
     labelled = docs.where("lang is not null and text is not null").select("doc_id", "text", "lang")
-    sizes = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+    sizes = labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()
     languages = sorted(r["lang"] for r in sizes)
     number = {lang: k for k, lang in enumerate(languages)}
     if not languages:
         return Model([], np.zeros((BUCKETS, 0), np.float32), {}, 0.0)
     share = F.create_map(*[x for r in sizes for x in (F.lit(r["lang"]), F.lit(min(1.0, train_docs / r["n"])))])
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    sample = labelled.where(F.col("lang").isin(languages)).where(draw < share[F.col("lang")]).select("text", "lang")
+    sample = labelled.where(draw < share[F.col("lang")]).select("text", "lang")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Counts of trigrams by language and bucket, and of letters by code point as language -1."""
@@ -184,7 +182,7 @@ def infer(texts: list[str | None], model: Model, background: bool = False) -> li
     ranks[:, :count] = np.argsort(np.argsort(-full[:, :count], axis=1, kind="stable"), axis=1, kind="stable")
     best, best_score = np.zeros_like(full), np.full(len(words), -np.inf)
     left = np.arange(len(words))  # texts whose sets still grow
-    for k in range(1, min(3, count) + 1):  # nested candidate sets: the k largest shares
+    for k in range(1, count + 1):  # nested candidate sets: the k largest shares
         shares = np.where(ranks[left] < k, np.maximum(full[left], 1e-6), 0)
         shares, logs = _em(likelihood, begins, document, words, (shares / shares.sum(axis=1, keepdims=True)).astype(np.float32),
                            0 if k == 1 and not background else 2)

@@ -276,6 +276,22 @@ def test_stage_rejects_by_language(spark):
     assert sorted(r["doc_id"] for r in got.collect()) == [*range(200), *range(1000, 1000 + len(clean))]
 
 
+def test_every_language_is_learned(spark):
+    """More languages than were ever kept, a rare one among them; and texts in more than three."""
+    rng = random.Random(12)
+    rows = [(k, spoken(rng, k % 90, 100), f"l{k % 90:02}") for k in range(180)] + [(500 + k, spoken(rng, 0, 50), "l00") for k in range(20)]
+    table = ship_code(spark).createDataFrame([(k, t, lang, None, 1, 1, "r", 2) for k, t, lang in rows], DOCS)
+    model = langid.fit(table)
+    assert model.languages == [f"l{k:02}" for k in range(90)]
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(table, model).collect()}
+    assert got == {k: lang for k, _, lang in rows}
+    for many in (4, 6):
+        shares, = langid.infer([" ".join(spoken(rng, k, 60) for k in range(many))], model)
+        assert sorted(shares) == [f"l{k:02}" for k in range(many)] and max(shares.values()) < 1.3 / many
+        mixed = ship_code(spark).createDataFrame([(1, " ".join(spoken(rng, k, 60) for k in range(many)), None, None, 1, 1, "r", 2)], DOCS)
+        assert langid.accepted(mixed, model, corpus_pipeline.LEAST_SHARE).count() == 0
+
+
 def test_quality(spark, docs, rows):
     got = {r["doc_id"]: r for r in weak_quality.judge(spark, docs).collect()}
     for key, text, *_ in rows:
