@@ -1,12 +1,13 @@
 """Licence scan: a trained paragraph classifier, confirmed by template comparison.
 
-Paragraphs (lines) become sparse counts of hashed words and word pairs. A multinomial logistic regression, trained
-on the templates in several surroundings against paragraphs of the corpus, names the licence family or the class
-`unknown`; its probabilities are calibrated by a temperature chosen on held-out paragraphs. A named family counts as
-confirmed if the paragraph holds most word triples of one of the family's templates.
+Paragraphs (lines, and blocks of lines between blank ones) are read in overlapping windows of words, which become
+sparse counts of hashed words and word pairs. A multinomial logistic regression, trained on the templates inside windows
+of the same size against windows of the corpus, tells licence families from the class `unknown`; its probabilities are
+calibrated by a temperature chosen on held-out windows. A named family counts as confirmed if the window holds most
+word triples of one of the family's templates.
 
-DataFrame operations and Spark's own linear model only. The model is fitted on a bounded sample of paragraphs
-(`sample_docs`); every paragraph of every document is classified."""
+DataFrame operations and Spark's own linear model only. The model is fitted on the windows of a bounded sample of
+documents (`sample_docs`); every window of every document is classified."""
 
 from __future__ import annotations
 
@@ -24,6 +25,8 @@ UNKNOWN = "unknown"
 #: Documents whose paragraphs teach the class `unknown` (expected number, drawn by hash of the id).
 SAMPLE_DOCS = 1000
 FEATURES = 1 << 13
+#: Words of a window, and those it shares with the next: the longest template less one word, so each notice is whole in one.
+WINDOW, OVERLAP = 48, 20
 #: A family is named from this calibrated probability on, and confirmed from this share of a template's triples on.
 NAMED, CONFIRMED = 0.5, 0.8
 TEMPERATURES = (0.5, 1.0, 1.5, 2.0, 3.0, 5.0)
@@ -82,32 +85,42 @@ class Model:
     temperature: float
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """(doc_id, position, words) of all lines of `docs` that have a word."""
-    split = docs.select(F.col("doc_id").cast("long"), F.posexplode(F.split("text", "\n")).alias("position", "line"))
-    return split.select("doc_id", "position", F.explode(F.array(words_of(F.col("line")))).alias("words"))
+def windows(docs: DataFrame) -> DataFrame:
+    """(doc_id, row, position, part, words): all windows of all paragraphs of `docs` that have a word. `row` tells rows of
+    one doc_id apart, `position` is the paragraph's number and `part` the window's first word."""
+    blocks = docs.select(F.col("doc_id").cast("long"), "text", F.monotonically_increasing_id().alias("row")).select(
+        "doc_id", "row", F.posexplode(F.concat(F.split("text", "\n"), F.filter(
+            F.split("text", r"\n\s*\n"), lambda b: F.contains(b, F.lit("\n"))))).alias("position", "block"))
+    found = blocks.select("doc_id", "row", "position", F.explode(F.array(words_of(F.col("block")))).alias("all")).where(F.size("all") > 0)
+    starts = F.sequence(F.lit(1), F.greatest(F.size("all") - OVERLAP, F.lit(1)), F.lit(WINDOW - OVERLAP))
+    return found.select("doc_id", "row", "position", "all", F.explode(starts).alias("part")).select(
+        "doc_id", "row", "position", "part", F.explode(F.array(F.slice("all", F.col("part"), F.lit(WINDOW)))).alias("words"))
 
 
 def _examples(spark: SparkSession, docs: DataFrame, sample_docs: int) -> DataFrame:
-    """(class, words, weight, held): templates alone, with words missing, and inside sampled paragraphs; and the sampled
-    paragraphs themselves unless a template covers them. `held` marks the fold kept for calibration."""
+    """(class, words, weight, held): templates alone, with words missing, and inside sampled windows; and the sampled
+    windows themselves unless a template covers them. `held` marks the fold kept for calibration."""
     rows = docs.count()
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     drawn = docs.where(F.col("doc_id").isNotNull() & (draw < min(1.0, sample_docs / max(rows, 1))))
-    plain = paragraphs(drawn).where(F.size("words") > 0).withColumn("words", F.slice("words", 1, 400))
+    plain = windows(drawn).drop("row")
     plain = plain.select("*", F.explode(F.array(_triples(F.col("words")))).alias("triples"))
     covered = F.greatest(*[coverage(F.col("triples"), f) for f in FAMILIES])
-    plain = stored(spark, plain.where(covered < CONFIRMED / 2).withColumn("key", F.xxhash64("doc_id", "position")).drop("triples"), "plain")
+    plain = stored(spark, plain.where(covered < CONFIRMED / 2).withColumn("key", F.xxhash64("doc_id", "position", "part")).drop("triples"), "plain")
     notices = spark.range(1).select(F.inline(F.array(*[
         F.struct(F.lit(float(CLASSES.index(f))).alias("class"), words_of(F.lit(t)).alias("notice")) for f, t in TEMPLATES])))
-    around = plain.orderBy("key").limit(48).select("key", F.slice("words", 1, 12).alias("near"))
+    around = plain.orderBy("key").limit(48).select("key", F.col("words").alias("near"))
     several = notices.withColumn("cut", F.explode(F.sequence(F.lit(0), F.lit(3)))).select(
         "class", F.slice("notice", F.least(F.lit(1) + F.col("cut").bitwiseAND(F.lit(1)), F.size("notice")),
                          F.greatest(F.size("notice") - F.col("cut").bitwiseAND(F.lit(1)) - F.shiftright("cut", 1), F.lit(1))).alias("words"))
     # A fixed number of notices (48), each once per number, meets at most 48 numbered surroundings.
     nears = around.agg(F.collect_list(F.struct("key", "near")).alias("all")).select(F.posexplode("all").alias("at", "a"))
-    inside = several.withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(47)))).join(nears, "at").select(
-        "class", F.concat(F.col("a.near"), "words", F.reverse("a.near")).alias("words"), F.col("a.key").alias("key"))
+    # The notice begins anywhere; one half of the windows is as large as can be, the other as short lines are.
+    room = F.when(F.col("at") % 2 == 0, F.lit(WINDOW) - F.size("words")).otherwise(F.lit(24))
+    inside = several.withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(47)))).join(nears, "at").withColumn(
+        "left", F.pmod(F.col("at") * 7 + F.size("words"), room + 1).cast("int")).select(
+        "class", F.concat(F.slice("a.near", F.lit(1), F.col("left")), "words", F.slice("a.near", F.col("left") + 1, room - F.col("left"))).alias("words"),
+        F.col("a.key").alias("key"))
     told = several.select("class", "words", F.lit(1).cast("long").alias("key")).unionByName(inside).withColumn(
         "key", F.xxhash64("class", "words", "key")).unionByName(plain.select(F.lit(0.0).alias("class"), "words", "key"))
     told = stored(spark, told.withColumn("held", F.pmod("key", F.lit(4)) == 0), "examples")
@@ -136,26 +149,32 @@ def _exps(raw: Column, temperature: float) -> Column:
 
 
 def classify(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, position, family, probability, covered, confirmed) for the paragraphs of `docs` that are named a licence."""
-    terms = paragraphs(docs).where(F.size("words") > 0).withColumn("terms", _pairs(F.col("words")))
+    """(doc_id, row, position, family, probability, covered, confirmed) for the windows of `docs` that are named a licence.
+    A window with notices of several families has a row for each: `probability` is that of the family against unknown."""
+    terms = windows(docs).withColumn("terms", _pairs(F.col("words")))
     scored = model.regression.transform(model.hashing.transform(terms))
-    named = scored.where(F.col("prediction") > 0).select(
-        "doc_id", "position", "words", vector_to_array("rawPrediction").alias("raw"), F.col("prediction").cast("int").alias("class"))
-    named = named.select("doc_id", "position", "words", F.get(F.array(*[F.lit(c) for c in CLASSES]), F.col("class")).alias("family"),
-                         (1 / _exps(F.col("raw"), model.temperature)).alias("probability")).where(F.col("probability") >= NAMED)
+    raw, t = F.col("raw"), model.temperature
+    unknown = F.exp((F.get(raw, F.lit(0)) - F.array_max(raw)) / t) / _exps(raw, t)
+    licence = scored.where(F.col("prediction") > 0).select("doc_id", "row", "position", "words", vector_to_array("rawPrediction").alias("raw"))
+    against = F.transform(F.array(*[F.lit(k) for k in range(1, len(CLASSES))]), lambda k: F.struct(
+        F.get(F.array(*[F.lit(c) for c in CLASSES]), k),
+        1 / (1 + F.exp((F.get(raw, F.lit(0)) - F.get(raw, k)) / t))))
+    named = licence.where(unknown <= 1 - NAMED).select(
+        "doc_id", "row", "position", F.explode(F.array(_triples(F.col("words")))).alias("triples"), against.cast("array<struct<family:string,probability:double>>").alias("against"))
+    named = named.select("doc_id", "row", "position", "triples", F.inline("against")).where(F.col("probability") >= NAMED)
     covered = F.coalesce(*[F.when(F.col("family") == f, coverage(F.col("triples"), f)) for f in FAMILIES])
-    named = named.select("*", F.explode(F.array(_triples(F.col("words")))).alias("triples"))
-    return named.withColumn("covered", covered).withColumn("confirmed", F.col("covered") >= CONFIRMED).drop("words", "triples")
+    return named.withColumn("covered", covered).withColumn("confirmed", F.col("covered") >= CONFIRMED).drop("triples")
 
 
 def scan(spark: SparkSession, docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """(doc_id, n_named, n_confirmed, families, probability, covered), one row per doc_id of `docs` (doc_id, text,
-    others ignored). `families`: the confirmed ones by name, comma-joined; probability and covered: the largest of
+    others ignored). n_named and n_confirmed count paragraphs (lines and blocks). `families`: the confirmed ones by name, comma-joined; probability and covered: the largest of
     the confirmed. Null and empty texts have none; rows of one doc_id (repeated rows, null ids) are told together."""
     model = fit(spark, docs, sample_docs)
-    good = F.col("confirmed")
+    good, paragraph = F.col("confirmed"), F.struct("row", "position")
     found = classify(docs, model).groupBy("doc_id").agg(
-        F.count("*").alias("n_named"), F.count_if(good).alias("n_confirmed"),
+        F.size(F.collect_set(paragraph)).cast("long").alias("n_named"),
+        F.size(F.collect_set(F.when(good, paragraph))).cast("long").alias("n_confirmed"),
         F.array_join(F.array_sort(F.collect_set(F.when(good, F.col("family")))), ",").alias("families"),
         F.max(F.when(good, F.col("probability"))).alias("probability"), F.max(F.when(good, F.col("covered"))).alias("covered"))
     ids = docs.select(F.col("doc_id").cast("long").alias("_id")).distinct()

@@ -342,6 +342,32 @@ def test_licences(spark):
         assert got[key] == ",".join(want)
 
 
+def test_licences_wrapped_and_inside_long_paragraphs(spark):
+    """Headers wrapped the usual way, notices in the middle of long paragraphs, several notices next to each other."""
+    rng = random.Random(13)
+    headers = {
+        "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation",
+        "gpl-3.0": " * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public "
+                   "License as published by\n * the Free Software Foundation",
+        "bsd": "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that the following",
+        "apache-2.0": 'you may not use this file except in compliance with the License.\r\nYou may obtain a copy of the License at\r\n',
+    }
+    cases = [("", words(rng, 900)), ("", "\n".join(words(rng, 9) for _ in range(40)))]
+    for family, header in headers.items():
+        for before in (0, 5, 27, 40, 47, 500):
+            cases.append((family, f"{words(rng, before)} {header} {words(rng, 600 if before else 0)}"))
+        cases.append((family, f"{words(rng, 30)}\n\n{header}\n\n{words(rng, 30)}"))
+    cases.append(("cc-by-4.0,mit", "Licensed under CC BY 4.0.\nReleased under the MIT License.\n" + words(rng, 20)))
+    cases.append(("bsd,mit", headers["bsd"] + "\n" + headers["mit"]))
+    corpus = [(1000 + k, words(rng, 200)) for k in range(100)]
+    rows = [*enumerate(t for _, t in cases), *corpus]
+    table = ship_code(spark).createDataFrame([(k, t, None, None, 1, 1, "r", 2) for k, t in rows], DOCS)
+    got = {r["doc_id"]: r["families"] for r in licences.scan(spark, table, 1000).collect()}
+    assert [(got[k], t[:80]) for k, (want, t) in enumerate(cases) if got[k] != want] == []
+    longest = max(len(re.findall(r"[^\W_]+(?:[.-][^\W_]+)*", t)) for _, t in licences.TEMPLATES)
+    assert licences.OVERLAP >= longest - 1
+
+
 def test_empty_and_odd_tables(spark, odd):
     none = empty(spark)
     path = queries.tokenizer_path()
