@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadvault.llm import (langid, licences, maxscore, mixing, packing, reputation, secret_scan, simhash, suffix_dedup, weak_quality)
+from leadvault.llm import (decontaminate, langid, licences, maxscore, mixing, packing, reputation, secret_scan, simhash, suffix_dedup,
+                           weak_quality)
 from leadvault.llm.common import ship_code
 from leadvault.session import configure
 
@@ -83,8 +84,15 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["to"] - s["from"])
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
 QUERIES = {f.__name__: f for f in (op1_mixing, op2_licences, op3_suffix, op4_packing, op5_language, op6_secrets, op7_urls, op8_quality,
-                                   op9_search, op10_simhash)}
+                                   op9_search, op10_simhash, op12_decontamination)}
 
 #: Only where SQL can express the whole result.
 ORACLES = {
