@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadvault.llm import (decontaminate, langid, licences, maxscore, mixing, packing, reputation, secret_scan, simhash, suffix_dedup,
-                           weak_quality)
+from leadvault.llm import (decontaminate, langid, lemp, licences, maxscore, mixing, packing, repair, reputation, secret_scan, simhash,
+                           suffix_dedup, weak_quality)
 from leadvault.llm.common import ship_code
 from leadvault.session import configure
 
@@ -84,6 +84,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op11_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lemp.ranked(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["to"] - s["from"])
@@ -91,8 +95,17 @@ def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_damaged(spark, _table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (op1_mixing, op2_licences, op3_suffix, op4_packing, op5_language, op6_secrets, op7_urls, op8_quality,
-                                   op9_search, op10_simhash, op12_decontamination)}
+                                   op9_search, op10_simhash, op11_ranked, op12_decontamination,
+                                   op13_conversations)}
+
+#: Terms of a text, null texts none.
+_SQL_TERMS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+              r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
 
 #: Only where SQL can express the whole result.
 ORACLES = {
@@ -106,4 +119,36 @@ ORACLES = {
             FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+    "op11_ranked": rf"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_SQL_TERMS} AS terms FROM documents),
+        held AS (SELECT r, doc_id, len(terms) AS n, unnest(terms) AS term FROM d),
+        tf AS (SELECT r, doc_id, n, term, count(*) AS tf FROM held GROUP BY ALL),
+        total AS (SELECT count(*) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM d WHERE len(terms) > 0),
+        df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+        asked AS (SELECT q, item_id, term, count(*) AS times FROM (
+            SELECT row_number() OVER () AS q, item_id, unnest({_SQL_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+        part AS (
+            SELECT q, item_id, r, doc_id, times * floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT
+                * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))) AS added
+            FROM asked JOIN df USING (term) JOIN tf USING (term) CROSS JOIN total),
+        scored AS (SELECT q, item_id, r, doc_id, sum(added)::BIGINT AS score FROM part GROUP BY ALL),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank
+                   FROM scored WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20""",
+    "op12_decontamination": rf"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_SQL_TERMS} AS words FROM documents),
+        b AS (SELECT item_id::VARCHAR AS item, {_SQL_TERMS} AS words FROM benchmark),
+        wins AS (
+            SELECT DISTINCT item, list_slice(words, k, k + 9) AS win
+            FROM (SELECT item, words, unnest(range(1, greatest(len(words) - 10, 0) + 2)) AS k FROM b WHERE len(words) > 0)),
+        lengths AS (SELECT DISTINCT len(win) AS l FROM wins),
+        grams AS (
+            SELECT r, k, l, list_slice(words, k, k + l - 1) AS win
+            FROM (SELECT r, words, l, unnest(range(1, len(words) - l + 2)) AS k FROM d, lengths WHERE len(words) >= l)),
+        hits AS (SELECT r, k, l, item FROM grams JOIN wins USING (win)),
+        covered AS (SELECT r, count(DISTINCT place) AS n FROM (SELECT r, unnest(range(k, k + l)) AS place FROM hits) GROUP BY r),
+        items AS (SELECT r, count(DISTINCT item) AS n, string_agg(DISTINCT item, ',' ORDER BY item) AS names FROM hits GROUP BY r)
+        SELECT doc_id, coalesce(len(words), 0)::BIGINT AS n_words, coalesce(covered.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
+            sha256(coalesce(names, '')) AS items_sha256, coalesce(covered.n, 0) > 0 AS contaminated
+        FROM d LEFT JOIN covered USING (r) LEFT JOIN items USING (r)""",
 }
