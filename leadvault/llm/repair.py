@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from leadvault.llm.common import stored
 from leadvault.llm.term_shards import rows_of
 
-#: Rows and characters of a slice, and rows that are solved together.
+#: Rows of a slice; characters after which it ends too; rows that are solved together.
 SLICE_ROWS, SLICE_CHARS, BATCH_ROWS = 4096, 1 << 22, 1 << 14
 #: Conversations of more rows than this are solved apart from the others.
 LONG_ROWS = 64
@@ -226,8 +226,8 @@ class _Slice:
         self.cut.append(fault == "truncated")
         self.chars += len(text)
 
-    def full(self) -> bool:
-        return len(self.roles) >= SLICE_ROWS or self.chars >= SLICE_CHARS
+    def full(self, rows: int) -> bool:
+        return len(self.roles) >= rows or self.chars >= SLICE_CHARS
 
 
 def _together(slices: list[_Slice]) -> Slices:
@@ -255,7 +255,7 @@ def _batch(slices: list[tuple[_Slice, bool, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], [c.split()[0] for c in _PARTS.split(", ")])
 
 
-def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sliced(batches: Iterator[pa.RecordBatch], slice_rows: int) -> Iterator[pa.RecordBatch]:
     """Rows come in order of conversation and turn. A partition's first and last conversation may go on in its neighbours."""
     number, first, ready, size, chars = TaskContext.get().partitionId() << 32, True, [], 0, 0
     held, cut = None, False  # the slice being filled, and whether its conversation has others
@@ -270,7 +270,7 @@ def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             close(False)
             first, held, cut = False, None, False
         for copy in range(times):
-            if held is not None and held.full():
+            if held is not None and held.full(slice_rows):
                 cut = True
                 close(False)
                 held = None
@@ -371,7 +371,7 @@ def _in_order(rows: DataFrame) -> DataFrame:
         "conv_id", "turn", "role", "text", "times", "seen")
 
 
-def repair(spark: SparkSession, rows: DataFrame) -> DataFrame:
+def repair(spark: SparkSession, rows: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """(conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256) of `rows` (conv_id, turn, role,
     text, times), for every conversation that has rows.
 
@@ -381,7 +381,7 @@ def repair(spark: SparkSession, rows: DataFrame) -> DataFrame:
 
     One conversation may hold any share of the rows: its slices are solved in any task, and what meets is one 4 x 4 matrix a
     slice. Only its repaired text is run through one task, slice by slice: a SHA-256 has no other way."""
-    parts = stored(spark, _in_order(rows).mapInArrow(_sliced, _PARTS), "slices")
+    parts = stored(spark, _in_order(rows).mapInArrow(lambda batches: _sliced(batches, slice_rows), _PARTS), "slices")
     whole = parts.where("whole")
     gaps = F.when(F.col("first_turn").isNull(), 0).otherwise(F.col("last_turn") - F.col("first_turn") + 1 - F.col("turns")).cast("long")
     done = whole.select("conv_id", gaps.alias("gaps"), *_COUNTS, "cost", "audit", "repaired_sha256")
@@ -399,10 +399,10 @@ def repair(spark: SparkSession, rows: DataFrame) -> DataFrame:
     return done.unionByName(joined)
 
 
-def repair_damaged(spark: SparkSession, conversations: DataFrame) -> DataFrame:
+def repair_damaged(spark: SparkSession, conversations: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """`repair` of the `damage` of `conversations` (conv_id, turn, role, text, others ignored), a row for each of its
     conv_ids; where the damage left no row, all counts are 0 and nothing is repaired."""
-    found = repair(spark, damage(conversations)).withColumnRenamed("conv_id", "_conv")
+    found = repair(spark, damage(conversations), slice_rows).withColumnRenamed("conv_id", "_conv")
     every = conversations.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
     numbers = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in _TOTALS]
     return every.join(found, F.col("conv_id").eqNullSafe(F.col("_conv")), "left").select(
