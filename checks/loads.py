@@ -13,6 +13,7 @@ from leadvault.operators import rows as R
 from leadvault.operators.aggregates import count_by
 from leadvault.session import scratch_dir
 from leadvault.sources import catalog, reads, writes
+from leadvault.sources import partitions as P
 from leadvault.sources.versions import current, publish
 
 
@@ -76,6 +77,64 @@ def lookback_replace(spark, sf):
     return I.lookback_replace(target, reread, "ts", 28, ["event_id", "user_id"], "2024-01-31")
 
 
+def _files_by(spark, path, column):
+    """Which files each partition has."""
+    part = F.regexp_extract("file_path", f"{column}=([^/]*)", 1)
+    return {r[0]: r[1] for r in reads.list_files(spark, path).groupBy(part).agg(F.array_sort(F.collect_list("file_path"))).collect()}
+
+
+def _with_kept(df, column, before, after):
+    """Adds whether the partition still has the very files it had."""
+    kept = [k for k, files in before.items() if after.get(k) == files]
+    return df.withColumn("files_kept", F.col(column).cast("string").isin(kept))
+
+
+@check("merge_partitions", """WITH parts AS (
+    SELECT c_custkey, c_name, c_acctbal, substr(md5(CAST(c_custkey AS VARCHAR)), 1, 1) AS part FROM customer),
+  state AS (
+    SELECT part, CASE WHEN part IN ('0', '7', 'c') AND c_custkey % 2 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS balance
+    FROM parts WHERE c_custkey % 10 <> 0 OR part IN ('0', '7', 'c'))
+  SELECT part, COUNT(*) AS n_rows, CAST(SUM(CAST(round(balance * 100) AS BIGINT)) AS BIGINT) AS cents,
+    part NOT IN ('0', '7', 'c') AS files_kept FROM state GROUP BY part""")
+def merge_partitions(spark, sf):
+    """A batch of changed and new customers in three of sixteen key partitions, merged twice."""
+    root = scratch_dir(spark, "merged")
+    customers = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", F.lit(0).alias("seen"))
+    P.merge_partitions(spark, customers.filter("c_custkey % 10 <> 0"), root, "c_custkey", "seen", digits=1)
+    before = _files_by(spark, root, P.PART)
+    batch = customers.filter("c_custkey % 2 = 0").filter(P.key_part("c_custkey", 1).isin("0", "7", "c")).select(
+        "c_custkey", "c_name", (F.col("c_acctbal") + 1).alias("c_acctbal"), F.lit(1).alias("seen"))
+    older = batch.withColumns({"seen": F.lit(0), "c_acctbal": F.lit(0.0).cast(batch.schema["c_acctbal"].dataType)})
+    for _ in range(2):
+        P.merge_partitions(spark, batch.unionByName(older), root, "c_custkey", "seen", digits=1)
+    cents = F.sum(F.round(F.col("c_acctbal") * 100).cast("bigint")).alias("cents")
+    state = spark.read.parquet(root).groupBy("part").agg(F.count("*").alias("n_rows"), cents)
+    return _with_kept(state, "part", before, _files_by(spark, root, P.PART))
+
+
+@check("lookback_partitions", """WITH moved AS (
+    SELECT event_id, CAST(ts AS DATE) AS day, CAST(round(value * 100) AS BIGINT) AS cents FROM events),
+  state AS (
+    SELECT event_id, CASE WHEN event_id % 7 = 0 AND day >= DATE '2024-01-20' THEN DATE '2024-01-31' ELSE day END AS day,
+      CASE WHEN day >= DATE '2024-01-20' AND (event_id % 2 = 0 OR event_id % 7 = 0) THEN cents + 1 ELSE cents END AS cents
+    FROM moved WHERE event_id % 5 <> 0 OR (day >= DATE '2024-01-20' AND (event_id % 2 = 0 OR event_id % 7 = 0)))
+  SELECT day, COUNT(*) AS n_rows, CAST(SUM(cents) AS BIGINT) AS cents, day < DATE '2024-01-20' AS files_kept
+  FROM state GROUP BY day""")
+def lookback_partitions(spark, sf):
+    """Events by day, every fifth missing; of the last days some are read again, corrected, some of them under another day."""
+    root = scratch_dir(spark, "lookback")
+    cents = F.round(F.col("value") * 100).cast("bigint").alias("cents")
+    events = table(spark, sf, "events").select("event_id", F.col("ts").cast("date").alias("day"), cents)
+    P.replace_partitions(events.filter("event_id % 5 <> 0"), root, "day")
+    before = _files_by(spark, root, "day")
+    again = events.filter("event_id % 2 = 0 OR event_id % 7 = 0").withColumn("cents", F.col("cents") + 1)
+    late = F.to_date(F.lit("2024-01-31"))
+    moved = F.when((F.col("event_id") % 7 == 0) & (F.col("day") >= "2024-01-20"), late).otherwise(F.col("day"))
+    P.lookback_partitions(spark, again.withColumn("day", moved), root, "day", 11, "event_id", "2024-01-31")
+    state = spark.read.parquet(root).groupBy("day").agg(F.count("*").alias("n_rows"), F.sum("cents").alias("cents"))
+    return _with_kept(state, "day", before, _files_by(spark, root, "day"))
+
+
 @check("date_bounds", """SELECT o_orderkey FROM orders WHERE o_orderdate BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1997-12-31'""")
 def date_bounds(spark, sf):
     return R.date_bounds(table(spark, sf, "orders"), "o_orderdate", "1996-01-01", "1997-12-31").select("o_orderkey")
