@@ -111,7 +111,8 @@ INSIGHTS = Derived("lineitem", (
 
 SEARCH_ROWS = Derived("lineitem", (
     "'cust' || CAST(l_suppkey % 4 AS STRING) AS customer_id", "CAST(l_partkey AS STRING) AS campaign_id",
-    "p_name AS campaign_name",
+    "p_name AS campaign_name", "CAST(l_orderkey AS STRING) AS ad_group_id",
+    "'word ' || CAST(l_linenumber AS STRING) AS keyword", "'EXACT' AS match_type",
     "CAST(CAST(l_quantity * 100 AS BIGINT) AS STRING) AS impressions",
     "CAST(CAST(l_quantity AS BIGINT) * (l_linenumber - 1) AS STRING) AS clicks",
     """CAST(CAST(CAST(l_extendedprice AS DECIMAL(15,2)) * 100 AS BIGINT) * 10000 AS STRING) AS cost_micros""",

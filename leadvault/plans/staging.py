@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leadvault.functions import (
-    all_present, any_positive, band, clean_lower, clean_upper, digits, exact_avg, flag, is_recent,
-    json_fields, non_blank, ratio, strip,
+    all_present, any_positive, band, clean_lower, clean_upper, digits, flag, is_recent, json_fields, non_blank, ratio,
+    strip,
 )
 from leadvault.operators.aggregates import activity_period, ratio_of_sums
 from leadvault.operators.incremental import latest_by_key
 from leadvault.sources.reads import unpack_answers
-from leadvault.sources.schemas import AD_INSIGHTS
+from leadvault.sources.schemas import AD_INSIGHTS, SEARCH_CAMPAIGNS
 
 # Platform names and labels.
 CRM, ADS, SEARCH = "activecampaign", "facebook_ads", "google_ads"
@@ -107,18 +107,49 @@ def stg_leads(bronze: DataFrame, start_date: str | None = None) -> DataFrame:
     return flagged.withColumn("has_contact_info", F.col("has_valid_email") | F.col("has_valid_phone"))
 
 
+#: Of several loads of a row the newest counts.
+LOAD_ORDER = ["_load_date", "_extraction_timestamp"]
+
+
 def current_insights(insights: DataFrame, start_date: str = START_DATE) -> DataFrame:
     """An insights append log from the start date on without superseded rows: the newest load per primary key."""
-    return latest_by_key(_loaded_since(insights, start_date), AD_INSIGHTS.key, ["_load_date", "_extraction_timestamp"])
+    return latest_by_key(_loaded_since(insights, start_date), AD_INSIGHTS.key, LOAD_ORDER)
+
+
+def current_search_rows(rows: DataFrame, start_date: str = START_DATE) -> DataFrame:
+    """A search append log from the start date on without superseded rows: the newest load per primary key."""
+    return latest_by_key(_loaded_since(rows, start_date), SEARCH_CAMPAIGNS.key, LOAD_ORDER)
+
+
+def current_campaigns(campaigns: DataFrame, start_date: str = START_DATE) -> DataFrame:
+    """The newest row per ad campaign, from a log."""
+    return latest_by_key(_loaded_since(campaigns, start_date), "id", CAMPAIGN_ORDER)
+
+
+CAMPAIGN_ORDER = ["updated_time", "_load_date"]
+_SUMS = {"impressions": "total_impressions", "clicks": "total_clicks", "spend": "total_spend_brl", "reach": "total_reach"}
+_AVERAGES = ("frequency", "cpm", "cpc", "ctr")
+
+
+def insight_days(current: DataFrame) -> DataFrame:
+    """Current insights folded to one row per campaign and day: sums, and what averages need. Sums of days add up to the
+    sums of rows, so a load computes only the days it touches."""
+    value = lambda c: F.coalesce(F.col(c), F.lit(0))
+    return current.groupBy("campaign_id", "date_start").agg(
+        *[F.sum(value(c)).alias(c) for c in _SUMS],
+        *[F.sum(value(c).cast("decimal(18,6)")).alias(f"{c}_sum") for c in _AVERAGES], F.count(F.lit(1)).alias("n_rows"))
 
 
 def stg_ad_campaigns(campaigns: DataFrame, insights: DataFrame, start_date: str = START_DATE) -> DataFrame:
     """Ad campaigns with their insight totals and averages.
 
-    Both are append logs, of which the newest rows count: per campaign, and per campaign, day and
-    breakdown. Insights are folded to one row per campaign before the join, so
-    the join adds no rows and a campaign with most of the insights is folded on the map side."""
-    newest = latest_by_key(_loaded_since(campaigns, start_date), "id", ["updated_time", "_load_date"])
+    Both are append logs, of which the newest rows count: per campaign, and per campaign, day and breakdown."""
+    return ad_campaigns_of(current_campaigns(campaigns, start_date), insight_days(current_insights(insights, start_date)))
+
+
+def ad_campaigns_of(newest: DataFrame, days: DataFrame) -> DataFrame:
+    """Ad campaigns, one row each, with the totals of their days. Days are folded to one row per campaign before the
+    join, so the join adds no rows and a campaign with most of the insights is folded on the map side."""
     cleaned = newest.filter(all_present("name", "id")).select(
         F.col("id").alias("campaign_id"), "account_id", F.col("name").alias("campaign_name"),
         "objective", "status",
@@ -129,15 +160,11 @@ def stg_ad_campaigns(campaigns: DataFrame, insights: DataFrame, start_date: str
         _stamp("_extraction_timestamp").alias("extraction_timestamp"),
         F.col("_load_date").try_cast("date").alias("load_date"),
     )
-    sums = {"impressions": "total_impressions", "clicks": "total_clicks", "spend": "total_spend_brl",
-            "reach": "total_reach"}
-    avgs = ["frequency", "cpm", "cpc", "ctr"]
-    zero = F.lit(0)
-    totals = current_insights(insights, start_date).groupBy("campaign_id").agg(
-        *[F.sum(F.coalesce(F.col(c), zero)).alias(out) for c, out in sums.items()],
-        *[exact_avg(F.coalesce(F.col(c), zero)).alias(f"avg_{c}") for c in avgs])
+    totals = days.groupBy("campaign_id").agg(
+        *[F.sum(c).alias(out) for c, out in _SUMS.items()],
+        *[(F.sum(f"{c}_sum").cast("double") / F.sum("n_rows")).alias(f"avg_{c}") for c in _AVERAGES])
     joined = cleaned.join(totals, "campaign_id", "left").fillna(
-        0, [*sums.values(), *[f"avg_{c}" for c in avgs]])
+        0, [*_SUMS.values(), *[f"avg_{c}" for c in _AVERAGES]])
     return joined.withColumns({
         "origem": F.lit(ADS),
         "record_source": F.concat(F.lit("facebook_ads_"), F.col("account_id")),
@@ -169,9 +196,21 @@ def stg_search_rows(rows: DataFrame, start_date: str = START_DATE) -> DataFrame:
     })
 
 
+def search_days(typed: DataFrame) -> DataFrame:
+    """Typed current search rows folded to one row per campaign, name and day."""
+    return typed.groupBy("customer_id", "campaign_id", "campaign_name", "campaign_date").agg(
+        *[F.sum(c).alias(c) for c in ("impressions", "clicks", "cost_micros", "conversions", "conversion_value")],
+        F.max("extraction_timestamp").alias("extraction_timestamp"), F.max("load_date").alias("load_date"))
+
+
 def stg_search_campaigns(rows: DataFrame, start_date: str = START_DATE) -> DataFrame:
-    """Search campaigns with activity: totals, cost per click, click rate and return on spend."""
-    totals = stg_search_rows(rows, start_date).groupBy("customer_id", "campaign_id", "campaign_name").agg(
+    """Search campaigns with activity, from an append log of which the newest load per row counts."""
+    return search_campaigns_of(search_days(stg_search_rows(current_search_rows(rows, start_date), start_date)))
+
+
+def search_campaigns_of(days: DataFrame) -> DataFrame:
+    """Search campaigns with activity: totals of their days, cost per click, click rate and return on spend."""
+    totals = days.groupBy("customer_id", "campaign_id", "campaign_name").agg(
         F.sum("impressions").alias("total_impressions"),
         F.sum("clicks").alias("total_clicks"),
         F.sum("cost_micros").alias("total_cost_micros"),
