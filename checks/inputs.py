@@ -136,9 +136,14 @@ LEADS = Derived("orders", (
     "CAST(o_orderdate AS DATE) AS _load_date",
 ))
 
+# The leads as a log of few load dates: one a quarter.
+LEADS_BY_QUARTER = Derived("orders", tuple(
+    c.replace("CAST(o_orderdate AS DATE)", "CAST(date_trunc('quarter', o_orderdate) AS DATE)") for c in LEADS.columns))
+
 INPUTS = {
     "contacts": CONTACTS, "contact_versions": CONTACT_VERSIONS, "ad_campaigns": AD_CAMPAIGNS, "ads_dim": ADS_DIM,
     "search_dim": SEARCH_DIM, "insights": INSIGHTS, "search_rows": SEARCH_ROWS, "leads": LEADS,
+    "leads_by_quarter": LEADS_BY_QUARTER,
 }
 
 
@@ -165,10 +170,10 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def cte(*names: str) -> str:
-    """The derived inputs as the head of a DuckDB query."""
+    """The derived inputs as the head of a DuckDB query; ``a=b`` is the input b under the name a."""
     parts = []
-    for name in names:
-        d = INPUTS[name]
+    for name, _, of in (n.partition("=") for n in names):
+        d = INPUTS[of or name]
         source = d.table + (f" JOIN {d.join[0]} ON {d.join[1]}" if d.join else "")
         if d.versions:
             source += f" CROSS JOIN (SELECT unnest(range(1, {d.versions + 1})) AS n) v"

@@ -90,19 +90,19 @@ def _with_kept(df, column, before, after):
 
 
 @check("merge_partitions", """WITH parts AS (
-    SELECT c_custkey, c_name, c_acctbal, substr(md5(CAST(c_custkey AS VARCHAR)), 1, 1) AS part FROM customer),
+    SELECT c_custkey, c_name, c_acctbal, 'p' || substr(md5(CAST(c_custkey AS VARCHAR)), 1, 1) AS part FROM customer),
   state AS (
-    SELECT part, CASE WHEN part IN ('0', '7', 'c') AND c_custkey % 2 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS balance
-    FROM parts WHERE c_custkey % 10 <> 0 OR part IN ('0', '7', 'c'))
+    SELECT part, CASE WHEN part IN ('p0', 'p7', 'pc') AND c_custkey % 2 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS balance
+    FROM parts WHERE c_custkey % 10 <> 0 OR part IN ('p0', 'p7', 'pc'))
   SELECT part, COUNT(*) AS n_rows, CAST(SUM(CAST(round(balance * 100) AS BIGINT)) AS BIGINT) AS cents,
-    part NOT IN ('0', '7', 'c') AS files_kept FROM state GROUP BY part""")
+    part NOT IN ('p0', 'p7', 'pc') AS files_kept FROM state GROUP BY part""")
 def merge_partitions(spark, sf):
     """A batch of changed and new customers in three of sixteen key partitions, merged twice."""
     root = scratch_dir(spark, "merged")
     customers = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", F.lit(0).alias("seen"))
     P.merge_partitions(spark, customers.filter("c_custkey % 10 <> 0"), root, "c_custkey", "seen", digits=1)
     before = _files_by(spark, root, P.PART)
-    batch = customers.filter("c_custkey % 2 = 0").filter(P.key_part("c_custkey", 1).isin("0", "7", "c")).select(
+    batch = customers.filter("c_custkey % 2 = 0").filter(P.key_part("c_custkey", 1).isin("p0", "p7", "pc")).select(
         "c_custkey", "c_name", (F.col("c_acctbal") + 1).alias("c_acctbal"), F.lit(1).alias("seen"))
     older = batch.withColumns({"seen": F.lit(0), "c_acctbal": F.lit(0.0).cast(batch.schema["c_acctbal"].dataType)})
     for _ in range(2):
@@ -267,7 +267,7 @@ def materialize(spark, sf):
     root = scratch_dir(spark, "merged")
     for day in ("2023-01-01", "2023-02-01", "2023-03-01"):
         batch = rows.filter(F.col("load_date") == F.lit(day).cast("date"))
-        built["incremental"] = catalog.materialize(batch, "incremental", name, root, ["id"], ["load_date"], day)
+        built["incremental"] = catalog.materialize(batch, "incremental", name, root, ["id"], ["load_date"])
     return R.union_aligned(*[df.groupBy(F.lit(m).alias("mode")).agg(F.count(F.lit(1)).alias("n"))
                              for m, df in built.items()])
 

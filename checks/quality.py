@@ -95,7 +95,25 @@ def dq_failing_rows(spark, sf):
     store = scratch_dir(spark, "failures")
     contacts = frame(spark, sf, "contacts")
     Q.dq_report({"contacts": (contacts, Q.not_null("email") + Q.unique("id"))}, store)
-    return spark.read.parquet(f"{store}/contacts/not_null_email").select("id", "phone")
+    return spark.read.parquet(f"{store}/contacts").filter("test = 'not_null_email'").select("id", "phone")
+
+
+def _failing(source, key, tests):
+    """Rows of a test table that fail, named by the test."""
+    return " UNION ALL ".join(f"SELECT CAST({key} AS BIGINT) AS id, '{name}' AS test FROM {source} WHERE {bad}" for name, bad in tests)
+
+
+@check("dq_failing_tests", _failing("orders", "o_orderkey", [
+    ("not_null_o_orderpriority", "o_orderkey % 5 = 0"), ("accepted_values_o_orderstatus", "o_orderstatus = 'P'"),
+    ("unique_o_custkey", "o_custkey IN (SELECT o_custkey FROM orders GROUP BY o_custkey HAVING COUNT(*) > 1)")]))
+def dq_failing_tests(spark, sf):
+    """The failing rows of all tests of a table, stored in one write; a row that fails several tests is kept for each."""
+    from leadvault.session import scratch_dir
+    store = scratch_dir(spark, "failures")
+    orders = table(spark, sf, "orders").withColumn("o_orderpriority", F.expr("nullif(o_orderpriority, if(o_orderkey % 5 = 0, o_orderpriority, ''))"))
+    tests = Q.not_null("o_orderkey", "o_orderpriority") + Q.accepted("o_orderstatus", "O", "F") + Q.unique("o_orderkey", "o_custkey")
+    Q.store_failing_rows(orders, tests, store)
+    return spark.read.parquet(store).select(F.col("o_orderkey").cast("bigint").alias("id"), "test")
 
 
 @check("freshness", """SELECT MAX(ts) AS max_loaded_at, datesub('hour', MAX(ts), TIMESTAMP '2024-02-01') AS age_hours,

@@ -82,6 +82,53 @@ def load_satellite(batch: DataFrame, key: str, load_date: str, diff: str, target
     return target.join(touched, key, "left_anti").unionByName(rebuilt, allowMissingColumns=True)
 
 
+def earlier_rows(batch: DataFrame, target: DataFrame | None, keys, order) -> DataFrame:
+    """Rows of a batch (one per key) that an insert-only table lacks, or has with greater ``order`` columns only.
+
+    Appending them keeps the load insert-only and makes it independent of the order in which batches arrive: readers take
+    the least row per key. Only the keys and order columns of the target are read, and only for keys of the batch."""
+    if target is None:
+        return batch
+    keys, order = _as_list(keys), _as_list(order)
+    known = target.select(*keys, *order).join(batch.select(*keys), keys, "left_semi").groupBy(*keys).agg(
+        F.min(F.struct(*order)).alias("_known"))
+    return batch.join(known, keys, "left").filter(
+        F.col("_known").isNull() | (F.struct(*order) < F.col("_known"))).select(batch.columns)
+
+
+def _same(left: DataFrame, right: DataFrame, cols, how: str) -> DataFrame:
+    """Semi or anti join on columns that may hold NULL."""
+    named = right.select(*[F.col(c).alias(f"_r_{c}") for c in cols])
+    on = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in cols]
+    return left.join(named, on, how)
+
+
+def new_versions(batch: DataFrame, stored: DataFrame | None, key: str, load_date: str, diff: str) -> DataFrame:
+    """Rows of a batch to append to a satellite that is only ever appended to: versions it lacks.
+
+    What is in force before and after a row follows from the stored versions of the batch's keys, of which only key, date
+    and change hash are read. A row that repeats the version before it is none; it becomes one when a late row is loaded
+    between them, so a late batch brings the rows of its keys since then along (see ``layers``). Versions that
+    a late row turns into repeats stay stored and are left out by ``satellite_history``."""
+    slim, rest = [key, load_date, diff], [c for c in batch.columns if c not in (key, load_date, diff)]
+    seen = batch.select(*slim)
+    known = None
+    if stored is not None:
+        known = stored.select(*slim).join(batch.select(key).distinct(), key, "left_semi")
+        seen = seen.unionByName(known)
+    versions = version_history(seen.distinct(), key, load_date, diff).select(*slim)
+    fresh = versions if known is None else _same(versions, known, slim, "left_anti")
+    return earliest_row(_same(batch, fresh, slim, "left_semi"), slim, rest).select(batch.columns)
+
+
+def satellite_history(stored: DataFrame, key: str, load_date: str, diff: str, end_col: str = "load_end_date") -> DataFrame:
+    """An appended satellite as its readers see it: each version with the date that ended it, NULL while it is in force.
+
+    Ends are not stored, so closing a version rewrites nothing; they follow from a summary with one row per key and
+    date."""
+    return version_history(stored, key, load_date, diff, end_col)
+
+
 def snapshot_scd2(source: DataFrame, keys, updated_at: str, target: DataFrame | None = None,
                   bucket: Column | None = None) -> DataFrame:
     """Type-2 snapshot by timestamp: a version per (key, updated_at), valid until the next one.

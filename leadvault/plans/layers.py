@@ -1,42 +1,96 @@
-"""All layers in order, as one Spark application."""
+"""All layers in order, as one Spark application that loads what is new since the run before.
+
+A run reads the load dates of the sources that its marks don't hold, or hold with another number of rows, whichever
+dates these are: late ones too. Staging replaces those date partitions. Insights and search rows are merged into
+monthly partitions, and campaign days recomputed for the months they touch. Hubs, links and offers are appended to, and so is
+the satellite: ends of versions are worked out on reading. Gold tables are rebuilt from stored tables."""
 
 from __future__ import annotations
 
 import time
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql import functions as F
 
-from leadvault.operators.quality import accepted, dq_report, not_null, unique
+from leadvault.operators.aggregates import earliest_row, first_seen
+from leadvault.operators.quality import accepted, dq_report, not_null, store_failing_rows, unique
+from leadvault.operators.vault import earlier_rows, new_versions, satellite_history
 from leadvault.plans import campaigns as C
 from leadvault.plans import marts as M
 from leadvault.plans import staging as S
 from leadvault.plans import vault as V
-from leadvault.sources.versions import current, publish
+from leadvault.sources import partitions as P
+from leadvault.sources.reads import load_seed
+from leadvault.sources.schemas import AD_INSIGHTS, SEARCH_CAMPAIGNS
 from leadvault.sources.writes import write_table
 
-STATUS_SCHEMA = "layer string, step string, status string, error string, seconds double"
+STATUS_SCHEMA = "layer string, step string, status string, error string, n_rows bigint, seconds double"
+MARKS_SCHEMA = "run bigint, source string, load_date string, n_rows bigint"
+
+#: Append logs by load date; every other input is a small table that is read whole.
+LOGS = ("contacts", "leads", "ad_campaigns", "insights", "search_rows")
+
+
+@dataclass
+class Run:
+    """What a step sees: the inputs, the models stored so far, and of both the rows of this run's window."""
+
+    spark: SparkSession
+    root: str
+    as_of: str
+    tables: dict
+    window: dict = field(default_factory=dict)  # source -> its load dates in the window
+    loaded: dict = field(default_factory=dict)  # source -> load dates of earlier runs
+    touched: dict = field(default_factory=dict)  # model -> partitions this run replaced
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.tables[name]
+
+    def new(self, source: str) -> DataFrame:
+        """Rows of a source that this run loads; the dates are literals, so only their partitions are read."""
+        return self[source].filter(P.within("_load_date", self.window[source]))
+
+    def dates(self, *sources: str) -> list:
+        return sorted({str(d)[:10] for s in sources for d in self.window[s]})
+
+    def staged(self, model: str, source: str) -> DataFrame:
+        """Staged rows of the window."""
+        return self[model].filter(F.col("load_date").isin([_day(d) for d in self.dates(source)]))
+
+    def fresh(self, model: str) -> DataFrame:
+        """Rows of the months of a model that this run replaced."""
+        return self[model].filter(P.within("month", self.touched[model]))
+
+
+def _day(text: str):
+    return F.lit(text).cast("date")
 
 
 @dataclass(frozen=True)
 class Step:
-    """One stored model: a function of the models before it and of its own stored state.
+    """One stored model.
 
-    ``load`` says how the result is stored: ``rebuild`` replaces the table, ``append`` adds the
-    returned new rows to it, ``version`` publishes a new version of the whole table."""
+    ``load`` says how the result of ``build`` is stored: ``rebuild`` replaces the table, ``append`` adds the rows,
+    ``dates`` replaces the window's partitions, ``merge`` and ``days`` replace the partitions (``by``) that the rows
+    touch, by key or as they are. ``read`` turns what is stored into what later steps see."""
 
     layer: str
     name: str
-    build: Callable[[dict, DataFrame | None], DataFrame]
+    build: Callable[[Run, DataFrame | None], DataFrame]
     options: str = "mart"
-    sort_by: tuple = ()
     load: str = "rebuild"
+    sort_by: tuple = ()
+    by: str | None = None
+    source: str | None = None
+    keys: tuple = ()
+    order: tuple = ()
+    read: Callable[[DataFrame], DataFrame] | None = None
 
 
 # A failure in these layers ends the run; elsewhere it is recorded and the run goes on.
-CRITICAL = ("staging", "silver")
+CRITICAL = ("window", "staging", "silver")
 
 BOOLEANS = (True, False)
 
@@ -69,90 +123,193 @@ def source_tests() -> dict:
     }
 
 
-def steps(as_of: str) -> list[Step]:
-    """The models in dependency order. ``t`` holds the inputs and every model built so far,
-    ``old`` what is stored of the model itself."""
+def _person_rows(run: Run, _) -> DataFrame:
+    """Staged rows that bear on the satellite: those of the window, and of their people everything staged since the
+    window's first date, because a late row decides what later rows change."""
+    rows = V.person_batch(run.staged("stg_leads", "leads"), run.staged("stg_contacts", "contacts"))
+    dates = run.dates("leads", "contacts")
+    if not dates or not any(day > dates[0] for source in ("leads", "contacts") for day in run.loaded[source]):
+        return rows
+    since = F.col("load_date") >= _day(dates[0])
+    later = V.person_batch(run["stg_leads"].filter(since), run["stg_contacts"].filter(since))
+    return later.join(rows.select(V.PERSON).distinct(), V.PERSON, "left_semi")
+
+
+def _by_month(df: DataFrame, date: str) -> DataFrame:
+    """Rows that are read again for some weeks lie in monthly partitions: a load replaces one or two of them."""
+    return df.withColumn("month", F.trunc(F.col(date).try_cast("date"), "month"))
+
+
+_SEEN = ("load_date", "record_source")
+_OFFER = (V.PERSON, "rule", "match_key")
+DASHBOARD = ("leads_by_origin", "leads_by_day", "leads_by_quality", "platform_performance", "leads_by_client",
+             "completeness_funnel", "cost_per_lead", "lead_heatmap")
+
+
+def steps(dashboard_days: int | None = 30) -> list[Step]:
+    """The models in dependency order."""
+    def dashboard(name):
+        return Step("gold", name, lambda r, old: M.dashboard(r["mart_leads"], r.as_of, dashboard_days)[name])
+
+    def first_sighting(keys, order):
+        return lambda df: earliest_row(df, keys, order, [c for c in df.columns if c not in (*keys, *order)]).select(df.columns)
+
+    def appended(name, build, options, keys, order=_SEEN, read=None):
+        """An insert-only table: of the batch's rows those it lacks, or has with a later sighting only."""
+        return Step("silver", name, lambda r, old: earlier_rows(build(r), old, keys, order), options, "append",
+                    sort_by=tuple(keys), read=read or first_sighting(keys, order))
+
     return [
-        Step("staging", "stg_contacts", lambda t, old: S.stg_contacts(t["contacts"], as_of), "bronze"),
-        Step("staging", "stg_leads", lambda t, old: S.stg_leads(t["leads"]), "bronze"),
-        Step("staging", "stg_search_rows", lambda t, old: S.stg_search_rows(t["search_rows"]), "bronze"),
-        Step("staging", "stg_ad_campaigns", lambda t, old: S.stg_ad_campaigns(t["ad_campaigns"], t["insights"]),
-             "bronze"),
-        Step("staging", "stg_search_campaigns", lambda t, old: S.stg_search_campaigns(t["search_rows"]), "bronze"),
-        Step("silver", "hub_person", lambda t, old: V.hub_person_multi(t["stg_leads"], t["stg_contacts"], old, False),
-             "hub", (V.PERSON,), "append"),
-        Step("silver", "hub_campaign",
-             lambda t, old: V.hub_campaign(t["stg_ad_campaigns"], t["stg_search_campaigns"], old, False),
-             "hub", (V.CAMPAIGN,), "append"),
-        Step("silver", "hub_producer", lambda t, old: V.hub_producer(t["stg_contacts"], as_of, old),
-             "hub", (V.PRODUCER,), "append"),
-        Step("silver", "link_person_producer", lambda t, old: V.link_person_producer(t["stg_contacts"], old, False),
-             "link", (V.PERSON_PRODUCER,), "append"),
+        Step("staging", "stg_contacts", lambda r, old: S.stg_contacts(r.new("contacts"), r.as_of), "bronze", "dates",
+             by="load_date", source="contacts"),
+        Step("staging", "stg_leads", lambda r, old: S.stg_leads(r.new("leads")), "bronze", "dates", by="load_date",
+             source="leads"),
+        Step("staging", "stg_search_rows", lambda r, old: S.stg_search_rows(r.new("search_rows")), "bronze", "dates",
+             by="load_date", source="search_rows"),
+        Step("staging", "ad_campaign_rows", lambda r, old: S.current_campaigns(r.new("ad_campaigns")), "bronze", "merge",
+             keys=("id",), order=tuple(S.CAMPAIGN_ORDER)),
+        Step("staging", "insight_rows", lambda r, old: _by_month(S.current_insights(r.new("insights")), "date_start"), "bronze",
+             "merge", by="month", keys=AD_INSIGHTS.key, order=tuple(S.LOAD_ORDER)),
+        Step("staging", "search_current", lambda r, old: _by_month(S.current_search_rows(r.new("search_rows")), "date"), "bronze",
+             "merge", by="month", keys=SEARCH_CAMPAIGNS.key, order=tuple(S.LOAD_ORDER)),
+        Step("staging", "insight_days", lambda r, old: _by_month(S.insight_days(r.fresh("insight_rows")), "date_start"),
+             "bronze", "days", by="month"),
+        Step("staging", "search_days", lambda r, old: _by_month(
+            S.search_days(S.stg_search_rows(r.fresh("search_current"))), "campaign_date"), "bronze", "days", by="month"),
+        Step("staging", "stg_ad_campaigns", lambda r, old: S.ad_campaigns_of(r["ad_campaign_rows"], r["insight_days"]), "bronze"),
+        Step("staging", "stg_search_campaigns", lambda r, old: S.search_campaigns_of(r["search_days"]), "bronze"),
+        appended("hub_person", lambda r: V.hub_person_multi(
+            r.staged("stg_leads", "leads"), r.staged("stg_contacts", "contacts"), None, False), "hub", (V.PERSON,),
+            read=lambda df: first_seen(df, V.PERSON)),
+        appended("hub_campaign", lambda r: V.hub_campaign(r["stg_ad_campaigns"], r["stg_search_campaigns"], None, False),
+                 "hub", (V.CAMPAIGN,)),
+        Step("silver", "hub_producer", lambda r, old: V.hub_producer(r.staged("stg_contacts", "contacts"), r.as_of, old),
+             "hub", "append", sort_by=(V.PRODUCER,)),
+        appended("link_person_producer", lambda r: V.link_person_producer(r.staged("stg_contacts", "contacts"), None, False),
+                 "link", (V.PERSON_PRODUCER,)),
         Step("silver", "campaign_match_keys",
-             lambda t, old: V.campaign_match_keys(t["stg_ad_campaigns"], t["stg_search_campaigns"]), "link"),
-        Step("silver", "campaign_offers",
-             lambda t, old: V.campaign_offers(t["stg_contacts"], t["campaign_match_keys"]), "link"),
-        Step("silver", "person_campaign_matches", lambda t, old: V.best_matches(t["campaign_offers"]),
-             "link", (V.PERSON,)),
-        Step("silver", "sat_person", lambda t, old: V.sat_person(t["stg_leads"], t["stg_contacts"], old),
-             "satellite", (V.PERSON, "load_date"), "version"),
-        Step("gold", "campaign_metrics", lambda t, old: C.campaign_metrics(t["insights"], t["search_rows"])),
-        Step("gold", "campaigns", lambda t, old: C.campaigns_unified(
-            t["ads_dim"], t["search_dim"], t["campaign_metrics"], as_of)),
-        Step("gold", "mart_leads", lambda t, old: M.mart_leads(
-            t["hub_person"], t["sat_person"], t["campaigns"], as_of), "mart", ("lead_key",)),
+             lambda r, old: V.campaign_match_keys(r["stg_ad_campaigns"], r["stg_search_campaigns"]), "link"),
+        appended("contact_offers", lambda r: V.contact_offers(r.staged("stg_contacts", "contacts")), "link", _OFFER),
+        Step("silver", "campaign_offers", lambda r, old: V.known_offers(r["contact_offers"], r["campaign_match_keys"]), "link"),
+        Step("silver", "person_campaign_matches", lambda r, old: V.best_matches(r["campaign_offers"]), "link",
+             sort_by=(V.PERSON,)),
+        Step("silver", "sat_person", lambda r, old: new_versions(_person_rows(r, old), old, V.PERSON, "load_date", "hash_diff"),
+             "satellite", "append", sort_by=(V.PERSON, "load_date"),
+             read=lambda df: satellite_history(df, V.PERSON, "load_date", "hash_diff")),
+        Step("gold", "campaign_metrics", lambda r, old: C.metrics_of(r["insight_days"], r["search_days"])),
+        Step("gold", "campaigns", lambda r, old: C.campaigns_unified(r["ads_dim"], r["search_dim"], r["campaign_metrics"], r.as_of)),
+        Step("gold", "mart_leads", lambda r, old: M.mart_leads(r["hub_person"], r["sat_person"], r["campaigns"], r.as_of),
+             sort_by=("lead_key",)),
+        *map(dashboard, DASHBOARD),
     ]
 
 
-def stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """A stored table, or None before its first load."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+def window(spark: SparkSession, logs: dict, root: str) -> tuple[dict, dict, DataFrame]:
+    """Per log the load dates that are new, or have another number of rows than when they were loaded; the dates
+    loaded before; and the marks to keep once the new ones are. No data column is read: row counts come from file footers, dates from partitions
+    (or from that one column)."""
+    marks = P.stored_or_none(spark, f"{root}/marks", MARKS_SCHEMA)
+    known = {} if marks is None else {
+        (r["source"], r["load_date"]): r["n_rows"]
+        for r in marks.groupBy("source", "load_date").agg(F.max_by("n_rows", "run").alias("n_rows")).collect()}
+    run = 1 if marks is None else marks.agg(F.max("run")).first()[0] + 1
+    dates, rows = {}, []
+    for name, df in logs.items():
+        dates[name] = []
+        for day, count, valid in df.filter("_load_date IS NOT NULL").groupBy("_load_date").agg(
+                F.count(F.lit(1)), F.first(F.col("_load_date").try_cast("date")).isNotNull()).collect():
+            if not valid:
+                raise ValueError(f"{name} has the load date {day!r}, which is none")
+            if known.get((name, str(day))) != count:
+                dates[name].append(day)
+                rows.append((run, name, str(day), count))
+    loaded = {name: [day for source, day in known if source == name] for name in logs}
+    return dates, loaded, spark.createDataFrame(rows, MARKS_SCHEMA)
 
 
-def load_step(spark: SparkSession, step: Step, tables: dict, root: str, as_of: str) -> DataFrame:
+def load_step(run: Run, step: Step) -> DataFrame:
     """Build one model, store it, and return it read back."""
-    path = f"{root}/{step.layer}/{step.name}"
-    if step.load == "version":
-        return publish(step.build(tables, current(spark, path)), path, as_of, layer=step.options)
-    old = stored(spark, path) if step.load == "append" else None
-    df = step.build(tables, old)
-    mode = "append" if step.load == "append" else "overwrite"
-    write_table(df, path, sort_by=step.sort_by, distribute_by=step.sort_by[:1], layer=step.options, mode=mode)
-    return spark.read.schema(df.schema).parquet(path)
+    spark, path = run.spark, f"{run.root}/{step.layer}/{step.name}"
+    old = P.stored_or_none(spark, path)
+    df = step.build(run, old)
+    if step.load == "rebuild":
+        write_table(df, path, sort_by=step.sort_by, distribute_by=step.sort_by[:1], layer=step.options)
+    elif step.load == "append":
+        write_table(df, path, sort_by=step.sort_by, distribute_by=step.sort_by[:1], layer=step.options, mode="append")
+    elif step.load == "merge":
+        run.touched[step.name] = P.merge_partitions(spark, df, path, step.keys, step.order, step.by, mode="newest", layer=step.options)
+    else:
+        P.replace_partitions(df, path, step.by, layer=step.options)
+        if step.load == "dates" and old is not None:  # a date that was loaded again and has no row now
+            some = old.filter(F.col(step.by).isin([_day(d) for d in run.dates(step.source)]))
+            gone = set(P.partition_values(some, step.by)) - set(P.partition_values(df, step.by))
+            P.drop_partitions(spark, path, step.by, sorted(gone))
+    result = P.stored_or_none(spark, path)
+    if result is None:  # nothing was ever written
+        result = spark.createDataFrame([], df.schema)
+    return result if step.read is None else step.read(result)
 
 
-def run_layers(spark: SparkSession, inputs: dict, root: str, as_of: str, extra_steps=()) -> DataFrame:
-    """Load every layer below ``root`` and return one status row per step.
+def run_layers(spark: SparkSession, inputs: dict, root: str, as_of: str, extra_steps=(), dashboard_days: int | None = 30,
+               seeds: dict | None = None) -> DataFrame:
+    """Load every layer below ``root`` and return one status row per step, with the rows its model has.
 
-    Each model is written as a table and read back, so a later step starts from files instead of
-    recomputing what came before, and a lost executor costs only its own tasks. Run again on the
-    same root, hubs and links grow by their new rows, and the satellite gets a new version.
+    ``inputs`` maps names to frames; of the logs (``LOGS``) a run loads only the load dates that are new or have changed
+    since the runs before, in whatever order dates arrive: runs over parts end in what one run over all gives. Dates are kept in
+    ``marks`` once the layers that must not fail are loaded, so a run that died loads its window again; every load can be
+    repeated. ``seeds`` maps names to (CSV path, schema).
 
-    The full person-campaign link is left to its readers (``vault.expand_matches`` over the two
-    stored tables), since it can be far larger than all its inputs."""
-    tables, status = dict(inputs), []
+    Each model is written as a table and read back, so a later step starts from files instead of recomputing what
+    came before, and a lost executor costs only its own tasks.
 
-    def attempt(layer: str, name: str, work: Callable[[], None]) -> None:
-        began, error = time.monotonic(), None
+    The full person-campaign link is left to its readers (``vault.expand_matches`` over the stored tables), since it can
+    be far larger than all its inputs."""
+    run, status, marks = Run(spark, root, as_of, dict(inputs)), [], None
+
+    def attempt(layer: str, name: str, work: Callable[[], int | None]) -> None:
+        began, error, rows = time.monotonic(), None, None
         try:
-            work()
+            rows = work()
         except Exception as failure:  # recorded per step, raised for the layers others rest on
             if layer in CRITICAL:
                 raise
             error = str(failure).strip().splitlines()[0][:500]
-        status.append((layer, name, "failed" if error else "success", error, round(time.monotonic() - began, 3)))
+        status.append((layer, name, "failed" if error else "success", error, rows, round(time.monotonic() - began, 3)))
+
+    def open_window() -> int:
+        nonlocal marks
+        run.window, run.loaded, marks = window(spark, {name: run[name] for name in LOGS}, root)
+        return sum(map(len, run.window.values()))
+
+    def load(step: Step) -> int:
+        run.tables[step.name] = load_step(run, step)
+        return run.tables[step.name].count()
+
+    def seed(name: str) -> int:
+        write_table(load_seed(spark, *seeds[name]), f"{root}/seeds/{name}", layer="seed")
+        run.tables[name] = spark.read.parquet(f"{root}/seeds/{name}")
+        return run.tables[name].count()
 
-    for step in [*steps(as_of), *extra_steps]:
-        def load(step=step):
-            tables[step.name] = load_step(spark, step, tables, root, as_of)
-        attempt(step.layer, step.name, load)
+    attempt("window", "load_dates", open_window)
+    for name in seeds or {}:
+        attempt("seeds", name, lambda name=name: seed(name))
+    kept = False
+    for step in [*steps(dashboard_days), *extra_steps]:
+        if not kept and step.layer not in CRITICAL:
+            marks.write.mode("append").parquet(f"{root}/marks")
+            kept = True
+        attempt(step.layer, step.name, lambda step=step: load(step))
 
-    def test():
+    def report() -> int:
         declared = {**source_tests(), **staging_tests()}
-        checks = {name: (tables[name], tests) for name, tests in declared.items()}
+        checks = {name: (run[name], tests) for name, tests in declared.items()}
         write_table(dq_report(checks), f"{root}/test_failures/report", layer="seed")
-    attempt("test", "dq_report", test)
+        return spark.read.parquet(f"{root}/test_failures/report").count()
+
+    def failing() -> int:
+        declared = {**source_tests(), **staging_tests()}
+        return sum(store_failing_rows(run[name], tests, f"{root}/test_failures/rows/{name}") for name, tests in declared.items())
+
+    attempt("test", "dq_report", report)
+    attempt("test", "failing_rows", failing)
     return spark.createDataFrame(status, STATUS_SCHEMA)

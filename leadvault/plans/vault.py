@@ -108,18 +108,25 @@ def campaign_match_keys(ads: DataFrame, search: DataFrame) -> DataFrame:
     return both.select(CAMPAIGN, F.inline(keys)).filter(F.col("match_key").isNotNull()).distinct()
 
 
-def campaign_offers(contacts: DataFrame, keys: DataFrame) -> DataFrame:
-    """Every key a person's tags offer that some campaign has: one row per (person, rule,
-    match_key) with its earliest load. Offers are folded on the map side, so the many rows of one
-    person or tag shrink before they are shuffled."""
+def contact_offers(contacts: DataFrame) -> DataFrame:
+    """Every key a person's tags offer: one row per (person, rule, match_key) with its earliest load. Offers are
+    folded on the map side, so the many rows of one person or tag shrink before they are shuffled."""
     tagged = contact_person(contacts).filter(non_blank("utm_campaign"))
     offer = lambda rule, col: F.struct(F.lit(rule).alias("rule"), col.alias("match_key"))
     offers = F.array(offer(1, F.col("utm_campaign")), offer(2, F.lower("utm_campaign")),
                      offer(3, alias_column("utm_source", SOURCE_ALIASES)))
     offered = tagged.select(PERSON, "load_date", "record_source", F.inline(offers)).filter(
         F.col("match_key").isNotNull())
-    folded = earliest_row(offered, [PERSON, "rule", "match_key"], ["load_date", "record_source"])
-    return folded.join(keys.select("rule", "match_key").distinct(), ["rule", "match_key"], "left_semi")
+    return earliest_row(offered, [PERSON, "rule", "match_key"], ["load_date", "record_source"])
+
+
+def known_offers(offers: DataFrame, keys: DataFrame) -> DataFrame:
+    """Offers that some campaign has."""
+    return offers.join(keys.select("rule", "match_key").distinct(), ["rule", "match_key"], "left_semi")
+
+
+def campaign_offers(contacts: DataFrame, keys: DataFrame) -> DataFrame:
+    return known_offers(contact_offers(contacts), keys)
 
 
 def best_matches(offers: DataFrame) -> DataFrame:
@@ -199,8 +206,13 @@ def with_completeness(details: DataFrame) -> DataFrame:
     })
 
 
+def person_batch(leads: DataFrame, contacts: DataFrame) -> DataFrame:
+    """What a batch of staged rows says about people, as rows of the satellite."""
+    return with_completeness(person_details(leads, contacts))
+
+
 def sat_person(leads: DataFrame, contacts: DataFrame, target: DataFrame | None = None,
                mode: str = "consecutive") -> DataFrame:
     """Person satellite after a batch: versioned attributes with flags and score."""
-    batch = with_completeness(person_details(leads, contacts))
+    batch = person_batch(leads, contacts)
     return load_satellite(batch, PERSON, "load_date", "hash_diff", target, mode=mode)

@@ -83,10 +83,9 @@ def analyze(spark: SparkSession, table: str, all_columns: bool = False) -> DataF
     return spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Statistics'")
 
 
-def materialize(df: DataFrame, mode: str, name: str, path: str | None = None, keys=(), order_by=(),
-                as_of: str | None = None) -> DataFrame:
-    """Store a model as a ``view`` (lazy), a ``table`` (rebuilt) or ``incremental`` (merged by key
-    into the newest version below ``path``)."""
+def materialize(df: DataFrame, mode: str, name: str, path: str | None = None, keys=(), order_by=()) -> DataFrame:
+    """Store a model as a ``view`` (lazy), a ``table`` (rebuilt) or ``incremental`` (merged by key into the dataset
+    at ``path``, of which only the key partitions that the frame touches are rewritten)."""
     spark = df.sparkSession
     if mode == "view":
         df.createOrReplaceTempView(name)
@@ -95,9 +94,8 @@ def materialize(df: DataFrame, mode: str, name: str, path: str | None = None, ke
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
     if mode == "incremental":
-        from leadvault.operators.incremental import merge_upsert
-        from leadvault.sources.versions import current, publish
+        from leadvault.sources.partitions import PART, merge_partitions
 
-        merged = merge_upsert(current(spark, path), df, keys, order_by)
-        return publish(merged, path, as_of)
+        merge_partitions(spark, df, path, keys, order_by)
+        return spark.read.parquet(path).drop(PART)
     raise ValueError(mode)

@@ -7,6 +7,7 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from leadvault.operators.incremental import merge_upsert
 from leadvault.operators.windows import _as_list, latest_of
@@ -18,19 +19,29 @@ PART = "part"
 
 
 def stored_or_none(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
-    """A stored dataset, or None where nothing was ever written. Whatever else is wrong with it is an error."""
+    """A stored dataset, or None where nothing was ever written: no folder, or one without a file. Whatever else is wrong
+    with it is an error."""
     try:
         return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return None
 
 
+def _stored_like(spark: SparkSession, path: str, batch: DataFrame, column: str) -> DataFrame | None:
+    """A stored dataset whose partition column has the batch's type, not the one its values look like."""
+    old = stored_or_none(spark, path)
+    if old is None or old.schema[column].dataType == batch.schema[column].dataType:
+        return old
+    fields = [batch.schema[column] if f.name == column else f for f in old.schema]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
 def key_part(keys, digits: int = 2) -> Column:
-    """The partition of a key: the first hex digits of its hash, 16 ** digits partitions of about equal size."""
+    """The partition of a key: ``p`` and the first hex digits of its hash, 16 ** digits partitions of about equal size."""
     text = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in _as_list(keys)]
-    return F.substring(F.md5(F.concat_ws("|", *text)), 1, digits)
+    return F.concat(F.lit("p"), F.substring(F.md5(F.concat_ws("|", *text)), 1, digits))
 
 
 def partition_values(df: DataFrame, column: str) -> list:
@@ -74,7 +85,7 @@ def merge_partitions(spark: SparkSession, batch: DataFrame, path: str, keys, ord
     newest = latest_of(batch, keys, order_by)
     newest = _kept_aside(newest if partition else newest.withColumn(PART, key_part(keys, digits)), "batch")
     touched = partition_values(newest, by)
-    old = stored_or_none(spark, path)
+    old = _stored_like(spark, path, newest, by)
     if old is not None and touched:
         old = old.filter(within(by, touched))
         if mode == "newest":

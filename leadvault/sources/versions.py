@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
+from leadvault.sources.partitions import stored_or_none
 from leadvault.sources.writes import write_table
 
 LOG_SCHEMA = "version bigint, committed_at timestamp_ntz, path string"
@@ -17,10 +17,8 @@ LOG_SCHEMA = "version bigint, committed_at timestamp_ntz, path string"
 
 def load_log(spark: SparkSession, root: str) -> DataFrame:
     """One row per finished version; empty for a dataset that does not exist yet."""
-    try:
-        return spark.read.schema(LOG_SCHEMA).parquet(f"{root}/load_log")
-    except AnalysisException:
-        return spark.createDataFrame([], LOG_SCHEMA)
+    log = stored_or_none(spark, f"{root}/load_log", LOG_SCHEMA)
+    return spark.createDataFrame([], LOG_SCHEMA) if log is None else log
 
 
 def newest_version(spark: SparkSession, root: str) -> int:
