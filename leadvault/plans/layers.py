@@ -8,6 +8,7 @@ the satellite: ends of versions are worked out on reading. Gold tables are rebui
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Callable
 
@@ -74,7 +75,8 @@ class Step:
 
     ``load`` says how the result of ``build`` is stored: ``rebuild`` replaces the table, ``append`` adds the rows,
     ``dates`` replaces the window's partitions, ``merge`` and ``days`` replace the partitions (``by``) that the rows
-    touch, by key or as they are. ``read`` turns what is stored into what later steps see."""
+    touch, by key or as they are. ``read`` turns what is stored into what later steps see. A model that rests on ``logs`` only
+    stays as it is in a run whose window has no date of them."""
 
     layer: str
     name: str
@@ -83,7 +85,7 @@ class Step:
     load: str = "rebuild"
     sort_by: tuple = ()
     by: str | None = None
-    source: str | None = None
+    logs: tuple = ()
     keys: tuple = ()
     order: tuple = ()
     read: Callable[[DataFrame], DataFrame] | None = None
@@ -92,6 +94,9 @@ class Step:
 # A failure in these layers ends the run; elsewhere it is recorded and the run goes on.
 CRITICAL = ("window", "staging", "silver")
 
+#: Models that are loaded at the same time, where they don't rest on each other.
+AT_ONCE = 8
+
 BOOLEANS = (True, False)
 
 
@@ -123,7 +128,7 @@ def source_tests() -> dict:
     }
 
 
-def _person_rows(run: Run, _) -> DataFrame:
+def _person_rows(run: Run) -> DataFrame:
     """Staged rows that bear on the satellite: those of the window, and of their people everything staged since the
     window's first date, because a late row decides what later rows change."""
     rows = V.person_batch(run.staged("stg_leads", "leads"), run.staged("stg_contacts", "contacts"))
@@ -146,61 +151,74 @@ DASHBOARD = ("leads_by_origin", "leads_by_day", "leads_by_quality", "platform_pe
              "completeness_funnel", "cost_per_lead", "lead_heatmap")
 
 
-def steps(dashboard_days: int | None = 30) -> list[Step]:
-    """The models in dependency order."""
+def steps(dashboard_days: int | None = 30) -> list[list[Step]]:
+    """The models in dependency order; those of one list do not rest on each other."""
     def dashboard(name):
         return Step("gold", name, lambda r, old: M.dashboard(r["mart_leads"], r.as_of, dashboard_days)[name])
 
     def first_sighting(keys, order):
         return lambda df: earliest_row(df, keys, order, [c for c in df.columns if c not in (*keys, *order)]).select(df.columns)
 
-    def appended(name, build, options, keys, order=_SEEN, read=None):
+    def appended(name, build, options, keys, order=_SEEN, read=None, logs=()):
         """An insert-only table: of the batch's rows those it lacks, or has with a later sighting only."""
         return Step("silver", name, lambda r, old: earlier_rows(build(r), old, keys, order), options, "append",
-                    sort_by=tuple(keys), read=read or first_sighting(keys, order))
+                    sort_by=tuple(keys), read=read or first_sighting(keys, order), logs=logs)
 
+    contacts = lambda r: r.staged("stg_contacts", "contacts")
+    leads = lambda r: r.staged("stg_leads", "leads")
     return [
-        Step("staging", "stg_contacts", lambda r, old: S.stg_contacts(r.new("contacts"), r.as_of), "bronze", "dates",
-             by="load_date", source="contacts"),
-        Step("staging", "stg_leads", lambda r, old: S.stg_leads(r.new("leads")), "bronze", "dates", by="load_date",
-             source="leads"),
-        Step("staging", "stg_search_rows", lambda r, old: S.stg_search_rows(r.new("search_rows")), "bronze", "dates",
-             by="load_date", source="search_rows"),
-        Step("staging", "ad_campaign_rows", lambda r, old: S.current_campaigns(r.new("ad_campaigns")), "bronze", "merge",
-             keys=("id",), order=tuple(S.CAMPAIGN_ORDER)),
-        Step("staging", "insight_rows", lambda r, old: _by_month(S.current_insights(r.new("insights")), "date_start"), "bronze",
-             "merge", by="month", keys=AD_INSIGHTS.key, order=tuple(S.LOAD_ORDER)),
-        Step("staging", "search_current", lambda r, old: _by_month(S.current_search_rows(r.new("search_rows")), "date"), "bronze",
-             "merge", by="month", keys=SEARCH_CAMPAIGNS.key, order=tuple(S.LOAD_ORDER)),
-        Step("staging", "insight_days", lambda r, old: _by_month(S.insight_days(r.fresh("insight_rows")), "date_start"),
-             "bronze", "days", by="month"),
-        Step("staging", "search_days", lambda r, old: _by_month(
-            S.search_days(S.stg_search_rows(r.fresh("search_current"))), "campaign_date"), "bronze", "days", by="month"),
-        Step("staging", "stg_ad_campaigns", lambda r, old: S.ad_campaigns_of(r["ad_campaign_rows"], r["insight_days"]), "bronze"),
-        Step("staging", "stg_search_campaigns", lambda r, old: S.search_campaigns_of(r["search_days"]), "bronze"),
-        appended("hub_person", lambda r: V.hub_person_multi(
-            r.staged("stg_leads", "leads"), r.staged("stg_contacts", "contacts"), None, False), "hub", (V.PERSON,),
-            read=lambda df: first_seen(df, V.PERSON)),
-        appended("hub_campaign", lambda r: V.hub_campaign(r["stg_ad_campaigns"], r["stg_search_campaigns"], None, False),
-                 "hub", (V.CAMPAIGN,)),
-        Step("silver", "hub_producer", lambda r, old: V.hub_producer(r.staged("stg_contacts", "contacts"), r.as_of, old),
-             "hub", "append", sort_by=(V.PRODUCER,)),
-        appended("link_person_producer", lambda r: V.link_person_producer(r.staged("stg_contacts", "contacts"), None, False),
-                 "link", (V.PERSON_PRODUCER,)),
-        Step("silver", "campaign_match_keys",
-             lambda r, old: V.campaign_match_keys(r["stg_ad_campaigns"], r["stg_search_campaigns"]), "link"),
-        appended("contact_offers", lambda r: V.contact_offers(r.staged("stg_contacts", "contacts")), "link", _OFFER),
-        Step("silver", "campaign_offers", lambda r, old: V.known_offers(r["contact_offers"], r["campaign_match_keys"]), "link"),
-        Step("silver", "person_campaign_matches", lambda r, old: V.best_matches(r["campaign_offers"]), "link",
-             sort_by=(V.PERSON,)),
-        Step("silver", "sat_person", lambda r, old: new_versions(_person_rows(r, old), old, V.PERSON, "load_date", "hash_diff"),
-             "satellite", "append", sort_by=(V.PERSON, "load_date"),
-             read=lambda df: satellite_history(df, V.PERSON, "load_date", "hash_diff")),
-        Step("gold", "campaign_metrics", lambda r, old: C.metrics_of(r["insight_days"], r["search_days"])),
-        Step("gold", "campaigns", lambda r, old: C.campaigns_unified(r["ads_dim"], r["search_dim"], r["campaign_metrics"], r.as_of)),
-        Step("gold", "mart_leads", lambda r, old: M.mart_leads(r["hub_person"], r["sat_person"], r["campaigns"], r.as_of),
-             sort_by=("lead_key",)),
-        *map(dashboard, DASHBOARD),
+        [
+            Step("staging", "stg_contacts", lambda r, old: S.stg_contacts(r.new("contacts"), r.as_of), "bronze", "dates",
+                 by="load_date", logs=("contacts",)),
+            Step("staging", "stg_leads", lambda r, old: S.stg_leads(r.new("leads")), "bronze", "dates", by="load_date",
+                 logs=("leads",)),
+            Step("staging", "stg_search_rows", lambda r, old: S.stg_search_rows(r.new("search_rows")), "bronze", "dates",
+                 by="load_date", logs=("search_rows",)),
+            Step("staging", "ad_campaign_rows", lambda r, old: S.current_campaigns(r.new("ad_campaigns")), "bronze", "merge",
+                 keys=("id",), order=tuple(S.CAMPAIGN_ORDER), logs=("ad_campaigns",)),
+            Step("staging", "insight_rows", lambda r, old: _by_month(S.current_insights(r.new("insights")), "date_start"),
+                 "bronze", "merge", by="month", keys=AD_INSIGHTS.key, order=tuple(S.LOAD_ORDER), logs=("insights",)),
+            Step("staging", "search_current", lambda r, old: _by_month(S.current_search_rows(r.new("search_rows")), "date"),
+                 "bronze", "merge", by="month", keys=SEARCH_CAMPAIGNS.key, order=tuple(S.LOAD_ORDER), logs=("search_rows",)),
+        ],
+        [
+            Step("staging", "insight_days", lambda r, old: _by_month(S.insight_days(r.fresh("insight_rows")), "date_start"),
+                 "bronze", "days", by="month", logs=("insights",)),
+            Step("staging", "search_days", lambda r, old: _by_month(
+                S.search_days(S.stg_search_rows(r.fresh("search_current"))), "campaign_date"), "bronze", "days", by="month",
+                logs=("search_rows",)),
+        ],
+        [
+            Step("staging", "stg_ad_campaigns", lambda r, old: S.ad_campaigns_of(r["ad_campaign_rows"], r["insight_days"]),
+                 "bronze", logs=("ad_campaigns", "insights")),
+            Step("staging", "stg_search_campaigns", lambda r, old: S.search_campaigns_of(r["search_days"]), "bronze",
+                 logs=("search_rows",)),
+        ],
+        [
+            appended("hub_person", lambda r: V.hub_person_multi(leads(r), contacts(r), None, False), "hub", (V.PERSON,),
+                     logs=("contacts", "leads"), read=lambda df: first_seen(df, V.PERSON)),
+            appended("hub_campaign", lambda r: V.hub_campaign(r["stg_ad_campaigns"], r["stg_search_campaigns"], None, False),
+                     "hub", (V.CAMPAIGN,), logs=("ad_campaigns", "insights", "search_rows")),
+            Step("silver", "hub_producer", lambda r, old: V.hub_producer(contacts(r), r.as_of, old),
+                 "hub", "append", sort_by=(V.PRODUCER,), logs=("contacts",)),
+            appended("link_person_producer", lambda r: V.link_person_producer(contacts(r), None, False),
+                     "link", (V.PERSON_PRODUCER,), logs=("contacts",)),
+            Step("silver", "campaign_match_keys",
+                 lambda r, old: V.campaign_match_keys(r["stg_ad_campaigns"], r["stg_search_campaigns"]), "link",
+                 logs=("ad_campaigns", "insights", "search_rows")),
+            appended("contact_offers", lambda r: V.contact_offers(contacts(r)), "link", _OFFER, logs=("contacts",)),
+            Step("silver", "sat_person", lambda r, old: new_versions(_person_rows(r), old, V.PERSON, "load_date", "hash_diff"),
+                 "satellite", "append", sort_by=(V.PERSON, "load_date"), logs=("contacts", "leads"),
+                 read=lambda df: satellite_history(df, V.PERSON, "load_date", "hash_diff")),
+        ],
+        [Step("silver", "campaign_offers", lambda r, old: V.known_offers(r["contact_offers"], r["campaign_match_keys"]), "link")],
+        [Step("silver", "person_campaign_matches", lambda r, old: V.best_matches(r["campaign_offers"]), "link",
+              sort_by=(V.PERSON,))],
+        [Step("gold", "campaign_metrics", lambda r, old: C.metrics_of(r["insight_days"], r["search_days"]))],
+        [Step("gold", "campaigns", lambda r, old: C.campaigns_unified(r["ads_dim"], r["search_dim"], r["campaign_metrics"], r.as_of))],
+        [Step("gold", "mart_leads", lambda r, old: M.mart_leads(r["hub_person"], r["sat_person"], r["campaigns"], r.as_of),
+              sort_by=("lead_key",))],
+        [*map(dashboard, DASHBOARD)],
     ]
 
 
@@ -231,17 +249,19 @@ def load_step(run: Run, step: Step) -> DataFrame:
     """Build one model, store it, and return it read back."""
     spark, path = run.spark, f"{run.root}/{step.layer}/{step.name}"
     old = P.stored_or_none(spark, path)
+    if old is not None and step.logs and not run.dates(*step.logs):
+        run.touched[step.name] = []
+        return old if step.read is None else step.read(old)
     df = step.build(run, old)
-    if step.load == "rebuild":
-        write_table(df, path, sort_by=step.sort_by, distribute_by=step.sort_by[:1], layer=step.options)
-    elif step.load == "append":
-        write_table(df, path, sort_by=step.sort_by, distribute_by=step.sort_by[:1], layer=step.options, mode="append")
+    if step.load in ("rebuild", "append"):
+        write_table(df, path, sort_by=step.sort_by, distribute_by=step.sort_by[:1], layer=step.options,
+                    mode="append" if step.load == "append" else "overwrite")
     elif step.load == "merge":
         run.touched[step.name] = P.merge_partitions(spark, df, path, step.keys, step.order, step.by, mode="newest", layer=step.options)
     else:
         P.replace_partitions(df, path, step.by, layer=step.options)
         if step.load == "dates" and old is not None:  # a date that was loaded again and has no row now
-            some = old.filter(F.col(step.by).isin([_day(d) for d in run.dates(step.source)]))
+            some = old.filter(F.col(step.by).isin([_day(d) for d in run.dates(*step.logs)]))
             gone = set(P.partition_values(some, step.by)) - set(P.partition_values(df, step.by))
             P.drop_partitions(spark, path, step.by, sorted(gone))
     result = P.stored_or_none(spark, path)
@@ -260,13 +280,14 @@ def run_layers(spark: SparkSession, inputs: dict, root: str, as_of: str, extra_s
     repeated. ``seeds`` maps names to (CSV path, schema).
 
     Each model is written as a table and read back, so a later step starts from files instead of recomputing what
-    came before, and a lost executor costs only its own tasks.
+    came before, and a lost executor costs only its own tasks. Models that do not rest on each other are loaded at the same
+    time.
 
     The full person-campaign link is left to its readers (``vault.expand_matches`` over the stored tables), since it can
     be far larger than all its inputs."""
     run, status, marks = Run(spark, root, as_of, dict(inputs)), [], None
 
-    def attempt(layer: str, name: str, work: Callable[[], int | None]) -> None:
+    def attempt(layer: str, name: str, work: Callable[[], int]) -> tuple:
         began, error, rows = time.monotonic(), None, None
         try:
             rows = work()
@@ -274,7 +295,7 @@ def run_layers(spark: SparkSession, inputs: dict, root: str, as_of: str, extra_s
             if layer in CRITICAL:
                 raise
             error = str(failure).strip().splitlines()[0][:500]
-        status.append((layer, name, "failed" if error else "success", error, rows, round(time.monotonic() - began, 3)))
+        return layer, name, "failed" if error else "success", error, rows, round(time.monotonic() - began, 3)
 
     def open_window() -> int:
         nonlocal marks
@@ -290,26 +311,24 @@ def run_layers(spark: SparkSession, inputs: dict, root: str, as_of: str, extra_s
         run.tables[name] = spark.read.parquet(f"{root}/seeds/{name}")
         return run.tables[name].count()
 
-    attempt("window", "load_dates", open_window)
-    for name in seeds or {}:
-        attempt("seeds", name, lambda name=name: seed(name))
-    kept = False
-    for step in [*steps(dashboard_days), *extra_steps]:
-        if not kept and step.layer not in CRITICAL:
-            marks.write.mode("append").parquet(f"{root}/marks")
-            kept = True
-        attempt(step.layer, step.name, lambda step=step: load(step))
+    def declared() -> dict:
+        return {name: (run[name], tests) for name, tests in {**source_tests(), **staging_tests()}.items()}
 
     def report() -> int:
-        declared = {**source_tests(), **staging_tests()}
-        checks = {name: (run[name], tests) for name, tests in declared.items()}
-        write_table(dq_report(checks), f"{root}/test_failures/report", layer="seed")
+        write_table(dq_report(declared()), f"{root}/test_failures/report", layer="seed")
         return spark.read.parquet(f"{root}/test_failures/report").count()
 
     def failing() -> int:
-        declared = {**source_tests(), **staging_tests()}
-        return sum(store_failing_rows(run[name], tests, f"{root}/test_failures/rows/{name}") for name, tests in declared.items())
+        return sum(store_failing_rows(df, tests, f"{root}/test_failures/rows/{name}") for name, (df, tests) in declared().items())
 
-    attempt("test", "dq_report", report)
-    attempt("test", "failing_rows", failing)
+    status.append(attempt("window", "load_dates", open_window))
+    kept = False
+    with ThreadPoolExecutor(AT_ONCE) as pool:  # small tables leave most of a cluster idle
+        status += pool.map(lambda name: attempt("seeds", name, lambda: seed(name)), seeds or {})
+        for wave in [*steps(dashboard_days), *[[step] for step in extra_steps]]:
+            if not kept and wave[0].layer not in CRITICAL:
+                marks.write.mode("append").parquet(f"{root}/marks")
+                kept = True
+            status += pool.map(lambda step: attempt(step.layer, step.name, lambda: load(step)), wave)
+        status += pool.map(lambda test: attempt("test", *test), (("dq_report", report), ("failing_rows", failing)))
     return spark.createDataFrame(status, STATUS_SCHEMA)

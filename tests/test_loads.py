@@ -1,19 +1,23 @@
 """Files on disk: layouts, pushdown, versions, incremental runs."""
 
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from checks.inputs import frame, table
-from checks.staging import insights_log
+from checks.inputs import frame, stored, table
+from checks.staging import insights_log, search_log
 from leadvault.operators import maintenance as M
 from leadvault.operators import quality as Q
+from leadvault.operators import vault as dv
 from leadvault.streaming import loads as ST
 from leadvault.operators.incremental import lookback_replace, merge_upsert, newer_than
 from leadvault.plans import layers
 from leadvault.session import scratch_dir
 from leadvault.sources import catalog, reads, schemas, writes
+from leadvault.sources import partitions as P
+from leadvault.sources.reads import list_files
 from leadvault.sources.versions import current, load_log, publish
 
 
@@ -129,39 +133,110 @@ def test_fold_keeps_later_batches(spark, tmp_path):
     assert sorted(tuple(r) for r in got.collect()) == [(1, 2), (2, 5), (3, 1)]
 
 
-def test_two_daily_runs(spark, sf):
-    """The second run over grown inputs adds to hubs and closes versions; repeating it adds nothing."""
-    names = ("contacts", "leads", "search_rows", "ad_campaigns", "ads_dim", "search_dim")
+def layer_inputs(spark, sf, *leave_out):
+    names = {"contacts", "ad_campaigns", "ads_dim", "search_dim"} - set(leave_out)
     inputs = {n: frame(spark, sf, n) for n in names}
-    inputs["insights"] = insights_log(spark, sf)
+    return inputs | {"leads": frame(spark, sf, "leads_by_quarter"), "insights": insights_log(spark, sf), "search_rows": search_log(spark, sf)}
+
+
+def files_of(spark, path):
+    return {r["file_path"] for r in list_files(spark, path).collect()}
+
+
+def test_a_run_loads_what_is_new(spark, sf):
+    """A second run with one more load date replaces that partition only, and appends; a third finds nothing to do."""
+    inputs = {n: stored(df, n) for n, df in layer_inputs(spark, sf).items()}
     root = scratch_dir(spark, "daily")
-    cut = F.lit("1997-01-01").cast("date")
-    first = {**inputs, "leads": inputs["leads"].filter(F.col("load_date") < cut)}
-    counts = []
+    day = inputs["leads"].agg(F.max("_load_date")).first()[0]
+    last = F.lit(day)
+    first = {**inputs, "leads": inputs["leads"].filter(F.col("_load_date") < last)}
+    found = []
     for given in (first, inputs, inputs):
-        status = layers.run_layers(spark, given, root, "2000-01-01").collect()
-        assert {r["status"] for r in status} == {"success"} and len(status) == 17
-        hub = spark.read.parquet(f"{root}/silver/hub_person")
-        sat = current(spark, f"{root}/silver/sat_person")
-        assert hub.count() == hub.select("pessoa_hash_key").distinct().count()
-        counts.append((hub.count(), sat.count(), sat.filter("load_end_date is null").count()))
-    assert counts[0][0] < counts[1][0] and counts[0][1] < counts[1][1]
-    assert counts[1] == counts[2]
+        before = {m: files_of(spark, f"{root}/{m}") for m in ("staging/stg_leads", "staging/stg_contacts", "silver/sat_person",
+                                                              "silver/hub_person", "staging/insight_rows")} if found else {}
+        status = {r["step"]: r for r in layers.run_layers(spark, given, root, "2000-01-01").collect()}
+        assert {r["status"] for r in status.values()} == {"success"}
+        found.append({s: r["n_rows"] for s, r in status.items()})
+        for model, files in before.items():
+            assert files <= files_of(spark, f"{root}/{model}")
+        if before and given is inputs and len(found) == 2:
+            new = files_of(spark, f"{root}/staging/stg_leads") - before["staging/stg_leads"]
+            assert new and all(f"load_date={day}" in f for f in new)
+            assert files_of(spark, f"{root}/staging/insight_rows") == before["staging/insight_rows"]
+            # Nothing but new versions is appended to the satellite.
+            added = spark.read.parquet(*(files_of(spark, f"{root}/silver/sat_person") - before["silver/sat_person"]))
+            assert added.count() == found[1]["sat_person"] - found[0]["sat_person"] and added.filter(F.col("load_date") < last).isEmpty()
+    assert found[1]["load_dates"] == 1 and found[2]["load_dates"] == 0
+    assert {s: n for s, n in found[1].items() if s != "load_dates"} == {s: n for s, n in found[2].items() if s != "load_dates"}
     assert spark.read.parquet(f"{root}/test_failures/report").count() == 48
 
 
+def test_a_date_that_is_loaded_again(spark, sf):
+    """A load date with other rows than before replaces what was staged of it, also where nothing is left to stage."""
+    inputs, root = layer_inputs(spark, sf), scratch_dir(spark, "again")
+    contacts = stored(inputs["contacts"], "contacts")
+    layers.run_layers(spark, {**inputs, "contacts": contacts}, root, "2000-01-01")
+    staged = spark.read.parquet(f"{root}/staging/stg_contacts").groupBy("load_date").count()
+    assert staged.count() == 2
+    fewer = contacts.filter("_load_date <> '2023-03-01' OR (id % 4 = 0 AND deleted = '1')")
+    assert fewer.filter("_load_date = '2023-03-01'").count() > 0
+    layers.run_layers(spark, {**inputs, "contacts": fewer}, root, "2000-01-01")
+    assert [str(r[0]) for r in spark.read.parquet(f"{root}/staging/stg_contacts").select("load_date").distinct().collect()] == ["2023-04-01"]
+    with pytest.raises(ValueError, match="yesterday"):
+        layers.run_layers(spark, {**inputs, "contacts": fewer.withColumn("_load_date", F.lit("yesterday"))}, root, "2000-01-01")
+
+
 def test_failing_steps(spark, sf):
     """Gold failures are recorded, silver failures end the run."""
-    inputs = {n: frame(spark, sf, n) for n in ("contacts", "leads", "search_rows", "ad_campaigns", "search_dim")}
-    inputs["insights"] = insights_log(spark, sf)
+    inputs = layer_inputs(spark, sf, "ads_dim")
     status = {r["step"]: r for r in layers.run_layers(spark, inputs, scratch_dir(spark, "x"), "2000-01-01").collect()}
-    assert status["campaigns"]["status"] == status["mart_leads"]["status"] == "failed"
+    assert status["campaigns"]["status"] == status["mart_leads"]["status"] == status["lead_heatmap"]["status"] == "failed"
     assert "ads_dim" in status["campaigns"]["error"] and status["dq_report"]["status"] == "success"
     broken = layers.Step("silver", "broken", lambda t, old: t["nothing"])
     with pytest.raises(KeyError):
         layers.run_layers(spark, inputs, scratch_dir(spark, "y"), "2000-01-01", [broken])
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_satellite_in_any_order(spark, seed):
+    """Load dates in any order, each with what was staged since for its keys, end in the history of one load. A value that
+    was dropped as a repeat is a version of its own once a late row comes between."""
+    rng = random.Random(seed)
+    rows = [("a", 1, "x", 1), ("a", 3, "x", 2), ("a", 2, "y", 3)]
+    rows += [(k, d, rng.choice("xyz"), rng.randint(1, 3)) for k in "bcd" for d in range(1, 7) for _ in range(rng.randint(0, 2))]
+    table = spark.createDataFrame(rows, "k string, d int, h string, v int")
+    dates, appended, done = [1, 3, 2, *rng.sample([4, 5, 6], 3)] if seed == 0 else rng.sample(range(1, 7), 6), None, []
+    for day in dates:
+        batch = table.filter(F.col("d") == day)
+        if any(d > day for d in done):
+            staged = table.filter((F.col("d") >= day) & F.col("d").isin([*done, day]))
+            batch = staged.join(batch.select("k").distinct(), "k", "left_semi")
+        fresh = spark.createDataFrame(dv.new_versions(batch, appended, "k", "d", "h").collect(), table.schema)
+        appended, done = fresh if appended is None else appended.unionByName(fresh), [*done, day]
+    got = sorted(map(tuple, dv.satellite_history(appended, "k", "d", "h", "e").collect()), key=repr)
+    assert got == sorted(map(tuple, dv.version_history(table, "k", "d", "h", "e").collect()), key=repr)
+
+
+def test_partitions(spark, tmp_path):
+    """Partition types, null keys and dates, modes, emptied partitions, and folders that were never written."""
+    path = str(tmp_path / "t")
+    assert P.stored_or_none(spark, path) is None
+    rows = lambda *r: spark.createDataFrame(r, "day string, k int, v int")
+    assert P.merge_partitions(spark, rows(), path, "k", "v", "day") == []
+    assert P.merge_partitions(spark, rows(("2024-01-01", 1, 1), ("2024-01-02", 2, 5), (None, None, 1)), path, ["day", "k"], "v", "day", mode="newest")
+    P.merge_partitions(spark, rows(("2024-01-02", 2, 4), ("2024-01-02", 3, 1), (None, None, 2)), path, ["day", "k"], "v", "day", mode="newest")
+    state = lambda: sorted(((str(r.day), r.k, r.v) for r in spark.read.parquet(path).collect()), key=repr)
+    assert state() == [("2024-01-01", 1, 1), ("2024-01-02", 2, 5), ("2024-01-02", 3, 1), ("None", None, 2)]
+    P.drop_partitions(spark, path, "day", ["2024-01-02"])
+    assert [r for r in state() if r[0] == "2024-01-02"] == []
+    other = str(tmp_path / "u")
+    for mode, want in (("update", 1), ("insert", 1), ("update", 7), ("insert", 7)):
+        P.merge_partitions(spark, spark.createDataFrame([(1, want)], "k int, v int"), other, "k", "v", mode=mode)
+        assert [r.v for r in spark.read.parquet(other).collect()] == [want]
+    P.merge_partitions(spark, spark.createDataFrame([(1, 9)], "k int, v int"), other, "k", "v", mode="insert")
+    assert [r.v for r in spark.read.parquet(other).collect()] == [7]
+
+
 def test_declared_tests_count():
     count = lambda tests, kind: sum(t.kind == kind for ts in tests.values() for t in ts)
     sources, models = layers.source_tests(), layers.staging_tests()

@@ -33,7 +33,7 @@ def test_all_of_them_are_registered():
 
 def test_every_sql_has_a_query():
     assert set(SQLS) <= set(QUERIES)
-    assert set(QUERIES) - set(SQLS) == {"run_layers", "file_health", "dataset_report"}
+    assert set(QUERIES) - set(SQLS) == {"file_health", "dataset_report"}
 
 
 def test_entry(spark):
