@@ -131,3 +131,34 @@ def compare_relations(spark, sf):
     cols = ["o_custkey", "o_orderpriority"]
     return Q.compare_relations(orders.filter("o_orderkey % 3 <> 0").select(cols),
                                orders.filter("o_orderkey % 3 <> 1").select(cols))
+
+
+_RIGHT = """SELECT CASE WHEN o_custkey % 24 = 0 THEN NULL WHEN o_custkey % 23 = 0 THEN o_custkey + 1000000 ELSE o_custkey END AS customer,
+    CASE WHEN o_custkey % 22 = 0 OR o_orderkey % 97 = 0 THEN 'X' ELSE o_orderstatus END AS status,
+    CASE WHEN o_custkey % 22 = 0 OR o_custkey % 25 = 0 THEN CAST(o_orderkey + 1 AS BIGINT) ELSE o_orderkey END AS number
+  FROM {} WHERE o_custkey % 20 <> 0 AND o_orderkey % 89 <> 0"""
+
+
+@check("compare_by_key", f"""WITH a AS (
+    SELECT CASE WHEN o_custkey % 24 = 0 THEN NULL ELSE o_custkey END AS customer, o_orderstatus AS status, o_orderkey AS number FROM orders),
+  b AS ({_RIGHT.format("orders")}),
+  l AS (SELECT customer, COUNT(*) AS n, list_sort(list(status || number)) AS rows_, list_sort(list(status)) AS s, list_sort(list(number)) AS k
+        FROM a GROUP BY customer),
+  r AS (SELECT customer, COUNT(*) AS n, list_sort(list(status || number)) AS rows_, list_sort(list(status)) AS s, list_sort(list(number)) AS k
+        FROM b GROUP BY customer),
+  both_ AS (
+    SELECT coalesce(l.customer, r.customer) AS customer, coalesce(l.n, 0) AS n_left, coalesce(r.n, 0) AS n_right,
+      CASE WHEN r.n IS NULL THEN 'only_left' WHEN l.n IS NULL THEN 'only_right' WHEN l.rows_ <> r.rows_ THEN 'changed' END AS difference,
+      l.s <> r.s AS other_status, l.k <> r.k AS other_number
+    FROM l FULL JOIN r ON l.customer IS NOT DISTINCT FROM r.customer)
+  SELECT customer, difference, n_left, n_right, CASE WHEN difference = 'changed' THEN array_to_string(
+    list_filter([CASE WHEN other_status THEN 'status' END, CASE WHEN other_number THEN 'number' END], lambda x: x IS NOT NULL), ',')
+    END AS changed_columns
+  FROM both_ WHERE difference IS NOT NULL""")
+def compare_by_key(spark, sf):
+    """Keys with several rows each, a NULL key among them; rows dropped, changed, added and moved to other keys."""
+    orders = table(spark, sf, "orders")
+    left = orders.select(F.expr("CASE WHEN o_custkey % 24 = 0 THEN NULL ELSE o_custkey END").alias("customer"),
+                         F.col("o_orderstatus").alias("status"), F.col("o_orderkey").alias("number"))
+    orders.createOrReplaceTempView("compared_orders")
+    return Q.compare_by_key(left, spark.sql(_RIGHT.format("compared_orders")), "customer")

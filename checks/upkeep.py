@@ -11,6 +11,7 @@ from checks.registry import check
 from leadvault.operators import maintenance as M
 from leadvault.session import scratch_dir
 from leadvault.sources import catalog
+from leadvault.sources.reads import list_files
 from leadvault.sources.versions import load_log, publish
 
 
@@ -30,6 +31,38 @@ def compact_partitioned(spark, sf):
     return M.compact(spark, src, dst, partition_by=["o_orderstatus"])
 
 
+@check("compact_files", """SELECT l_returnflag, COUNT(*) AS n_rows, CAST(SUM(l_orderkey) AS BIGINT) AS keys,
+  TRUE AS in_bounds, TRUE AS fewer_files, TRUE AS well_sized_kept FROM lineitem GROUP BY l_returnflag""")
+def compact_files(spark, sf):
+    """Order lines by return flag: every fourth in small files, half in one large file, the rest in files of the target size, which keep
+    their names. After two runs no folder has a large file, nor two small ones that would fit into one."""
+    root = scratch_dir(spark, "files")
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice", "l_shipdate", "l_returnflag")
+    parts = {"large": (lines.filter("l_orderkey % 4 < 2"), 1), "well": (lines.filter("l_orderkey % 4 = 2"), 1),
+             "small": (lines.filter("l_orderkey % 4 = 3"), 12)}
+    written, files = {}, set()
+    for name, (rows, count) in parts.items():
+        rows.repartition(count).write.mode("append").partitionBy("l_returnflag").parquet(root)
+        now = {r["file_path"]: r["file_size"] for r in list_files(spark, root).collect()}
+        written[name], files = {f: now[f] for f in now if f not in files}, set(now)
+    target = max(written["well"].values())
+    for _ in range(2):
+        after = M.compact_files(spark, root, target / M.MB)
+    well = [f for f, size in written["well"].items() if M.SMALL * target <= size <= M.LARGE * target]
+    folder = F.regexp_extract("file_path", "l_returnflag=([^/]*)", 1)
+    least = F.sort_array(F.collect_list(F.when(F.col("file_size") < M.SMALL * target, F.col("file_size"))))
+    two = F.coalesce(F.get(least, F.lit(0)) + F.get(least, F.lit(1)), F.lit(target + 1))
+    before = spark.createDataFrame([(f,) for f in files], "file_path string").groupBy(folder.alias("l_returnflag")).agg(
+        F.count("*").alias("n_before"), F.collect_list(F.when(F.col("file_path").isin(well), F.col("file_path"))).alias("well"))
+    state = after.groupBy(folder.alias("l_returnflag")).agg(
+        ((F.max("file_size") <= M.LARGE * target) & (two > target)).alias("in_bounds"),
+        F.count("*").alias("n_after"), F.collect_set("file_path").alias("files")).join(before, "l_returnflag")
+    rows = spark.read.parquet(root).groupBy("l_returnflag").agg(F.count("*").alias("n_rows"), F.sum("l_orderkey").alias("keys"))
+    return rows.join(state, "l_returnflag").select(
+        *rows.columns, "in_bounds", (F.col("n_after") < F.col("n_before")).alias("fewer_files"),
+        (F.size(F.array_except("well", "files")) == 0).alias("well_sized_kept"))
+
+
 @check("rewrite_sorted", "SELECT o_orderkey, o_custkey FROM orders")
 def rewrite_sorted(spark, sf):
     src, dst = scratch_dir(spark, "unsorted"), scratch_dir(spark, "sorted")

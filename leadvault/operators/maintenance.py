@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
+import re
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +31,101 @@ def files_for(size_bytes: int, target_mb: int) -> int:
     return max(1, math.ceil(size_bytes / (target_mb * MB)))
 
 
+#: A file is well-sized between these parts of the target size.
+SMALL, LARGE = 0.5, 1.5
+#: Files of one folder that are packed together; a folder of more is packed in slices.
+PACK_FILES = 10_000
+
+
+def first_fit_decreasing(sizes: np.ndarray, room: int) -> np.ndarray:
+    """The bin of each size: largest first, each into the first bin that has room for it."""
+    bins, free = np.empty(len(sizes), np.int64), np.full(len(sizes), room, np.int64)
+    for k in np.argsort(-sizes, kind="stable"):
+        bins[k] = np.argmax(free >= sizes[k])
+        free[bins[k]] -= sizes[k]
+    return bins
+
+
+def compaction_plan(files: DataFrame, target_bytes: int) -> DataFrame:
+    """(folder, file_path, file_size, grp, parts) of the files to rewrite, from a listing (file_path, file_size).
+
+    Small files of a folder are packed by size into groups of at most the target, first-fit decreasing, each to become
+    one file; a group of one is left alone. Each large file is to become ``parts`` files. Others don't occur: they stay."""
+    near = files.withColumn("folder", F.regexp_replace("file_path", "/[^/]*$", ""))
+    small = near.filter(F.col("file_size") < SMALL * target_bytes)
+    slices = small.groupBy("folder").agg(F.ceil(F.count("*") / PACK_FILES).alias("slices"))
+    dealt = small.join(slices, "folder").withColumn("slice", F.pmod(F.xxhash64("file_path"), F.col("slices")))
+
+    def pack(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("file_path", ignore_index=True)
+        grp = pd.Series(first_fit_decreasing(part["file_size"].to_numpy(np.int64), target_bytes))
+        part["grp"] = "s" + part["slice"].astype(str) + "_" + grp.astype(str)
+        return part.assign(parts=1)[grp.map(grp.value_counts()) > 1][["folder", "file_path", "file_size", "grp", "parts"]]
+
+    packed = dealt.groupBy("folder", "slice").applyInPandas(
+        pack, "folder string, file_path string, file_size long, grp string, parts int")
+    large = near.filter(F.col("file_size") > LARGE * target_bytes).select(
+        "folder", "file_path", "file_size", F.concat(F.lit("l"), F.md5("file_path")).alias("grp"),
+        F.ceil(F.col("file_size") / target_bytes).cast("int").alias("parts"))
+    return packed.unionByName(large)
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _finish(spark: SparkSession, work: str) -> None:
+    """Move the files of a finished rewrite to their folders and delete those they stand for. Can be repeated."""
+    for row in spark.read.parquet(f"{work}/moves").collect():
+        (old, fs), (new, _) = _hadoop_path(spark, row["old"]), _hadoop_path(spark, row["new"] or row["old"])
+        if row["new"] is None:
+            fs.delete(old, False)
+        elif fs.exists(old) and not fs.rename(old, new):
+            raise RuntimeError(f"{row['old']} could not be moved to {row['new']}")
+    at, fs = _hadoop_path(spark, work)
+    fs.delete(at, True)
+
+
+def compact_files(spark: SparkSession, root: str, target_mb: float | None = None, layer: str = "bronze", where: str | None = None) -> DataFrame:
+    """Bring the files of a dataset near its layer's size, in place; returns the new listing.
+
+    Only files that are too small or too large are read and rewritten (see ``compaction_plan``); well-sized ones keep their names.
+    ``where`` is a condition on the listing (file_path, file_size, modified_at). Rewritten files are written to a folder
+    that readers don't look into. Once all are there, a list of moves is written; then they are moved and the old ones deleted. A run that dies
+    before the list leaves the dataset as it was, one that dies later is finished by the next."""
+    work, target = f"{root.rstrip('/')}/_compacting", int((target_mb or LAYER_OPTIONS[layer].target_mb) * MB)
+    at, fs = _hadoop_path(spark, work)
+    if fs.exists(at):
+        if fs.exists(_hadoop_path(spark, f"{work}/moves/_SUCCESS")[0]):
+            _finish(spark, work)
+        else:
+            fs.delete(at, True)
+    plan = rows_where(list_files(spark, root), where)
+    plan = compaction_plan(plan, target).cache()
+    old = [r["file_path"] for r in plan.select("file_path").collect()]  # as many as Spark's own file listing holds
+    if not old:
+        plan.unpersist()
+        return list_files(spark, root)
+    rows = spark.read.option("basePath", root).option("mergeSchema", True).parquet(*old).withColumn("_file", F.col("_metadata.file_path"))
+    below = old[0].partition(root.rstrip("/"))[2]  # listed paths begin with a scheme
+    partitions = [folder.split("=")[0] for folder in below.split("/")[1:-1]]
+    numbered = rows.withColumn("_row", F.monotonically_increasing_id())
+    folders = plan.select(F.col("file_path").alias("_file"), "folder", "grp", "parts")
+    grouped = numbered.join(folders, "_file").withColumn(
+        "_grp", F.concat_ws("_", "grp", F.pmod("_row", "parts"), F.substring(F.md5("folder"), 1, 12)))
+    opts = LAYER_OPTIONS[layer]
+    (grouped.drop("_file", "_row", "folder", "grp", "parts").repartition("_grp").write.option("compression", opts.codec)
+     .option("parquet.page.size", opts.page_bytes).partitionBy(*partitions, "_grp").parquet(f"{work}/files"))
+    written = list_files(spark, f"{work}/files").select("file_path").collect()
+    # One task's files of several groups have one name.
+    moves = [(r["file_path"], re.sub(r"/_compacting/files(/.*)?/_grp=([^/]*)/part-", r"\1/part-\2-", r["file_path"])) for r in written]
+    spark.createDataFrame(moves + [(f, None) for f in old], "old string, new string").write.parquet(f"{work}/moves")
+    plan.unpersist()
+    _finish(spark, work)
+    return list_files(spark, root)
+
+
 def compact(spark: SparkSession, src: str, dst: str, where: str | None = None, target_mb: int = 128,
             partition_by=()) -> DataFrame:
     """Rewrite small files to about the target size. Every row is kept; a predicate picks the rows that are

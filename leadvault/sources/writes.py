@@ -15,18 +15,17 @@ class LayerOptions:
     codec: str
     target_mb: int
     page_bytes: int = MB
-    max_versions_days: int = 7
-    min_versions: int = 5
 
 
-# File size, codec, page size and version retention per layer.
+# Codec, file size and page size per layer. A write sets codec, page and row-group size; files are brought to
+# their size by ``maintenance.compact_files``.
 LAYER_OPTIONS = {
     "raw": LayerOptions("gzip", 128),
-    "bronze": LayerOptions("zstd", 128, MB, 7, 5),
-    "hub": LayerOptions("zstd", 32, 512 * 1024, 14, 10),
-    "link": LayerOptions("zstd", 64, 512 * 1024, 14, 10),
-    "satellite": LayerOptions("zstd", 128, 512 * 1024, 14, 10),
-    "mart": LayerOptions("zstd", 256, 2 * MB, 3, 3),
+    "bronze": LayerOptions("zstd", 128),
+    "hub": LayerOptions("zstd", 32, 512 * 1024),
+    "link": LayerOptions("zstd", 64, 512 * 1024),
+    "satellite": LayerOptions("zstd", 128, 512 * 1024),
+    "mart": LayerOptions("zstd", 256, 2 * MB),
     "seed": LayerOptions("snappy", 16),
     "snapshot": LayerOptions("zstd", 128),
 }
@@ -91,10 +90,18 @@ def export_csv(df: DataFrame, path: str) -> None:
 
 
 def mirror_table(spark: SparkSession, src: str, dst: str, partition_by=(), layer: str = "bronze") -> DataFrame:
-    """Copy a dataset, partitioning kept; returns the copy."""
+    """Copy a dataset, partitioning kept, and read the copy against the original; returns the copy.
+
+    Rows are gathered by partition first, or every task would write a file per partition. A copy with other rows is an
+    error, which says how many key ranges differ."""
+    from leadvault.operators.quality import differing_ranges
+
     df = spark.read.parquet(src)
-    writer = _writer(df, layer, "overwrite")
+    writer = _writer(df.hint("rebalance", *partition_by) if partition_by else df, layer, "overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(dst)
-    return spark.read.schema(df.schema).parquet(dst)
+    copy = spark.read.schema(df.schema).parquet(dst)
+    if ranges := differing_ranges(df, copy, df.columns):
+        raise RuntimeError(f"the copy of {src} at {dst} differs in {len(ranges)} ranges of rows")
+    return copy

@@ -3,6 +3,7 @@
 import os
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -292,3 +293,88 @@ def test_configure_a_plain_session(spark):
     configure(plain)
     assert plain.conf.get("spark.sql.adaptive.skewJoin.enabled") == "false"
     assert plain.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
+
+
+def test_first_fit_decreasing():
+    rng = random.Random(3)
+    for room in (10, 100):
+        sizes = [rng.randint(1, room) for _ in range(60)]
+        bins, free = {}, []
+        for k in sorted(range(len(sizes)), key=lambda k: -sizes[k]):
+            at = next((b for b, f in enumerate(free) if f >= sizes[k]), len(free))
+            free += [room] * (at == len(free))
+            free[at] -= sizes[k]
+            bins[k] = at
+        assert M.first_fit_decreasing(np.array(sizes), room).tolist() == [bins[k] for k in range(len(sizes))]
+
+
+def small_files(spark, root, n=9):
+    df = spark.createDataFrame([(k, f"d{k % 2}") for k in range(90)], "v int, d string")
+    df.repartition(n).write.partitionBy("d").parquet(root)
+    return df
+
+
+def rows_of(spark, root):
+    return sorted(map(tuple, spark.read.parquet(root).select("v", "d").collect()))
+
+
+@pytest.mark.parametrize("dies", ["before the list", "while moving"])
+def test_a_compaction_that_died_is_finished(spark, tmp_path, monkeypatch, dies):
+    root = str(tmp_path / "t")
+    want = sorted(map(tuple, small_files(spark, root).collect()))
+    target = max(r["file_size"] for r in list_files(spark, root).collect()) * 5 / M.MB
+    if dies == "before the list":
+        monkeypatch.setattr(M, "list_files", lambda s, path, real=list_files: 1 / 0 if path.endswith("/files") else real(s, path))
+    else:
+        real, calls = M._hadoop_path, []
+
+        def path(s, at):
+            calls.append(at)
+            if at.count("part-") and len([c for c in calls if "part-" in c]) > 2:
+                raise ZeroDivisionError
+            return real(s, at)
+        monkeypatch.setattr(M, "_hadoop_path", path)
+    with pytest.raises(ZeroDivisionError):
+        M.compact_files(spark, root, target)
+    monkeypatch.undo()
+    after = M.compact_files(spark, root, target).collect()
+    assert rows_of(spark, root) == want and len(after) < 18
+    assert not os.path.exists(f"{root}/_compacting")
+
+
+def test_compaction_leaves_what_fits(spark, tmp_path):
+    root = str(tmp_path / "t")
+    want = sorted(map(tuple, small_files(spark, root, 4).collect()))
+    files = {r["file_path"]: r["file_size"] for r in list_files(spark, root).collect()}
+    assert {r["file_path"] for r in M.compact_files(spark, root, max(files.values()) / M.MB).collect()} == set(files)
+    # A condition on the listing picks the files.
+    M.compact_files(spark, root, 1, where="file_path LIKE '%d=d1/%'")
+    after = {r["file_path"] for r in list_files(spark, root).collect()}
+    assert {f for f in files if "d=d0" in f} <= after and sum("d=d1" in f for f in after) == 1
+    assert rows_of(spark, root) == want
+
+
+def test_compare_by_key_reads_only_what_differs(spark, tmp_path):
+    hot = [(1, k, None if k % 7 == 0 else "x") for k in range(3000)] + [(k, 0, "y") for k in range(2, 900)] + [(None, 1, "z")] * 3
+    left = spark.createDataFrame(hot, "k int, a int, b string")
+    assert Q.compare_by_key(left, left.select("b", "k", "a").repartition(7), "k").count() == 0
+    assert Q.differing_ranges(left, left.repartition(3), "k") == []
+    right = spark.createDataFrame([*hot[1:], (5000, 1, None)], "k int, a int, b string")
+    assert len(Q.differing_ranges(left, right, "k")) <= 2
+    got = {r["k"]: (r["difference"], r["n_left"], r["n_right"], r["changed_columns"]) for r in Q.compare_by_key(left, right, "k").collect()}
+    assert set(got) == {1, 5000} and got[5000] == ("only_right", 0, 1, None)
+    assert got[1][:3] == ("changed", 3000, 2999) and "b" in got[1][3]
+    swapped = spark.createDataFrame([(1, 1, "p"), (1, 2, "q")], "k int, a int, b string")
+    other = spark.createDataFrame([(1, 1, "q"), (1, 2, "p")], "k int, a int, b string")
+    assert [tuple(r) for r in Q.compare_by_key(swapped, other, "k").collect()] == [(1, "changed", 2, 2, "")]
+    with pytest.raises(ValueError):
+        Q.compare_by_key(left, right.drop("b"), "k")
+
+
+def test_a_copy_that_differs_is_an_error(spark, tmp_path, monkeypatch):
+    src, dst = str(tmp_path / "a"), str(tmp_path / "b")
+    spark.range(50).write.parquet(src)
+    assert writes.mirror_table(spark, src, dst).count() == 50
+    monkeypatch.setattr(Q, "differing_ranges", lambda a, b, keys: ["p00"])
+    with pytest.raises(RuntimeError, match="1 ranges"):
+        writes.mirror_table(spark, src, dst)
