@@ -1,6 +1,6 @@
 """Licence scan: a trained paragraph classifier, confirmed by template comparison.
 
-Paragraphs (lines, and blocks of lines between blank ones) are read in overlapping windows of words, which become
+Paragraphs (blocks of lines between blank ones) are read in overlapping windows of words, which become
 sparse counts of hashed words and word pairs. A multinomial logistic regression, trained on the templates inside windows
 of the same size against windows of the corpus, tells licence families from the class `unknown`; its probabilities are
 calibrated by a temperature chosen on held-out windows. A named family counts as confirmed if the window holds most
@@ -25,6 +25,8 @@ UNKNOWN = "unknown"
 #: Documents whose paragraphs teach the class `unknown` (expected number, drawn by hash of the id).
 SAMPLE_DOCS = 1000
 FEATURES = 1 << 13
+#: Sampled windows that the templates are put into to teach the families.
+SURROUNDINGS = 256
 #: Words of a window, and those it shares with the next: the longest template less one word, so each notice is whole in one.
 WINDOW, OVERLAP = 48, 20
 #: A family is named from this calibrated probability on, and confirmed from this share of a template's triples on.
@@ -45,6 +47,12 @@ TEMPLATES = [
     ("cc-by-4.0", "licensed under a Creative Commons Attribution 4.0 International License."),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"),
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("lgpl-3.0", "modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"),
+    ("agpl-3.0", "modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("unlicense", "This is free and unencumbered software released into the public domain."),
+    ("cc0-1.0", "has waived all copyright and related or neighboring rights to this work under CC0 1.0 Universal"),
+    ("epl-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"),
 ]
 FAMILIES = sorted({f for f, _ in TEMPLATES})
 CLASSES = [UNKNOWN, *FAMILIES]
@@ -89,8 +97,7 @@ def windows(docs: DataFrame) -> DataFrame:
     """(doc_id, row, position, part, words): all windows of all paragraphs of `docs` that have a word. `row` tells rows of
     one doc_id apart, `position` is the paragraph's number and `part` the window's first word."""
     blocks = docs.select(F.col("doc_id").cast("long"), "text", F.monotonically_increasing_id().alias("row")).select(
-        "doc_id", "row", F.posexplode(F.concat(F.split("text", "\n"), F.filter(
-            F.split("text", r"\n\s*\n"), lambda b: F.contains(b, F.lit("\n"))))).alias("position", "block"))
+        "doc_id", "row", F.posexplode(F.split("text", r"\n\s*\n")).alias("position", "block"))
     found = blocks.select("doc_id", "row", "position", F.explode(F.array(words_of(F.col("block")))).alias("all")).where(F.size("all") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.size("all") - OVERLAP, F.lit(1)), F.lit(WINDOW - OVERLAP))
     return found.select("doc_id", "row", "position", "all", F.explode(starts).alias("part")).select(
@@ -109,15 +116,15 @@ def _examples(spark: SparkSession, docs: DataFrame, sample_docs: int) -> DataFra
     plain = stored(spark, plain.where(covered < CONFIRMED / 2).withColumn("key", F.xxhash64("doc_id", "position", "part")).drop("triples"), "plain")
     notices = spark.range(1).select(F.inline(F.array(*[
         F.struct(F.lit(float(CLASSES.index(f))).alias("class"), words_of(F.lit(t)).alias("notice")) for f, t in TEMPLATES])))
-    around = plain.orderBy("key").limit(48).select("key", F.col("words").alias("near"))
+    around = plain.orderBy("key").limit(SURROUNDINGS).select("key", F.col("words").alias("near"))
     several = notices.withColumn("cut", F.explode(F.sequence(F.lit(0), F.lit(3)))).select(
         "class", F.slice("notice", F.least(F.lit(1) + F.col("cut").bitwiseAND(F.lit(1)), F.size("notice")),
                          F.greatest(F.size("notice") - F.col("cut").bitwiseAND(F.lit(1)) - F.shiftright("cut", 1), F.lit(1))).alias("words"))
-    # A fixed number of notices (48), each once per number, meets at most 48 numbered surroundings.
+    # A fixed number of notices (four a template), each once per number, meets as many numbered surroundings.
     nears = around.agg(F.collect_list(F.struct("key", "near")).alias("all")).select(F.posexplode("all").alias("at", "a"))
     # The notice begins anywhere; one half of the windows is as large as can be, the other as short lines are.
     room = F.when(F.col("at") % 2 == 0, F.lit(WINDOW) - F.size("words")).otherwise(F.lit(24))
-    inside = several.withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(47)))).join(nears, "at").withColumn(
+    inside = several.withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(SURROUNDINGS - 1)))).join(nears, "at").withColumn(
         "left", F.pmod(F.col("at") * 7 + F.size("words"), room + 1).cast("int")).select(
         "class", F.concat(F.slice("a.near", F.lit(1), F.col("left")), "words", F.slice("a.near", F.col("left") + 1, room - F.col("left"))).alias("words"),
         F.col("a.key").alias("key"))
@@ -132,7 +139,7 @@ def fit(spark: SparkSession, docs: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
     """A model from the templates and a sample of `docs` (doc_id, text). Without documents the templates alone teach."""
     hashing = HashingTF(inputCol="terms", outputCol="features", numFeatures=FEATURES, binary=True)
     told = hashing.transform(_examples(spark, docs, sample_docs).withColumn("terms", _pairs(F.col("words"))))
-    regression = LogisticRegression(labelCol="class", weightCol="weight", family="multinomial", maxIter=15, regParam=1e-3)
+    regression = LogisticRegression(labelCol="class", weightCol="weight", family="multinomial", maxIter=40, regParam=1e-4)
     model = regression.fit(told.where(~F.col("held")).select("class", "weight", "features").coalesce(2))
     raw = vector_to_array("rawPrediction")
     held = model.transform(told.where("held")).select("weight", raw.alias("raw"), F.col("class").cast("int").alias("at"))
@@ -168,7 +175,7 @@ def classify(docs: DataFrame, model: Model) -> DataFrame:
 
 def scan(spark: SparkSession, docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """(doc_id, n_named, n_confirmed, families, probability, covered), one row per doc_id of `docs` (doc_id, text,
-    others ignored). n_named and n_confirmed count paragraphs (lines and blocks). `families`: the confirmed ones by name, comma-joined; probability and covered: the largest of
+    others ignored). n_named and n_confirmed count paragraphs. `families`: the confirmed ones by name, comma-joined; probability and covered: the largest of
     the confirmed. Null and empty texts have none; rows of one doc_id (repeated rows, null ids) are told together."""
     model = fit(spark, docs, sample_docs)
     good, paragraph = F.col("confirmed"), F.struct("row", "position")

@@ -350,6 +350,12 @@ def test_licences_wrapped_and_inside_long_paragraphs(spark):
         "gpl-3.0": " * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public "
                    "License as published by\n * the Free Software Foundation",
         "bsd": "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that the following",
+        "lgpl-3.0": "you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation",
+        "agpl-3.0": "# modify it under the terms of the GNU Affero General Public License as\n# published by the Free Software Foundation",
+        "isc": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted",
+        "unlicense": "This is free and unencumbered software released into the public domain.",
+        "cc0-1.0": "has waived all copyright and\nrelated or neighboring rights to this work under CC0 1.0 Universal",
+        "epl-2.0": "This program and the accompanying materials are made available under the\nterms of the Eclipse Public License 2.0",
         "apache-2.0": 'you may not use this file except in compliance with the License.\r\nYou may obtain a copy of the License at\r\n',
     }
     cases = [("", words(rng, 900)), ("", "\n".join(words(rng, 9) for _ in range(40)))]
