@@ -40,15 +40,15 @@ TEMPLATES = [
     ("mit", "Released under the MIT License."),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
     ("gpl-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("gpl-3.0", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by"),
+    ("gpl-3.0", "terms of the GNU General Public License as published by"),
     ("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0."),
     ("cc-by-nc-4.0", "licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("cc-by-4.0", "Licensed under CC BY 4.0."),
     ("cc-by-4.0", "licensed under a Creative Commons Attribution 4.0 International License."),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"),
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("lgpl-3.0", "modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"),
-    ("agpl-3.0", "modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation"),
+    ("lgpl-3.0", "terms of the GNU Lesser General Public License as published by"),
+    ("agpl-3.0", "terms of the GNU Affero General Public License as published by"),
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
     ("unlicense", "This is free and unencumbered software released into the public domain."),
     ("cc0-1.0", "has waived all copyright and related or neighboring rights to this work under CC0 1.0 Universal"),

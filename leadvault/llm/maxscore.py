@@ -23,12 +23,12 @@ _EXACT = float(1 << 53)
 
 
 def weights(vectors: DataFrame, scale: float = 64.0) -> DataFrame:
-    """(vec_id, weights): floor(scale * x) of each component x as double. Rows without id or vector, and vectors that
-    hold null or non-finite components, take no part; rows repeated exactly count once."""
+    """(row, vec_id, weights): floor(scale * x) of each component x as double; `row` tells rows apart. Rows without id or
+    vector, and vectors that hold null or non-finite components, take no part. To be stored, so that rows keep their number."""
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * F.lit(scale)).cast("long"))
     return vectors.where("vec_id is not null and embedding is not null").where(finite).select(
-        F.col("vec_id").cast("long"), whole.alias("weights")).distinct()
+        F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long"), whole.alias("weights"))
 
 
 def _matrix(rows: pd.Series, width: int) -> np.ndarray:
@@ -49,17 +49,17 @@ def _top(scores: np.ndarray, ids: np.ndarray, top: int) -> np.ndarray:
     return kept[np.lexsort((ids[kept], -scores[kept]))][:top]
 
 
-def search(shard: np.ndarray, ids: np.ndarray, low: np.ndarray, high: np.ndarray, query: np.ndarray, own: int,
+def search(shard: np.ndarray, ids: np.ndarray, rows: np.ndarray, low: np.ndarray, high: np.ndarray, query: np.ndarray, own: int,
            top: int) -> tuple[np.ndarray, np.ndarray]:
     """(indexes, scores) of the best `top` columns of `shard` (terms x vectors, with their least and greatest values
-    per term) for `query`, vectors with id `own` left out."""
+    per term) for `query`, the query's own row left out."""
     bounds = np.abs(query) * (high - low)
     terms = np.argsort(-bounds, kind="stable")
     terms = terms[query[terms] != 0]
     rest = np.concatenate([np.cumsum(bounds[terms][::-1])[::-1], [0]])  # what terms from here on can add
     base = (np.where(query > 0, low, high) * query).sum()  # the score of a vector with least contributions
     n = len(ids)
-    some = np.flatnonzero(ids[:4 * top] != own)
+    some = np.flatnonzero(rows[:4 * top] != own)
     first = query @ shard[:, some] - base
     needed = np.partition(first, len(first) - top)[len(first) - top] if len(first) >= top else -1
     essential = int(np.searchsorted(-rest, -needed, side="right")) if needed >= 0 else len(terms)
@@ -71,7 +71,7 @@ def search(shard: np.ndarray, ids: np.ndarray, low: np.ndarray, high: np.ndarray
     partial = np.zeros(n, shard.dtype)
     for term in terms[:essential]:
         partial += added(term, shard[term])
-    alive = np.flatnonzero(ids != own)
+    alive = np.flatnonzero(rows != own)
     scores = partial[alive]
     for at in range(essential, len(terms)):
         if len(scores) > top:
@@ -84,36 +84,37 @@ def search(shard: np.ndarray, ids: np.ndarray, low: np.ndarray, high: np.ndarray
 
 def _block(queries: pd.DataFrame, shard: pd.DataFrame, top: int) -> pd.DataFrame:
     if not len(queries) or not len(shard):
-        return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
+        return pd.DataFrame({"query": [], "query_id": [], "vec_id": [], "score": []}).astype("int64")
     width = int(max(queries["weights"].map(len).max(), shard["weights"].map(len).max()))
     vectors, asked = _matrix(shard["weights"], width), _matrix(queries["weights"], width)
-    ids, out = shard["vec_id"].to_numpy(), []
+    ids, rows, out = shard["vec_id"].to_numpy(), shard["row"].to_numpy(), []
     # Doubles add up exactly up to 2**53; beyond that integers are used.
     reach = sum(float(a) * float(b) for a, b in zip(np.abs(vectors.astype(float)).max(axis=1, initial=0),
                                                     np.abs(asked.astype(float)).max(axis=1, initial=0)))
     if reach * 4 < _EXACT:
         vectors, asked = vectors.astype(float), asked.astype(float)
     low, high = vectors.min(axis=1), vectors.max(axis=1)
-    for k, own in enumerate(queries["vec_id"]):
-        at, scores = search(vectors, ids, low, high, asked[:, k], own, top)
-        out.append(pd.DataFrame({"query_id": own, "vec_id": ids[at], "score": scores.astype("int64")}))
+    for k, (own, query) in enumerate(zip(queries["row"], queries["vec_id"])):
+        at, scores = search(vectors, ids, rows, low, high, asked[:, k], own, top)
+        out.append(pd.DataFrame({"query": own, "query_id": query, "vec_id": ids[at], "score": scores.astype("int64")}))
     return pd.concat(out)
 
 
 def top_k(spark: SparkSession, queries: DataFrame, vectors: DataFrame, top: int = TOP, shard_rows: int = SHARD_ROWS,
           query_rows: int = QUERY_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): for each of `queries` the `top` largest inner products with `vectors` (both
-    vec_id, weights), rows with the query's own id left out, ties to the smaller vec_id. Fewer vectors: all.
-    Vectors of unequal length are filled up with 0. Different vectors under one id count each. Scores beyond 64 bits are not defined."""
+    row, vec_id, weights, as stored), the query's own row left out, ties to the smaller vec_id. Fewer vectors: all.
+    Vectors of unequal length are filled up with 0. Every row counts: repeated rows and rows under one id are candidates of each other,
+    and queries of their own. Scores beyond 64 bits are not defined."""
     shards, blocks = vectors.count() // shard_rows + 1, queries.count() // query_rows + 1
-    deal = F.xxhash64("vec_id", "weights")
+    deal = F.xxhash64("row")
     asked = queries.withColumn("block", F.pmod(deal, F.lit(blocks))).withColumn(
         "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
     held = vectors.withColumn("shard", F.pmod(deal, F.lit(shards))).withColumn(
         "block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
     found = asked.groupBy("shard", "block").cogroup(held.groupBy("shard", "block")).applyInPandas(
-        lambda q, v: _block(q, v, top), "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        lambda q, v: _block(q, v, top), "query long, query_id long, vec_id long, score long")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
 
 

@@ -2,7 +2,7 @@
 
 A fixed number of open bins is kept in a bitset keyed by free space: bit f is set while some open bin has f
 tokens free. A piece goes where the least space is left over; where it fits nowhere a bin is opened, and
-if that is one too many the fullest closes first. A task holds its open bins and nothing else."""
+if that is one too many the fullest closes first. Pieces are packed in groups of a bounded number of them."""
 
 from __future__ import annotations
 
@@ -15,12 +15,15 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leadvault.llm.common import stored
+
 SEQUENCE = 4096
 OPEN_BINS = 1024
+#: Sequences' worth of tokens, and at most so many pieces, that are packed together.
+GROUP_SEQUENCES, GROUP_ROWS = 4096, 500_000
 END_ID = 1
 #: Words whose ids a worker remembers; when so many are known it starts anew.
 KNOWN_WORDS = 800_000
@@ -88,16 +91,18 @@ def pieces(docs: DataFrame, path: str, sequence: int = SEQUENCE) -> DataFrame:
 
 
 class BestFit:
-    """Open bins by free space. `place` returns the bin's number and the offset in it."""
+    """Open bins by free space. `place` returns the bin's number and the offset in it; pieces under one `key` never
+    share a bin."""
 
     def __init__(self, sequence: int, open_bins: int):
         self.sequence, self.open_bins = sequence, open_bins
         self.free: dict[int, list[int]] = {}  # free space -> bins, most recent last
+        self.keys: dict[int, set] = {}  # open bin -> keys in it
         self.bits, self.count, self.next = 0, 0, 0
 
-    def _take(self, free: int) -> int:
+    def _take(self, free: int, place: int = -1) -> int:
         bins = self.free[free]
-        number = bins.pop()
+        number = bins.pop(place)
         if not bins:
             del self.free[free]
             self.bits &= ~(1 << free)
@@ -109,38 +114,63 @@ class BestFit:
             self.free.setdefault(free, []).append(number)
             self.bits |= 1 << free
             self.count += 1
-
-    def place(self, length: int) -> tuple[int, int]:
-        fitting = self.bits >> length
-        if fitting:
-            free = length + (fitting & -fitting).bit_length() - 1
-            number = self._take(free)
+        else:
+            self.keys.pop(number, None)
+
+    def _fitting(self, length: int, key) -> tuple[int, int] | None:
+        """(free space, place among the bins that have it) of the bin with least space left over that lacks the key."""
+        free, fitting = length, self.bits >> length
+        while fitting:
+            step = (fitting & -fitting).bit_length() - 1
+            free, fitting = free + step, fitting >> step
+            for place in reversed(range(len(self.free[free]))):
+                if key is None or key not in self.keys[self.free[free][place]]:
+                    return free, place
+            free, fitting = free + 1, fitting >> 1
+        return None
+
+    def place(self, length: int, key=None) -> tuple[int, int]:
+        found = self._fitting(length, key)
+        if found:
+            free = found[0]
+            number = self._take(*found)
         else:
             if self.count >= self.open_bins:
-                self._take((self.bits & -self.bits).bit_length() - 1)  # the fullest
+                self.keys.pop(self._take((self.bits & -self.bits).bit_length() - 1), None)  # the fullest
             free, number, self.next = self.sequence, self.next, self.next + 1
+        if key is not None:
+            self.keys.setdefault(number, set()).add(key)
         self._put(number, free - length)
         return number, self.sequence - free
 
 
-def pack(found: DataFrame, sequence: int = SEQUENCE, open_bins: int = OPEN_BINS, tasks: int | None = None) -> DataFrame:
-    """Adds sequence_id and offset to the rows of `pieces`. Rows are dealt by hash (or into `tasks` tasks) and
-    sorted by hash inside, so a task that runs again packs alike; sequences of one task share its number."""
-    order = F.xxhash64("doc_id", "piece", "start", "length", "ids_crc32")
-    dealt = found.withColumn("_order", order)
-    dealt = dealt.repartition(tasks, "_order") if tasks else dealt.repartition("_order")
-    dealt = dealt.sortWithinPartitions("_order", "doc_id", "piece", "length", "ids_crc32").drop("_order")
+def pack(spark: SparkSession, found: DataFrame, sequence: int = SEQUENCE, open_bins: int = OPEN_BINS, apart: bool = False,
+         group_sequences: int = GROUP_SEQUENCES, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """Adds sequence_id and offset to the rows of `pieces`.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bins, first = BestFit(sequence, open_bins), TaskContext.get().partitionId() << 40
-        for batch in batches:
-            placed = [bins.place(n) for n in batch["length"]]
-            yield batch.assign(sequence_id=[first + p[0] for p in placed], offset=[p[1] for p in placed])
+    Pieces are stored and dealt by hash into groups, each packed by itself. How many groups there are follows from the tokens, so a group
+    has thousands of sequences to fill whatever the number of tasks, and leaves few of them part-filled. `apart`:
+    copies of a piece under one doc_id never share a sequence."""
+    columns = [c.split()[0] for c in PIECES.split(", ")]
+    found = stored(spark, found.withColumn("row", F.monotonically_increasing_id()), "pieces")
+    tokens, rows = found.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count("*")).first()
+    groups = max(1, round(tokens / (sequence * group_sequences)), rows // group_rows)
+    order = F.xxhash64("doc_id", "piece", "start", "length", "ids_crc32", "row")
+    dealt = found.withColumn("order", order).withColumn("deal", F.pmod("order", F.lit(groups)))
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(["order", "row"], ignore_index=True)
+        bins, first = BestFit(sequence, open_bins), int(part["deal"].iloc[0]) << 40
+        keys = zip(part["doc_id"].astype(object).where(part["doc_id"].notna(), None), part["piece"], part["ids_crc32"]) if apart else [None] * len(part)
+        placed = [bins.place(n, key) for n, key in zip(part["length"].tolist(), keys)]
+        return part[columns].assign(sequence_id=[first + p[0] for p in placed], offset=[p[1] for p in placed])
 
-    return dealt.mapInPandas(run, PIECES + ", sequence_id long, offset long")
+    return dealt.groupBy("deal").applyInPandas(run, PIECES + ", sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, path: str, sequence: int = SEQUENCE, open_bins: int = OPEN_BINS) -> DataFrame:
+def pack_documents(spark: SparkSession, docs: DataFrame, path: str, sequence: int = SEQUENCE, open_bins: int = OPEN_BINS,
+                   apart: bool = False) -> DataFrame:
     """All of `docs` in sequences of at most `sequence` tokens, one row per piece. Null and empty texts are one
-    token; repeated rows are packed each; null ids stay null; an empty table gives no rows."""
-    return pack(pieces(docs, path, sequence), sequence, open_bins)
+    token; repeated rows are packed each, and with `apart` never two of them into one sequence; null ids stay null; an empty
+    table gives no rows."""
+    return pack(spark, pieces(docs, path, sequence), sequence, open_bins, apart)

@@ -36,7 +36,7 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
+    return packing.pack_documents(spark, _table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,14 +111,14 @@ _SQL_TERMS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMN
 ORACLES = {
     "op9_search": """
         WITH v AS (
-            SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 64)::BIGINT) AS w FROM embeddings
-            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+            SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 64)::BIGINT) AS w
+            FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
               AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         s AS (
-            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.w::DOUBLE[], c.w::DOUBLE[])::BIGINT AS score
-            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
-        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
-        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+            SELECT q.r, q.vec_id AS query_id, c.vec_id, list_inner_product(q.w::DOUBLE[], c.w::DOUBLE[])::BIGINT AS score
+            FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 20 = 0),
+        k AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM k WHERE rank <= 20""",
     "op11_ranked": rf"""
         WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_SQL_TERMS} AS terms FROM documents),
         held AS (SELECT r, doc_id, len(terms) AS n, unnest(terms) AS term FROM d),

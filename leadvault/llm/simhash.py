@@ -133,6 +133,8 @@ def keep_one(spark: SparkSession, docs: DataFrame, words: int = SHINGLE_WORDS, b
     by_fp = own.groupBy("fp").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "copy")).alias("least"))
     stay = by_fp.join(rooted, "fp").groupBy("root").agg(F.min("least").alias("least")).select(
         F.col("least.doc_id").alias("_doc_id"), F.col("least.copy").alias("_least"))
-    kept = docs.withColumn("_copy", copy).join(
-        stay, F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id")) & (F.col("_copy") == F.col("_least")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_copy"]).drop("_copy")
+    # The caller's columns stay together, so that none of their names can clash.
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("doc_id").cast("long").alias("id"), copy.alias("copy"))
+    stay = stay.select(F.col("_doc_id").alias("stay_id"), F.col("_least").alias("stay_copy"))
+    kept = whole.join(stay, F.col("id").eqNullSafe(F.col("stay_id")) & (F.col("copy") == F.col("stay_copy")), "left_semi")
+    return kept.dropDuplicates(["id", "copy"]).select("doc.*")

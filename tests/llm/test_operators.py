@@ -9,11 +9,12 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from leadvault.llm import (langid, licences, maxscore, mixing, packing, queries, reputation, secret_scan, simhash,
                            suffix_dedup, weak_quality)
-from leadvault.llm.common import connected, ship_code
+from leadvault.llm.common import connected, ship_code, stored
 from tests.compare import differences, duck
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size int, row string, words int"
@@ -203,7 +204,7 @@ def test_packing(spark, docs, rows):
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
-    got = sorted(packing.pack_documents(docs, path).collect(), key=lambda r: (r["doc_id"], r["piece"]))
+    got = sorted(packing.pack_documents(spark, docs, path).collect(), key=lambda r: (r["doc_id"], r["piece"]))
     want = []
     for key, text, *_ in rows:
         ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
@@ -226,7 +227,7 @@ def test_packing_of_special_tokens(spark):
     parts = ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|endoftext|", "|>", " ", "hello", "don't", "É", "\n", "x1", "\u00a0"]
     texts = ["hello <|endoftext|> world", *["".join(rng.choice(parts) for _ in range(rng.randint(1, 12))) for _ in range(300)]]
     table = ship_code(spark).createDataFrame([(k, t, None, None, 1, 1, "r", 2) for k, t in enumerate(texts)], DOCS)
-    got = {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in packing.pack_documents(table, path).collect()}
+    got = {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in packing.pack_documents(spark, table, path).collect()}
     for k, text in enumerate(texts):
         ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 1], "<u4")
         assert got[k] == (len(ids), zlib.crc32(ids.tobytes())), text
@@ -238,6 +239,30 @@ def test_best_fit_closes_the_fullest():
     assert [bins.place(n) for n in (6, 7, 8, 4, 2)] == [(0, 0), (1, 0), (2, 0), (0, 6), (2, 8)]
 
 
+def test_packing_takes_few_sequences(spark, sf):
+    """Within 2 % of the tokens' worth, whatever the number of tasks."""
+    docs = ship_code(spark).read.parquet("/root/testdata/sf0.01/documents.parquet")
+    for tasks in (4, 211):
+        spark.conf.set("spark.sql.shuffle.partitions", str(tasks))
+        try:
+            got = packing.pack_documents(spark, docs.repartition(tasks), queries.tokenizer_path())
+            tokens, used = got.selectExpr("sum(length)", "count(distinct sequence_id)").first()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "4")
+        assert used <= 1.025 * tokens / 4096
+
+
+def test_copies_are_packed_apart(spark):
+    rng = random.Random(6)
+    texts = [(k, words(rng, rng.randint(1, 300))) for k in range(200)] + [(None, "no id"), (None, "no id")]
+    rows = [t for t in texts for _ in range(3)]
+    table = ship_code(spark).createDataFrame([(k, t, None, None, 1, 1, "r", 2) for k, t in rows], DOCS)
+    got = packing.pack_documents(spark, table, queries.tokenizer_path(), apart=True).collect()
+    assert len(got) == len(rows)
+    places = Counter((r["doc_id"], r["ids_crc32"], r["sequence_id"]) for r in got)
+    assert max(places.values()) == 1
+
+
 def test_language(spark):
     held = queries.op5_language(spark, "/root/testdata/sf0.01")
     told = held.where("held_out").join(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang"), "doc_id")
@@ -276,6 +301,16 @@ def test_stage_rejects_by_language(spark):
     assert sorted(r["doc_id"] for r in got.collect()) == [*range(200), *range(1000, 1000 + len(clean))]
 
 
+def test_language_stage_without_labels(spark, docs, rows):
+    """Nothing is known about languages, so only texts without a letter go; an empty table stays empty."""
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    got = corpus_pipeline.keep_known_languages(spark, unlabelled, "")
+    assert got.columns == docs.columns
+    assert sorted(r["doc_id"] for r in got.collect()) == [r[0] for r in rows if re.search(r"[^\W\d_]", r[1] or "")]
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty(spark), "").count() == 0
+
+
 def test_every_language_is_learned(spark):
     """More languages than were ever kept, a rare one among them; and texts in more than three."""
     rng = random.Random(12)
@@ -308,17 +343,20 @@ def test_quality(spark, docs, rows):
 def test_search(spark):
     rng = random.Random(4)
     rows = [(k, [rng.gauss(0, 1) for _ in range(rng.choice([8, 8, 5]))], 0) for k in range(300)]
-    rows += [(300, None, 0), (301, [1.0, None], 0), (302, [float("nan")], 0), (303, rows[0][1], 0), rows[0], (304, [], 0)]
+    rows += [(300, None, 0), (301, [1.0, None], 0), (302, [float("nan")], 0), (303, rows[0][1], 0), rows[0], (304, [], 0),
+             (20, rows[7][1], 0), (40, rows[40][1], 0), (None, rows[1][1], 0)]  # ids and rows that repeat
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
-    whole = {k: [int(np.floor(np.float64(np.float32(x)) * 64)) for x in v] for k, v, _ in rows if k < 300 or k > 302}
-    got = defaultdict(list)
+    whole = [(k, [int(np.floor(np.float64(np.float32(x)) * 64)) for x in v]) for k, v, _ in rows if k is not None and k not in (300, 301, 302)]
     ship_code(spark)
-    vectors = maxscore.weights(df)
-    for r in maxscore.top_k(spark, vectors.where("vec_id % 20 = 0"), vectors, shard_rows=100, query_rows=7).collect():
-        got[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
-    for q in (k for k in whole if k % 20 == 0):
-        best = sorted((-sum(a * b for a, b in zip(whole[q], v)), k) for k, v in whole.items() if k != q)[:20]
-        assert sorted(got[q]) == [(n, k, -s) for n, (s, k) in enumerate(best, 1)]
+    vectors = stored(spark, maxscore.weights(df), "vectors")
+    got = maxscore.top_k(spark, vectors.where("vec_id % 20 = 0"), vectors, shard_rows=100, query_rows=7)
+    want = []
+    for n, (query, asked) in enumerate(whole):
+        if query % 20 == 0:
+            best = sorted((-sum(a * b for a, b in zip(asked, v)), k) for m, (k, v) in enumerate(whole) if m != n)[:20]
+            want += [(query, rank, k, -s) for rank, (s, k) in enumerate(best, 1)]
+    assert Counter(map(tuple, got.collect())) == Counter(want)
+    assert maxscore.nearest(spark, df.limit(0), 20).count() == 0
 
 
 def test_urls(spark):
@@ -378,17 +416,24 @@ def test_empty_and_odd_tables(spark, odd):
     none = empty(spark)
     path = queries.tokenizer_path()
     assert simhash.near_duplicates(spark, none).count() == suffix_dedup.dedup(spark, none).count() == 0
-    assert packing.pack_documents(none, path).count() == mixing.mix(spark, none)[1].count() == weak_quality.judge(spark, none).count() == 0
+    assert packing.pack_documents(spark, none, path).count() == mixing.mix(spark, none)[1].count() == weak_quality.judge(spark, none).count() == 0
     n = odd.count()
     assert simhash.near_duplicates(spark, odd).count() == suffix_dedup.dedup(spark, odd).count() == n
     assert mixing.mix(spark, odd)[1].count() == weak_quality.judge(spark, odd).count() == n
-    assert packing.pack_documents(odd, path).where("piece = 0").count() == n
+    assert packing.pack_documents(spark, odd, path).where("piece = 0").count() == n
 
 
 def test_pipeline_stages(spark, docs, rows):
     kept = corpus_pipeline.keep_one_of_near_copies(spark, docs, "")
     groups = brute_components({r[0]: brute_fingerprint(r[1]) for r in rows})
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(groups.values())) and kept.columns == docs.columns
+    # Columns whose names the stages might use themselves.
+    odd_names = {"_doc_id": "k", "_copy": 5, "_times": 7, "_least": "x", "id": 1, "doc": "d", "times": 9, "row.x": "dot"}
+    named = docs.withColumns({n: F.lit(v) for n, v in odd_names.items()})
+    for stage in (corpus_pipeline.keep_one_of_near_copies, corpus_pipeline.mix_sources, corpus_pipeline.keep_known_languages,
+                  corpus_pipeline.redact_secrets):
+        out = stage(spark, named, "")
+        assert out.columns == named.columns and {n: out.first()[n] for n in odd_names} == odd_names
     assert corpus_pipeline.redact_secrets(spark, docs, "").columns == docs.columns
     assert corpus_pipeline.mix_sources(spark, docs, "").columns == docs.columns
 
