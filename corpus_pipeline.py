@@ -17,9 +17,13 @@ LEAST_SHARE = 1 / 3
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows whose text has a language; null texts and texts without a letter go."""
+    """Rows whose text is in a language of the labelled rows; texts that no learned language explains go, and so do null texts and
+    texts without a letter. Where no row is labelled nothing is known about languages: all texts with a letter
+    stay. Every column stays, whatever its name; an empty table stays empty."""
     ship_code(configure(spark))
     model = langid.fit(docs.where(~langid.held_out()))
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     return langid.accepted(docs, model, LEAST_SHARE)
 
 
@@ -37,20 +41,23 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it, rounded to whole documents: 0 to 3 times."""
+    """Each document as often as the mix takes it, rounded to whole documents: 0 to 3 times. Texts without a word are never
+    taken. Rows under one doc_id, null ids too, are taken as often as the most wanted of them. Null is a source of its
+    own. Every column stays, whatever its name; an empty table stays empty."""
     configure(spark)
     _, per_doc = mixing.mix(spark, docs)
     times = per_doc.where("size > 0").select(
-        F.col("doc_id").alias("_doc_id"), F.round(F.col("taken") / F.col("size")).cast("int").alias("_times"))
-    times = times.where("_times > 0").groupBy("_doc_id").agg(F.max("_times").alias("_times"))
-    return docs.join(times, F.col("doc_id").eqNullSafe(F.col("_doc_id"))).withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(docs.columns)
+        F.col("doc_id").alias("id_taken"), F.round(F.col("taken") / F.col("size")).cast("int").alias("times"))
+    times = times.where("times > 0").groupBy("id_taken").agg(F.max("times").alias("times"))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("doc_id").cast("long").alias("id"))
+    taken = whole.join(times, F.col("id").eqNullSafe(F.col("id_taken")))
+    return taken.select("doc", F.explode(F.sequence(F.lit(1), F.col("times")))).select("doc.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix as sequences of tokens, one row per piece of a document."""
+    """The mix as sequences of tokens, one row per piece of a document; copies of a document never share a sequence."""
     ship_code(configure(spark))
-    return packing.pack_documents(docs, tokenizer_path())
+    return packing.pack_documents(spark, docs, tokenizer_path(), apart=True)
 
 
 STAGES = [
