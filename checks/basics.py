@@ -366,6 +366,22 @@ def win_lag_change(spark, sf):
     return changed.drop("ts")
 
 
+_HOT_EVENTS = """SELECT event_id, if(event_id % 3 = 0, 0, user_id) AS user_id, event_type,
+  CAST(if(event_id % 3 = 0, TIMESTAMP '2024-01-10 00:00:00', ts) AS DATE) AS day FROM events"""
+
+
+@check("win_neighbours_of_hot_keys", f"""WITH hot AS ({_HOT_EVENTS.replace("if(", "IF(")})
+  SELECT event_id, lag(event_type) OVER w AS before, lead(event_type) OVER w AS after FROM hot
+  WINDOW w AS (PARTITION BY user_id ORDER BY day, event_id)""")
+def win_neighbours_of_hot_keys(spark, sf):
+    """A third of the rows under one key on one day: buckets are cut where the data tell, inside the day too."""
+    events = table(spark, sf, "events")
+    events.createOrReplaceTempView("events")
+    hot, bound = spark.sql(_HOT_EVENTS), max(50, events.count() // 20)
+    before = W.with_neighbour(hot, "user_id", ["day", "event_id"], "event_type", "before", False, bucket_rows=bound)
+    return W.with_neighbour(before, "user_id", ["day", "event_id"], "event_type", "after", True, bucket_rows=bound).select("event_id", "before", "after")
+
+
 # ---- set operations ----
 
 

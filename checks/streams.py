@@ -60,6 +60,24 @@ def dedupe_stream(spark, sf):
     return spark.read.schema(schema).parquet(out)
 
 
+@check("corrections_stream", """SELECT event_id, user_id, event_type, ts, CASE WHEN event_id % 3 = 0 THEN CAST(value + 2 AS DOUBLE)
+    WHEN event_id % 3 = 1 THEN CAST(value + 1 AS DOUBLE) ELSE CAST(value AS DOUBLE) END AS value,
+  CASE WHEN event_id % 3 = 0 THEN 2 WHEN event_id % 3 = 1 THEN 1 ELSE 0 END AS load FROM events""")
+def corrections_stream(spark, sf):
+    """Events delivered twice each, and up to two corrections, dealt to files at random: corrections come in other batches than
+    what they correct, before it or after it."""
+    src = scratch_dir(spark, "events")
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts", F.col("value").cast("double").alias("value"))
+    loads = F.when(F.col("event_id") % 3 == 0, F.array(*map(F.lit, (0, 1, 2)))).when(
+        F.col("event_id") % 3 == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    sent = events.withColumn("load", F.explode(F.concat(loads, loads))).withColumn("value", F.col("value") + F.col("load"))
+    sent.repartition(6, F.xxhash64("event_id", "load", F.monotonically_increasing_id())).write.parquet(src)
+    newest = ST.corrections_stream(ST.read_stream(spark, src, sent.schema, files_per_batch=2), "event_id", "ts", "load", "60 days")
+    root = scratch_dir(spark, "corrected")
+    ST.upsert_stream(newest, root, scratch_dir(spark, "checkpoint"), ["event_id"], ["load"], "update")
+    return ST.read_upserts(spark, root, ["event_id"], ["load"], sent.schema)
+
+
 @check("windowed_counts", """SELECT date_trunc('day', ts) AS window_start, event_type, COUNT(*) AS n FROM events GROUP BY 1, 2""")
 def windowed_counts(spark, sf):
     """Daily counts, refreshed by each batch and merged by window."""

@@ -3,6 +3,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,3 +80,35 @@ def windowed_counts(stream: DataFrame, ts: str, width: str, *dims: str, lateness
                .agg(F.count(F.lit(1)).alias("n")))
     start = F.col("window.start").cast(stream.schema[ts].dataType)
     return counted.select(start.alias("window_start"), *dims, "n")
+
+
+def corrections_stream(stream: DataFrame, pk, event_col: str, order_by, lateness: str = "28 days") -> DataFrame:
+    """Rows that are the newest of their key so far: the first one of a key, and each later one that ``order_by`` puts above all
+    before it. Copies and superseded rows are dropped, in whatever batch and order they arrive.
+
+    The state of a key is the order columns of its newest row, kept until the watermark passes the row's event time by
+    ``lateness``; rows of event times that are older than the watermark are dropped. Run in update mode into
+    ``upsert_stream``, whose newest row per key is then that of all rows. Order columns must not be NULL."""
+    keys, order = ([pk] if isinstance(pk, str) else list(pk)), ([order_by] if isinstance(order_by, str) else list(order_by))
+    rows = _watermarked(stream, event_col, lateness)
+    wait = int(stream.sparkSession.sql(f"SELECT INTERVAL {lateness} AS i").select(
+        (F.lit("1970-01-01").cast("timestamp_ntz") + F.col("i")).cast("timestamp").cast("long")).first()[0]) * 1000
+    state_schema = T.StructType([rows.schema[c] for c in order])
+
+    def newest(key, parts, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        batch = pd.concat(list(parts)).sort_values(order, kind="stable")
+        best = batch.iloc[[-1]]
+        rank = tuple(best[c].iloc[0] for c in order)
+        plain = tuple(x.to_pydatetime() if hasattr(x, "to_pydatetime") else x.item() if hasattr(x, "item") else x for x in rank)
+        if state.exists and plain <= state.get:
+            return
+        state.update(plain)
+        seen = int(best[event_col].iloc[0].timestamp() * 1000)
+        state.setTimeoutTimestamp(max(seen, state.getCurrentWatermarkMs()) + wait)
+        yield best
+
+    found = rows.groupBy(*keys).applyInPandasWithState(newest, rows.schema, state_schema, "update", "EventTimeTimeout")
+    return found.withColumn(event_col, F.col(event_col).cast(stream.schema[event_col].dataType))
