@@ -12,11 +12,12 @@ from checks.staging import insights_log, search_log
 from leadvault.operators import maintenance as M
 from leadvault.operators import quality as Q
 from leadvault.operators import vault as dv
+from leadvault.operators import windows as W
 from leadvault.streaming import loads as ST
 from leadvault.operators.incremental import lookback_replace, merge_upsert, newer_than
 from leadvault.plans import layers
 from leadvault.session import scratch_dir
-from leadvault.sources import catalog, reads, schemas, writes
+from leadvault.sources import catalog, reads, schemas, snapshots, writes
 from leadvault.sources import partitions as P
 from leadvault.sources.reads import list_files
 from leadvault.sources.versions import current, load_log, publish
@@ -378,3 +379,31 @@ def test_a_copy_that_differs_is_an_error(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(Q, "differing_ranges", lambda a, b, keys: ["p00"])
     with pytest.raises(RuntimeError, match="1 ranges"):
         writes.mirror_table(spark, src, dst)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_snapshot_batches_in_any_order(spark, tmp_path, seed):
+    """Late states, states of one time, repeated batches; a load reads no closed version."""
+    rng, path = random.Random(seed), str(tmp_path / "s")
+    rows = [(k, t, rng.randint(1, 3)) for k in range(6) for t in range(1, 9) for _ in range(rng.choice([0, 1, 1, 2]))]
+    schema, batches = "k int, t int, v int", [rows[k::4] for k in range(4)]
+    for k in [rng.randrange(4) for _ in range(3)] + [0, 1, 2, 3]:
+        snapshots.load_snapshot(spark, spark.createDataFrame(batches[k], schema), path, "k", "t", digits=1)
+    got = sorted(map(tuple, snapshots.read_snapshot(spark, path, "k", "t").select("k", "t", "v", "valid_from", "valid_to").collect()), key=repr)
+    best = {}
+    for k, t, v in rows:
+        best[k, t] = min(v, best.get((k, t), v))
+    want = [(k, t, v, t, min((u for j, u in best if j == k and u > t), default=None)) for (k, t), v in best.items()]
+    assert got == sorted(want, key=repr)
+
+
+def test_ranges_bound_hot_keys(spark):
+    """Half of the rows under one key and one day: no bucket is much larger than asked for."""
+    df = spark.range(20_000).selectExpr("if(id % 2 = 0, 0, id % 50) AS k", "if(id % 2 = 0, 1, id % 7) AS day", "id")
+    cut = W.in_ranges(df, "k", ["day", "id"], 1000)
+    sizes = [r["count"] for r in cut.groupBy("_bucket").count().collect()]
+    assert len(sizes) >= 15 and max(sizes) <= 2000
+    got = W.with_neighbour(df, "k", ["day", "id"], "id", "before", False, bucket_rows=1000)
+    frame = df.toPandas().sort_values(["k", "day", "id"])
+    want = frame.assign(before=frame.groupby("k")["id"].shift())
+    assert {r["id"]: r["before"] for r in got.collect()} == {i: None if np.isnan(b) else int(b) for i, b in zip(want["id"], want["before"])}
