@@ -39,7 +39,7 @@ def load_snapshot(spark: SparkSession, source: DataFrame, path: str, keys, updat
     chained = P._kept_aside(close_versions(rows, keys, [updated_at], "valid_to"), "chained")
     write_table(chained.filter("valid_to IS NOT NULL"), f"{path}/closed", layer="snapshot", mode="append")
     newest = chained.filter("valid_to IS NULL").drop("valid_to")
-    P.merge_partitions(spark, newest, f"{path}/open", keys, updated_at, digits=digits, mode="newest", layer="snapshot")
+    P.merge_partitions(spark, newest, f"{path}/open", keys, updated_at, digits=digits, layer="snapshot")
 
 
 def read_snapshot(spark: SparkSession, path: str, keys, updated_at: str) -> DataFrame:
