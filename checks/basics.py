@@ -393,13 +393,13 @@ def union_all_aligned(spark, sf):
         "s_acctbal AS balance", "s_name AS name", "s_suppkey AS id"))
 
 
-@check("union_distinct_anti", """SELECT n_nationkey FROM nation WHERE n_nationkey NOT IN (
-  SELECT c_nationkey FROM customer WHERE c_acctbal > 9900 UNION SELECT s_nationkey FROM supplier WHERE s_acctbal < 0)""")
+@check("union_distinct_anti", """SELECT c_custkey FROM customer WHERE c_custkey NOT IN (
+  SELECT o_custkey FROM orders UNION SELECT s_suppkey FROM supplier)""")
 def union_distinct_anti(spark, sf):
-    used = R.union_distinct(
-        table(spark, sf, "customer").filter("c_acctbal > 9900").selectExpr("c_nationkey AS n_nationkey"),
-        table(spark, sf, "supplier").filter("s_acctbal < 0").selectExpr("s_nationkey AS n_nationkey"))
-    return table(spark, sf, "nation").select("n_nationkey").join(used, "n_nationkey", "left_anti")
+    """Customers whose number neither an order nor a supplier has."""
+    used = R.union_distinct(table(spark, sf, "orders").selectExpr("o_custkey AS c_custkey"),
+                            table(spark, sf, "supplier").selectExpr("s_suppkey AS c_custkey"))
+    return table(spark, sf, "customer").select("c_custkey").join(used, "c_custkey", "left_anti")
 
 
 # ---- scalar functions ----

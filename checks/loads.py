@@ -12,7 +12,7 @@ from leadvault.operators import incremental as I
 from leadvault.operators import rows as R
 from leadvault.operators.aggregates import count_by
 from leadvault.session import scratch_dir
-from leadvault.sources import catalog, reads, writes
+from leadvault.sources import catalog, reads, schemas, writes
 from leadvault.sources import partitions as P
 from leadvault.sources.versions import current, publish
 
@@ -38,7 +38,8 @@ def with_audit(spark, sf):
 def append_raw(spark, sf):
     out, customers = scratch_dir(spark, "append"), table(spark, sf, "customer")
     writes.append_raw(customers.filter("c_custkey % 2 = 0"), out, "2024-03-05")
-    writes.append_raw(customers, out, "2024-03-06")
+    for _ in range(2):  # a day that is run again
+        writes.append_raw(customers, out, "2024-03-06")
     return spark.read.parquet(out)
 
 
@@ -162,6 +163,58 @@ def read_nested(spark, sf):
     return nested.drop("fields")
 
 
+# Rejects: which stream, why, and the text. Of every stream some objects are cut, some hold a word where a number or a date belongs.
+_STREAMS = {
+    "crm_campaigns": (schemas.CRM_CAMPAIGNS, "region", "r_regionkey", {"sdate": "date", "opens": "bigint"}),
+    "crm_lists": (schemas.CRM_LISTS, "nation", "n_nationkey", {"cdate": "date"}),
+    "crm_deals": (schemas.CRM_DEALS, "supplier", "s_suppkey", {"cdate": "date", "value": "bigint"}),
+    "ad_sets": (schemas.AD_SETS, "customer", "c_custkey", {"created_time": "date", "daily_budget": None}),
+    "ads": (schemas.ADS, "part", "p_partkey", {"created_time": "date"}),
+}
+
+
+def _object(key, day, number):
+    """A JSON object of a source with all the fields the streams below look at."""
+    text = f"""'{{"id":"' || CAST({key} AS STRING) || '","{day}":"' || CASE WHEN {key} % 7 = 3 THEN 'soon' ELSE '2024-01-0' || CAST(1 + {key} % 9 AS STRING) END || '"'"""
+    if number:
+        quoted = "" if number == "daily_budget" else '"'
+        text += f""" || ',"{number}":' || CASE WHEN {key} % 5 = 2 THEN '"many"' ELSE '{quoted}' || CAST({key} AS STRING) || '{quoted}' END"""
+    return text + f""" || CASE WHEN {key} % 11 = 4 THEN '' ELSE '}}' END"""
+
+
+def _stream_sql():
+    parts = []
+    for name, (_, source, key, casts) in _STREAMS.items():
+        day, *number = casts
+        broken, soon = f"{key} % 11 = 4", f"{key} % 7 = 3"
+        if number and casts[number[0]] is None:  # declared as a number: the object itself does not fit
+            broken, number = f"({key} % 11 = 4 OR {key} % 5 = 2)", []
+        parts += [f"SELECT '{name}' AS stream, NULL AS column_name, COUNT(*) FILTER (NOT {broken}) AS accepted, COUNT(*) FILTER ({broken}) AS rejected FROM {source}",
+                  f"SELECT '{name}', '{day}', COUNT(*) FILTER (NOT {broken} AND NOT {soon}), COUNT(*) FILTER (NOT {broken} AND {soon}) FROM {source}"]
+        parts += [f"SELECT '{name}', '{n}', COUNT(*) FILTER (NOT {broken} AND {key} % 5 <> 2), COUNT(*) FILTER (NOT {broken} AND {key} % 5 = 2) FROM {source}" for n in number]
+    return " UNION ALL ".join(parts)
+
+
+@check("declared_streams", _stream_sql())
+def declared_streams(spark, sf):
+    """Five streams from JSON by their declared schemas: objects that don't fit, and values a cast loses, are kept as rejects."""
+    found = []
+    for name, (stream, source, key, casts) in _STREAMS.items():
+        folder = scratch_dir(spark, name)
+        day, *number = casts
+        table(spark, sf, source).selectExpr(f"{_object(key, day, number[0] if number else None)} AS value").write.text(folder)
+        rows, rejects = reads.read_declared(spark, folder, stream)
+        counts = rows.agg(F.count("*").alias("accepted")).select(F.lit(None).cast("string").alias("column_name"), "accepted")
+        lost = rejects.groupBy("column_name").agg(F.count("*").alias("rejected"))
+        typed, uncast = reads.cast_declared(rows, {c: t for c, t in casts.items() if t}, ["id"])
+        for column in (c for c, t in casts.items() if t):
+            counts = counts.unionByName(typed.agg(F.count(column).alias("accepted")).select(F.lit(column).alias("column_name"), "accepted"))
+        lost = lost.unionByName(uncast.groupBy("column_name").agg(F.count("*").alias("rejected"))).withColumnRenamed("column_name", "c")
+        both = counts.join(lost, F.col("c").eqNullSafe(F.col("column_name")), "left")
+        found.append(both.select(F.lit(name).alias("stream"), "column_name", "accepted", F.coalesce("rejected", F.lit(0)).alias("rejected")))
+    return R.union_aligned(*found)
+
+
 @check("write_table", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
 def write_table(spark, sf):
     """Hash-distributed, partitioned and sorted."""

@@ -17,7 +17,9 @@ from leadvault.session import scratch_dir
 
 
 def _one_per_key(df: DataFrame, keys, order) -> DataFrame:
-    window = Window.partitionBy(*keys).orderBy(*order)
+    """Rows of equal order are told apart by a hash of the whole row, so a task that runs again picks the same one."""
+    hashable = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
+    window = Window.partitionBy(*keys).orderBy(*order, F.xxhash64(*[F.col(f"`{c}`") for c in hashable]))
     return df.withColumn("_rn", F.row_number().over(window)).filter(F.col("_rn") == 1).drop("_rn")
 
 

@@ -60,6 +60,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="leadvault-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        # The setting is fixed once a session runs, so the folder is remembered with the application.
+        shared = getattr(spark.sparkContext, "_leadvault_scratch", None) or tempfile.mkdtemp(prefix="leadvault-")
+        spark.sparkContext._leadvault_scratch = shared
     return os.path.join(shared, f"{label}-{uuid.uuid4().hex[:12]}")

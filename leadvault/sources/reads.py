@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leadvault.operators.rows import compute_once
-from leadvault.sources.schemas import ANSWERS
+from leadvault.sources.schemas import ANSWERS, Stream
+
+#: Holds the text of objects that don't fit their declared schema.
+CORRUPT = "_corrupt"
+
 
 def scan_bronze(spark: SparkSession, path: str, schema: T.StructType | None = None,
                 start_date: str | None = None, date_col: str = "_load_date") -> DataFrame:
@@ -52,6 +56,32 @@ def read_nested(df: DataFrame, col: str, schema: str, members: dict) -> DataFram
     return parsed.select(*df.columns, *[F.col(f"_obj.{path}").alias(out) for out, path in members.items()])
 
 
+def read_declared(spark: SparkSession, path: str, stream: Stream, start_date: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """A stream's JSON objects by its declared schema, and what does not fit it.
+
+    First: the rows, fields that were not sent NULL. Second: (column_name, value), a NULL column and the text of
+    every object that is cut or holds another type than declared; nothing of it is among the rows."""
+    schema = T.StructType([*stream.schema, T.StructField(CORRUPT, T.StringType())])
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    parsed = compute_once(lines, {"_row": F.from_json("value", schema, {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"})})
+    fits = F.col(f"_row.{CORRUPT}").isNull()
+    rows = parsed.filter(fits).select("_row.*").drop(CORRUPT)
+    if start_date is not None:
+        rows = rows.filter(F.col("_load_date") >= start_date)
+    return rows, parsed.filter(~fits).select(F.lit(None).cast("string").alias("column_name"), "value")
+
+
+def cast_declared(df: DataFrame, types: dict, key=()) -> tuple[DataFrame, DataFrame]:
+    """Columns cast to types, and the values that the casts lose.
+
+    First: all rows; a malformed value is NULL. Second: (*key, column_name, value) for each such value, whose text is kept;
+    absent values are none. One pass over the rows finds those of all columns."""
+    cast = df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items()})
+    lost = F.array_compact(F.array(*[F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), F.struct(
+        F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))) for c, t in types.items()]))
+    return cast, df.select(*key, F.inline(lost))
+
+
 def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
     """A catalog table or temporary view by name, or a parquet folder by path."""
     return spark.read.parquet(name_or_path) if "/" in name_or_path else spark.table(name_or_path)

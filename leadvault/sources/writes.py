@@ -39,12 +39,13 @@ def _writer(df: DataFrame, layer: str, mode: str):
 
 
 def append_raw(df: DataFrame, path: str, as_of: str) -> None:
-    """Append one extract under its dated folder (year / month / day), gzip parquet.
+    """Put one extract under its dated folder (year / month / day), gzip parquet. An extract of the same day that was run
+    again replaces the first one; other days stay.
 
     One extract has one date, so rows need no shuffle to reach their partition."""
     day = F.lit(as_of).cast("date")
     dated = df.withColumns({"year": F.year(day), "month": F.month(day), "day": F.day(day)})
-    _writer(dated, "raw", "append").partitionBy("year", "month", "day").parquet(path)
+    _writer(dated, "raw", "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month", "day").parquet(path)
 
 
 def full_refresh(df: DataFrame, path: str, layer: str = "bronze", partition_by=()) -> None:
