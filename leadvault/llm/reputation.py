@@ -2,19 +2,22 @@
 
 Reputation: labelled page outcomes give each host, registered domain and suffix its number of bad pages.
 Each level's rate is shrunk to its parent's through a beta-binomial prior whose strength comes from the data
-(moments over all groups of that level). A host is blocked if the lower bound of its posterior bad rate is
-above a threshold; hosts without outcomes have their domain's, suffix's or the global prior."""
+(moments over all groups of that level). A host is blocked if the lower bound of its posterior bad rate is above that of all
+pages (or a given rate): it is worse than the web at large, and not by chance. Hosts without outcomes have their domain's,
+suffix's or the global prior."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leadvault.llm.common import stored
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Suffixes of two labels, under which a registered domain has three.
-LONG_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br", "co.nz", "co.in")
-#: A host is blocked if mean - WIDTH deviations of its bad rate exceeds BAD_RATE.
-WIDTH, BAD_RATE = 1.645, 0.5
+#: Suffixes of two labels, under which a registered domain has three: these before a country's two letters. Fixed values.
+SECOND_LEVEL = ("ac", "co", "com", "edu", "gob", "gov", "go", "ltd", "mil", "ne", "net", "nom", "or", "org", "plc")
+#: A host is blocked if mean - WIDTH deviations of its bad rate exceeds the threshold.
+WIDTH = 1.645
 
 
 def host_of(url: Column) -> Column:
@@ -38,16 +41,27 @@ def best_rule(host: Column, path: Column, rules: list[tuple[str, str, str]]) ->
     return F.coalesce(*[F.when(fits(rules[k]), F.lit(k)) for k in ranked]) if ranked else F.lit(None).cast("int")
 
 
-def suffix_of(host: Column) -> Column:
-    two = F.regexp_extract(host, r"([^.]*\.[^.]*)$", 1)
-    return F.when(two.isin(*LONG_SUFFIXES), two).otherwise(F.regexp_extract(host, r"([^.]*)$", 1))
+def site_of(host: Column) -> Column:
+    """The host without user info, port and final dot."""
+    return F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r"(?::[0-9]*)?$|\.(?::[0-9]*)?$", "")
+
+
+def _is_address(site: Column) -> Column:
+    return site.rlike(r"^[0-9]+(\.[0-9]+){3}$") | site.startswith("[")
+
+
+def suffix_of(site: Column, second_level: tuple = SECOND_LEVEL) -> Column:
+    """The last label, or two of them under a country's second level; an address is its own suffix."""
+    two = F.regexp_extract(site, rf"(?:^|\.)((?:{'|'.join(second_level)})\.[a-z][a-z])$", 1)
+    return F.when(_is_address(site), site).when(two != "", two).otherwise(F.regexp_extract(site, r"([^.]*)$", 1))
 
 
-def domain_of(host: Column) -> Column:
-    """The suffix and the label before it; the host itself where it has no more."""
-    three, two = F.regexp_extract(host, r"([^.]*\.[^.]*\.[^.]*)$", 1), F.regexp_extract(host, r"([^.]*\.[^.]*)$", 1)
-    found = F.when(two.isin(*LONG_SUFFIXES), three).otherwise(two)
-    return F.when(found == "", host).otherwise(found)
+def domain_of(site: Column, second_level: tuple = SECOND_LEVEL) -> Column:
+    """The suffix and the label before it; the site itself where it has no more, and an address."""
+    labels = F.split(site, r"\.")
+    count = F.size(F.split(suffix_of(site, second_level), r"\.")) + 1
+    return F.when(_is_address(site) | (F.size(labels) <= count), site).otherwise(
+        F.array_join(F.slice(labels, F.size(labels) - count + 1, count), "."))
 
 
 def _strength(groups: DataFrame) -> float:
@@ -63,9 +77,10 @@ def _strength(groups: DataFrame) -> float:
 def reputations(outcomes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, tuple]:
     """Posterior (alpha, beta) of the bad rate per host, per domain and per suffix, and globally, from `outcomes`
     (host, bad 0 / 1; rows with null bad teach nothing)."""
-    told = outcomes.where("bad is not null and host is not null")
+    told = outcomes.where("bad is not null and host is not null").select(site_of(F.col("host")).alias("host"), "bad")
     hosts = told.groupBy("host").agg(F.count("*").alias("n"), F.sum("bad").alias("k")).withColumns(
         {"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))})
+    hosts = stored(outcomes.sparkSession, hosts, "hosts")
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     n, k = suffixes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("k"), F.lit(0))).first()
@@ -89,16 +104,19 @@ def reputations(outcomes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, t
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]], outcomes: DataFrame, width: float = WIDTH,
-          bad_rate: float = BAD_RATE) -> DataFrame:
+          bad_rate: float | None = None) -> DataFrame:
     """(page_id, host, path, rule, verdict, bad_mean, bad_low) for every row of `pages` (page_id, url, others
-    ignored). verdict is the longest fitting rule's, else `block` where bad_low > bad_rate, else `allow`. A null
-    url, or one without `://`, has empty host and path and is judged as the host ''; repeated rows are judged
+    ignored). verdict is the longest fitting rule's, else `block` where bad_low > bad_rate (by default the
+    bad rate of all outcomes), else `allow`. Reputations know a host without user info and port; an address is a site of its
+    own. A null url, or one without `://`, has empty host and path and is judged as the host ''; repeated rows are judged
     alike; without outcomes the global prior is even and nothing is blocked."""
     hosts, domains, suffixes, top = reputations(outcomes)
+    bad_rate = top[0] / (top[0] + top[1]) if bad_rate is None else bad_rate
     cut = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    cut = cut.withColumns({"_domain": domain_of(F.col("host")), "_suffix": suffix_of(F.col("host")),
+    cut = cut.withColumn("_site", site_of(F.col("host")))
+    cut = cut.withColumns({"_domain": domain_of(F.col("_site")), "_suffix": suffix_of(F.col("_site")),
                            "_rule": best_rule(F.col("host"), F.col("path"), rules)})
-    levels = [(hosts, "host", "host"), (domains, "domain", "_domain"), (suffixes, "suffix", "_suffix")]
+    levels = [(hosts, "host", "_site"), (domains, "domain", "_domain"), (suffixes, "suffix", "_suffix")]
     for k, (level, key, own) in enumerate(levels):
         found = level.select(F.col(key).alias(f"_key{k}"), F.struct("alpha", "beta", "weight").alias(f"_p{k}"))
         cut = cut.join(found, F.col(own) == F.col(f"_key{k}"), "left").drop(f"_key{k}")

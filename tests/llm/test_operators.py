@@ -370,6 +370,31 @@ def test_urls(spark):
     assert got[6][3] == "block" and got[7][3] == "allow"
 
 
+def test_domains(spark):
+    cases = {"user:pw@a.example.co.uk:8080": ("a.example.co.uk", "example.co.uk", "co.uk"), "192.168.0.1:80": ("192.168.0.1",) * 3,
+             "x.gov.uk": ("x.gov.uk", "x.gov.uk", "gov.uk"), "a.b.example.com.": ("a.b.example.com", "example.com", "com"),
+             "localhost": ("localhost",) * 3, "": ("", "", ""), "gov.uk": ("gov.uk", "gov.uk", "gov.uk"), "a.b.co.x": ("a.b.co.x", "co.x", "x")}
+    table = spark.createDataFrame([(h,) for h in cases], "host string")
+    site = reputation.site_of(F.col("host"))
+    got = table.select("host", site, reputation.domain_of(site), reputation.suffix_of(site)).collect()
+    assert {r[0]: tuple(r)[1:] for r in got} == cases
+
+
+def test_bad_hosts_are_blocked(spark):
+    """Planted hosts: worse than the others and often enough seen, on a bad domain, or seen too seldom to tell."""
+    rng = random.Random(2)
+    told = [(f"h{k}.site{k % 9}.com", int(rng.random() < 0.2)) for k in range(60) for _ in range(30)]
+    told += [("worse.site1.com", int(k % 10 < 8)) for k in range(60)] + [(f"w{k % 6}.spam.net", 1) for k in range(48)] + [("new.site2.com", 1)]
+    urls = ["http://worse.site1.com/a", "http://x@w0.spam.net:81/", "http://never.seen.spam.net/x", "http://new.site2.com/", "http://h3.site3.com/",
+            "http://other.org/"]
+    pages = spark.createDataFrame([(k, u, "") for k, u in enumerate(urls)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["verdict"] for r in reputation.judge(pages, [], spark.createDataFrame(told, "host string, bad int")).collect()}
+    assert got == dict(enumerate(["block", "block", "block", "allow", "allow", "allow"]))
+    none = reputation.judge(pages.limit(0), queries.URL_RULES, spark.createDataFrame([], "host string, bad int"))
+    assert none.count() == 0
+    assert reputation.judge(pages, [], spark.createDataFrame([], "host string, bad int")).where("verdict = 'block'").count() == 0
+
+
 def test_licences(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     truth = {r["doc_id"]: r["text"] for r in docs.collect()}
