@@ -18,8 +18,9 @@ MIN_WORDS = 50
 SYMBOLS = "#*$%&|<>"
 _SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 KEEP = 0.5
-#: A rule blames at most this share of the good documents it votes on, and at least that of those with its defect.
-FALSE_ALARM, SEES = 0.01, 0.9
+#: Beta priors of a rule's accuracy: their means, of the good documents it blames and of those with its defect it sees, and
+#: their weight as a share of the rule's votes, so that data outweigh them alike at every size.
+FALSE_ALARM, SEES, PRIOR_SHARE = 0.01, 0.9, 0.05
 ROUNDS = 100
 
 
@@ -85,10 +86,12 @@ def votes() -> dict[str, Column]:
 
 def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROUNDS) -> dict[tuple[int, ...], float]:
     """The posterior probability of being good per vote pattern, by EM over the patterns and their counts. Kind 0 is
-    good, kind j has the defect rule j - 1 looks for. EM starts from the belief that a bad vote is mostly right, a
-    rule is held to see its own defect (SEES) and to blame few good documents (FALSE_ALARM). Abstentions say nothing."""
+    good, kind j has the defect rule j - 1 looks for. EM starts from the belief that a bad vote is mostly right. Accuracies
+    are estimated freely under Beta priors: that a rule sees its own defect (SEES) and blames few good documents
+    (FALSE_ALARM); what it says of other defects has a flat prior of two votes. Abstentions say nothing."""
     rules = len(patterns[0][0]) if patterns else 0
     kinds = range(rules + 1)
+    weights = [PRIOR_SHARE * sum(n for vote, n in patterns if vote[j]) + 1 for j in range(rules)]
     belief = []
     for vote, _ in patterns:
         bad = [j for j in range(rules) if vote[j] < 0]
@@ -98,14 +101,16 @@ def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROUNDS)
         total = sum(weight) + rules + 1
         blames = [[0.0] * rules for _ in kinds]  # chance of a bad vote, given that the rule votes
         for j in range(rules):
-            bad, voted = [0.5] * (rules + 1), [1.0] * (rules + 1)
+            bad, voted = [1.0] * (rules + 1), [2.0] * (rules + 1)
+            for k, mean in ((0, FALSE_ALARM), (j + 1, SEES)):
+                bad[k], voted[k] = weights[j] * mean, weights[j]
             for (vote, n), b in zip(patterns, belief):
                 if vote[j]:
                     for k in kinds:
                         voted[k] += n * b[k]
                         bad[k] += n * b[k] * (vote[j] < 0)
             for k in kinds:
-                blames[k][j] = min(max(bad[k] / voted[k], SEES if k == j + 1 else 1e-4), FALSE_ALARM if k == 0 else 1 - 1e-4)
+                blames[k][j] = bad[k] / voted[k]
         for i, (vote, _) in enumerate(patterns):
             logs = [math.log((weight[k] + 1) / total) + sum(math.log(blames[k][j] if v < 0 else 1 - blames[k][j])
                                                            for j, v in enumerate(vote) if v) for k in kinds]
