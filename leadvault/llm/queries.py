@@ -107,6 +107,71 @@ QUERIES = {f.__name__: f for f in (op1_mixing, op2_licences, op3_suffix, op4_pac
 _SQL_TERMS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
               r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
 
+
+
+def _repair_sql() -> str:
+    """Conversations row by row: per grammar state the least (cost, audit) and the text said on the way."""
+    def edit(state, cost, letter, said):
+        return f"{{'c': st[{state + 1}].c + {cost}, 'a': st[{state + 1}].a || '{letter}', 't': st[{state + 1}].t || {said}}}"
+
+    def least(*ways):
+        return f"list_sort(list_filter([{', '.join(ways)}], lambda w: w IS NOT NULL))[1]"
+
+    def when(condition, way):
+        return f"CASE WHEN {condition} THEN {way} END"
+
+    def insert(of, said):
+        return f"{{'c': {of}.c + 3, 'a': {of}.a || 'I', 't': {of}.t || chr(10) || '{said}:'}}"
+
+    kept, live = "chr(10) || role || ':' || text", "NOT dead"
+    gone = [edit(k, 4, "D", "''") for k in range(4)]
+    keep = lambda initial, *states: [when(f"{live} AND initial = '{initial}'", edit(k, "extra", "K", kept)) for k in states]
+    rerole = lambda role, *states: [when(live, edit(k, "3 + extra", "R", f"chr(10) || '{role}:' || text")) for k in states]
+    moved = [gone[0], least(gone[1], *keep("s", 0)), least(gone[2], *keep("u", 0, 1, 3), *rerole("user", 0, 1, 3)),
+             least(gone[3], *keep("a", 2), *rerole("assistant", 2))]
+    user = least("st[3]", insert("st[1]", "user"), insert("st[2]", "user"), insert("st[4]", "user"))
+    closed = f"[st[1], st[2], u, {least('st[4]', insert('u', 'assistant'))}]"
+    far = "{'c': 1000000000, 'a': '', 't': ''}"
+    return rf"""
+        WITH RECURSIVE bits AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+            lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+        keyed AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(list_prepend(4294967295::BIGINT,
+                list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ascii(x)::BIGINT)),
+                lambda c, b: xor(t[1 + (xor(c, b) & 255)], c >> 8)), 4294967295) % 20 AS kind FROM conversations, bits),
+        damaged AS (
+            SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM keyed WHERE kind <> 0),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(role || chr(0) || text), copy) AS place,
+                regexp_extract(text, '([^ 	-])[ 	-]*$', 1) AS last FROM damaged),
+        faulted AS (
+            SELECT *, CASE WHEN last = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 THEN 'duplicate'
+                WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault, role[1] AS initial,
+                lag(role[1]) OVER (PARTITION BY conv_id ORDER BY place) AS before FROM placed),
+        counted AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+                count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+                count(*) FILTER (place > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM faulted GROUP BY conv_id),
+        rows_ AS (
+            SELECT conv_id, place, role, text, initial, fault IN ('blank', 'duplicate') AS dead,
+                CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS extra FROM faulted),
+        way AS (
+            SELECT conv_id, 0::BIGINT AS place, [{{'c': 0, 'a': '', 't': ''}}, {far}, {{'c': 3, 'a': 'I', 't': chr(10) || 'user:'}},
+                {{'c': 6, 'a': 'II', 't': chr(10) || 'user:' || chr(10) || 'assistant:'}}] AS st FROM counted
+            UNION ALL
+            SELECT conv_id, place, {closed} AS st FROM (SELECT conv_id, place, st, {user} AS u FROM (
+                SELECT w.conv_id, r.place, [{", ".join(moved)}] AS st
+                FROM way w JOIN rows_ r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.place = w.place + 1))),
+        done AS (SELECT conv_id, {least("st[1]", "st[4]")} AS w FROM way QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY place DESC) = 1)
+        SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+            coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(w.c, 0)::BIGINT AS cost,
+            coalesce(w.a, '') AS audit, sha256(coalesce(substr(w.t, 2), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counted ON counted.conv_id IS NOT DISTINCT FROM o.conv_id
+        LEFT JOIN done ON done.conv_id IS NOT DISTINCT FROM o.conv_id"""
+
+
 #: Only where SQL can express the whole result.
 ORACLES = {
     "op9_search": """
@@ -151,4 +216,5 @@ ORACLES = {
         SELECT doc_id, coalesce(len(words), 0)::BIGINT AS n_words, coalesce(covered.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
             sha256(coalesce(names, '')) AS items_sha256, coalesce(covered.n, 0) > 0 AS contaminated
         FROM d LEFT JOIN covered USING (r) LEFT JOIN items USING (r)""",
+    "op13_conversations": _repair_sql(),
 }
