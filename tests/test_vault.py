@@ -6,7 +6,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from checks.inputs import frame
+from checks.inputs import frame, table
 from checks.staging import staged_ads, staged_contacts, staged_leads, staged_search
 from leadvault.operators import vault as dv
 from leadvault.operators import windows as W
@@ -210,3 +210,12 @@ def test_late_and_same_day_contacts_find_their_producer_link(spark):
     late = V.link_person_producer(contacts, early, False)
     first, then = ({r[0] for r in df.select(V.PERSON_PRODUCER).collect()} for df in (early, late))
     assert then and not first & then and first | then == whole
+
+
+def test_matches_read_contacts_once(spark, sf):
+    """The best rule per person needs no second pass over the contacts."""
+    from checks import QUERIES
+    plan = QUERIES["person_campaign_matches"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    customer = table(spark, sf, "customer").schema.names
+    scans = [line for line in plan.splitlines() if "Relation [" in line and f"{customer[0]}#" in line]
+    assert len(scans) == 1 and "WindowGroupLimit" in plan
