@@ -376,8 +376,7 @@ _HOT_EVENTS = """SELECT event_id, if(event_id % 3 = 0, 0, user_id) AS user_id, e
 def win_neighbours_of_hot_keys(spark, sf):
     """A third of the rows under one key on one day: buckets are cut where the data tell, inside the day too."""
     events = table(spark, sf, "events")
-    events.createOrReplaceTempView("events")
-    hot, bound = spark.sql(_HOT_EVENTS), max(50, events.count() // 20)
+    hot, bound = spark.sql(_HOT_EVENTS.replace("FROM events", "FROM {events}"), events=events), max(50, events.count() // 20)
     before = W.with_neighbour(hot, "user_id", ["day", "event_id"], "event_type", "before", False, bucket_rows=bound)
     return W.with_neighbour(before, "user_id", ["day", "event_id"], "event_type", "after", True, bucket_rows=bound).select("event_id", "before", "after")
 

@@ -172,7 +172,7 @@ _LAYER_ROWS = (
        + STG_AD_CAMPAIGNS + STG_SEARCH + HITS + PRODUCERS
        + "SELECT layer, step, 'success' AS status, n_rows FROM (" + "\n UNION ALL ".join(_LAYER_ROWS) + ")")
 def run_layers_(spark, sf):
-    """Three runs over what has arrived so far, load dates out of order. The result is the status of the last
+    """Three runs over what has arrived so far, load dates out of order, the first two up to the silver layer. The result is the status of the last
     one, with the rows of every model, which are those of one load of everything."""
     inputs = {n: frame(spark, sf, n) for n in ("contacts", "ad_campaigns", "ads_dim", "search_dim")}
     inputs |= {"leads": frame(spark, sf, "leads_by_quarter"), "insights": insights_log(spark, sf), "search_rows": search_log(spark, sf)}
@@ -182,5 +182,5 @@ def run_layers_(spark, sf):
     root = scratch_dir(spark, "layers")
     for k in range(3):
         arrived = {n: df.filter(_ARRIVED[n][k]) if k < 2 and n in _ARRIVED else df for n, df in inputs.items()}
-        status = run_layers(spark, arrived, root, AS_OF, dashboard_days=None, seeds={"nation": (seed, nations.schema)})
+        status = run_layers(spark, arrived, root, AS_OF, dashboard_days=None, seeds={"nation": (seed, nations.schema)}, gold=k == 2)
     return status.select("layer", "step", "status", "n_rows")

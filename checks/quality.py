@@ -160,5 +160,4 @@ def compare_by_key(spark, sf):
     orders = table(spark, sf, "orders")
     left = orders.select(F.expr("CASE WHEN o_custkey % 24 = 0 THEN NULL ELSE o_custkey END").alias("customer"),
                          F.col("o_orderstatus").alias("status"), F.col("o_orderkey").alias("number"))
-    orders.createOrReplaceTempView("compared_orders")
-    return Q.compare_by_key(left, spark.sql(_RIGHT.format("compared_orders")), "customer")
+    return Q.compare_by_key(left, spark.sql(_RIGHT.format("{orders}"), orders=orders), "customer")

@@ -271,13 +271,14 @@ def load_step(run: Run, step: Step) -> DataFrame:
 
 
 def run_layers(spark: SparkSession, inputs: dict, root: str, as_of: str, extra_steps=(), dashboard_days: int | None = 30,
-               seeds: dict | None = None) -> DataFrame:
+               seeds: dict | None = None, gold: bool = True) -> DataFrame:
     """Load every layer below ``root`` and return one status row per step, with the rows its model has.
 
     ``inputs`` maps names to frames; of the logs (``LOGS``) a run loads only the load dates that are new or have changed
     since the runs before, in whatever order dates arrive: runs over parts end in what one run over all gives. Dates are kept in
     ``marks`` once the layers that must not fail are loaded, so a run that died loads its window again; every load can be
-    repeated. ``seeds`` maps names to (CSV path, schema).
+    repeated. ``seeds`` maps names to (CSV path, schema). Without ``gold`` a run ends with the silver layer, as for
+    loads that come more often than the dashboard is read.
 
     Each model is written as a table and read back, so a later step starts from files instead of recomputing what
     came before, and a lost executor costs only its own tasks. Models that do not rest on each other are loaded at the same
@@ -326,9 +327,15 @@ def run_layers(spark: SparkSession, inputs: dict, root: str, as_of: str, extra_s
     with ThreadPoolExecutor(AT_ONCE) as pool:  # small tables leave most of a cluster idle
         status += pool.map(lambda name: attempt("seeds", name, lambda: seed(name)), seeds or {})
         for wave in [*steps(dashboard_days), *[[step] for step in extra_steps]]:
-            if not kept and wave[0].layer not in CRITICAL:
-                marks.write.mode("append").parquet(f"{root}/marks")
-                kept = True
+            if wave[0].layer not in CRITICAL:
+                if not gold:
+                    continue
+                if not kept:
+                    marks.write.mode("append").parquet(f"{root}/marks")
+                    kept = True
             status += pool.map(lambda step: attempt(step.layer, step.name, lambda: load(step)), wave)
-        status += pool.map(lambda test: attempt("test", *test), (("dq_report", report), ("failing_rows", failing)))
+        if not kept:
+            marks.write.mode("append").parquet(f"{root}/marks")
+        if gold:
+            status += pool.map(lambda test: attempt("test", *test), (("dq_report", report), ("failing_rows", failing)))
     return spark.createDataFrame(status, STATUS_SCHEMA)

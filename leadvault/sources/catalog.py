@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LAYERS = ("bronze", "silver", "gold", "seeds", "snapshots", "test_failures")
@@ -22,7 +23,8 @@ def ensure_layers(spark: SparkSession, env: str, location: str | None = None) ->
 
 
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
-    return spark.sql(f"SHOW TABLES IN {database}")
+    """The tables of a database, without the session's temporary views."""
+    return spark.sql(f"SHOW TABLES IN {database}").filter(~F.col("isTemporary"))
 
 
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType | str, partition_by=(), sort_by=(),
@@ -63,8 +65,6 @@ def add_columns(spark: SparkSession, table: str, columns: str) -> None:
 
 def alter_columns(df: DataFrame, add: dict | None = None, drop=(), rename: dict | None = None) -> DataFrame:
     """Shape of a path dataset after adding, dropping and renaming columns; the caller rewrites it."""
-    from pyspark.sql import functions as F
-
     df = df.drop(*drop).withColumnsRenamed(rename or {})
     return df.withColumns({n: F.lit(None).cast(t) for n, t in (add or {}).items()})
 
