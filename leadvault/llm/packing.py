@@ -25,13 +25,15 @@ OPEN_BINS = 1024
 #: Sequences' worth of tokens, and at most so many pieces, that are packed together.
 GROUP_SEQUENCES, GROUP_ROWS = 4096, 500_000
 END_ID = 1
-#: Words whose ids a worker remembers; when so many are known it starts anew.
-KNOWN_WORDS = 800_000
+#: Words whose ids a worker remembers: of so many last learned ones at least half, and those used since.
+KNOWN_WORDS = 1_200_000
+#: Characters of texts that are tokenised together.
+GROUP_CHARS = 1 << 20
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-class _Ids(dict):
-    """word (bytes) -> its ids as little-endian unsigned 32-bit numbers, tokenised when first asked for. `special`
+class _Ids:
+    """The ids of words as little-endian unsigned 32-bit numbers. Words not remembered are tokenised many at a time. `special`
     finds the names of the tokenizer's special tokens, `special_ids` has their ids."""
 
     def __init__(self, path: str):
@@ -44,31 +46,59 @@ class _Ids(dict):
         self.special_ids = {name: array("I", [k]).tobytes() for name, k in named.items()}
         longest = sorted(named, key=len, reverse=True)
         self.special = re.compile(f"({'|'.join(map(re.escape, longest))})" if longest else "((?!))")
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        self[word] = found = array("I", ids).tobytes()
-        return found
+        self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}  # the generation before: what is used of it moves on
+
+    def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """A dictionary with the ids of all the words."""
+        if len(self.known) + len(words) > KNOWN_WORDS // 2:
+            self.known, self.before = {}, self.known
+        known, before, new = self.known, self.before, []
+        for word in words:
+            if word not in known:
+                if (ids := before.get(word)) is not None:
+                    known[word] = ids
+                else:
+                    new.append(word)
+        found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
+        known.update(zip(new, (array("I", e.ids).tobytes() for e in found)))
+        return known
 
 
 _known = lru_cache(maxsize=2)(_Ids)
 _END = np.array([END_ID], "<u4").tobytes()
 
 
-def token_ids(text: str | None, path: str) -> np.ndarray:
-    """The ids (uint32) that the tokenizer gives the text with add_special_tokens=False, then END_ID; a null text
+def token_ids(texts: list[str | None], path: str) -> Iterator[np.ndarray]:
+    """Per text the ids (uint32) that the tokenizer gives it with add_special_tokens=False, then END_ID; a null text
     has END_ID only. The names of special tokens in a text, in their exact case, are those tokens. Between them the
     vocabulary lower-cases, drops white space and joins nothing across it, so the ids are those of the words in a
     row; words are cut at ASCII spaces, and other spaces stay inside them."""
-    known, out = _known(path), []
-    for k, part in enumerate(known.special.split(text or "")):
-        if k % 2:
-            out.append(known.special_ids[part])
-        else:
-            out += map(known.__getitem__, part.encode("utf-8", "replace").lower().split())
-    return np.frombuffer(b"".join([*out, _END]), "<u4")
+    ids = _known(path)
+    split = [[part if k % 2 else part.encode("utf-8", "replace").lower().split() for k, part in enumerate(ids.special.split(text or ""))]
+             for text in texts]
+    known = ids.learn({word for parts in split for words in parts[::2] for word in words})
+    for parts in split:
+        out = []
+        for k, part in enumerate(parts):
+            if k % 2:
+                out.append(ids.special_ids[part])
+            else:
+                out += map(known.__getitem__, part)
+        yield np.frombuffer(b"".join([*out, _END]), "<u4")
+
+
+def _groups(texts: Iterator[str | None]) -> Iterator[list[str | None]]:
+    """Runs of texts of about GROUP_CHARS characters."""
+    group, held = [], 0
+    for text in texts:
+        group.append(text)
+        held += len(text or "") + 1
+        if held >= GROUP_CHARS:
+            yield group
+            group, held = [], 0
+    if group:
+        yield group
 
 
 def pieces(docs: DataFrame, path: str, sequence: int = SEQUENCE) -> DataFrame:
@@ -79,8 +109,8 @@ def pieces(docs: DataFrame, path: str, sequence: int = SEQUENCE) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc, text in zip(batch.column(0), batch.column(1)):
-                tokens = token_ids(text.as_py(), path)
+            found = (tokens for group in _groups(text.as_py() for text in batch.column(1)) for tokens in token_ids(group, path))
+            for doc, tokens in zip(batch.column(0), found):
                 for piece, start in enumerate(range(0, len(tokens), sequence)):
                     part = tokens[start:start + sequence]
                     rows.append((doc.as_py(), piece, start, len(part), zlib.crc32(part)))
