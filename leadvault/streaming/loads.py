@@ -4,7 +4,8 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,33 +83,82 @@ def windowed_counts(stream: DataFrame, ts: str, width: str, *dims: str, lateness
     return counted.select(start.alias("window_start"), *dims, "n")
 
 
-def corrections_stream(stream: DataFrame, pk, event_col: str, order_by, lateness: str = "28 days") -> DataFrame:
+#: Keys of a stream are dealt into so many buckets, each with one state.
+STATE_BUCKETS = 1024
+
+
+def _key_text(stream: DataFrame, key: str) -> Column:
+    """A key column as text that tells its values apart; NULL stays NULL."""
+    kind = stream.schema[key].dataType
+    if isinstance(kind, T.BinaryType):
+        return F.hex(key)
+    if isinstance(kind, (T.StructType, T.ArrayType)):
+        return F.to_json(F.struct(key))
+    return (F.col(key) + F.lit(0).cast(kind) if isinstance(kind, (T.FloatType, T.DoubleType)) else F.col(key)).cast("string")
+
+
+def _superseded(rows: pd.DataFrame, order: list) -> pd.Series:
+    """Whether a row's order columns are no greater than those of the state beside it (``_was_<column>``)."""
+    less, same = pd.Series(False, rows.index), pd.Series(True, rows.index)
+    for c in order:
+        less |= same & (rows[c] < rows[f"_was_{c}"])
+        same &= rows[c] == rows[f"_was_{c}"]
+    return less | same
+
+
+def corrections_stream(stream: DataFrame, pk, event_col: str, order_by, lateness: str = "28 days", buckets: int = STATE_BUCKETS) -> DataFrame:
     """Rows that are the newest of their key so far: the first one of a key, and each later one that ``order_by`` puts above all
     before it. Copies and superseded rows are dropped, in whatever batch and order they arrive.
 
     The state of a key is the order columns of its newest row, kept until the watermark passes the row's event time by
     ``lateness``; rows of event times that are older than the watermark are dropped. Run in update mode into
-    ``upsert_stream``, whose newest row per key is then that of all rows. Order columns must not be NULL."""
+    ``upsert_stream``, whose newest row per key is then that of all rows. Order columns must not be NULL.
+
+    Keys are dealt into ``buckets`` by hash, and a bucket's keys are compared at once: one call per bucket and batch, not one per key.
+    The number of buckets is part of the checkpoint."""
     keys, order = ([pk] if isinstance(pk, str) else list(pk)), ([order_by] if isinstance(order_by, str) else list(order_by))
     rows = _watermarked(stream, event_col, lateness)
     wait = int(stream.sparkSession.sql(f"SELECT INTERVAL {lateness} AS i").select(
         (F.lit("1970-01-01").cast("timestamp_ntz") + F.col("i")).cast("timestamp").cast("long")).first()[0]) * 1000
-    state_schema = T.StructType([rows.schema[c] for c in order])
+    columns, ids = rows.columns, [f"_id_{k}" for k in keys]
+    was = {c: f"_was_{c}" for c in order}
 
     def newest(key, parts, state):
-        if state.hasTimedOut:
+        mark = state.getCurrentWatermarkMs()
+        known = pa.ipc.open_stream(bytes(state.get[0])).read_pandas() if state.exists else None
+        touched = None
+        if not state.hasTimedOut:
+            best = None
+            for part in parts:
+                part = part if best is None else pd.concat([best, part], ignore_index=True)
+                best = part.sort_values(order, kind="stable").drop_duplicates(ids, keep="last")
+            if known is not None:
+                both = best.merge(known, "left", ids, indicator=True)
+                touched = both.loc[both["_merge"] == "both", ids]
+                best = best[~((both["_merge"] == "both") & _superseded(both, order)).to_numpy()]
+            seen = best[event_col].map(lambda t: mark if pd.isna(t) else max(int(t.timestamp() * 1000), mark))
+            fresh = best[[*ids, *order]].rename(columns=was).assign(_until=seen.astype("int64") + wait)
+            if known is None:
+                known = fresh
+            elif len(fresh):
+                known = pd.concat([known, fresh], ignore_index=True).drop_duplicates(ids, keep="last", ignore_index=True)
+        stays = known["_until"] >= mark
+        if touched is not None and not stays.all():  # a key that was heard of in this batch ends with a later one
+            stays |= known[ids].merge(touched, "left", ids, indicator=True)["_merge"].eq("both").to_numpy()
+        known = known[stays].reset_index(drop=True)
+        if len(known):
+            sink = pa.BufferOutputStream()
+            table = pa.Table.from_pandas(known, preserve_index=False)
+            with pa.ipc.new_stream(sink, table.schema) as writer:
+                writer.write_table(table)
+            state.update((sink.getvalue().to_pybytes(),))
+            state.setTimeoutTimestamp(max(int(known["_until"].min()), mark + 1))
+        elif state.exists:
             state.remove()
-            return
-        batch = pd.concat(list(parts)).sort_values(order, kind="stable")
-        best = batch.iloc[[-1]]
-        rank = tuple(best[c].iloc[0] for c in order)
-        plain = tuple(x.to_pydatetime() if hasattr(x, "to_pydatetime") else x.item() if hasattr(x, "item") else x for x in rank)
-        if state.exists and plain <= state.get:
-            return
-        state.update(plain)
-        seen = int(best[event_col].iloc[0].timestamp() * 1000)
-        state.setTimeoutTimestamp(max(seen, state.getCurrentWatermarkMs()) + wait)
-        yield best
-
-    found = rows.groupBy(*keys).applyInPandasWithState(newest, rows.schema, state_schema, "update", "EventTimeTimeout")
+        if not state.hasTimedOut and len(best):
+            yield best[columns]
+
+    named = rows.withColumns({i: _key_text(rows, k) for i, k in zip(ids, keys)}).withColumn("_state", F.pmod(F.xxhash64(*ids), F.lit(buckets)))
+    found = named.groupBy("_state").applyInPandasWithState(
+        newest, rows.schema, "known binary", "update", "EventTimeTimeout")
     return found.withColumn(event_col, F.col(event_col).cast(stream.schema[event_col].dataType))
