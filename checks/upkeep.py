@@ -31,15 +31,20 @@ def compact_partitioned(spark, sf):
     return M.compact(spark, src, dst, partition_by=["o_orderstatus"])
 
 
+#: Order lines per file of each kind and flag, about.
+FILE_LINES = 1_000_000
+
+
 @check("compact_files", """SELECT l_returnflag, COUNT(*) AS n_rows, CAST(SUM(l_orderkey) AS BIGINT) AS keys,
   TRUE AS in_bounds, TRUE AS fewer_files, TRUE AS well_sized_kept FROM lineitem GROUP BY l_returnflag""")
 def compact_files(spark, sf):
-    """Order lines by return flag: every fourth in small files, half in one large file, the rest in files of the target size, which keep
+    """Order lines by return flag: every fourth in small files, half in large files, the rest in files of the target size, which keep
     their names. After two runs no folder has a large file, nor two small ones that would fit into one."""
     root = scratch_dir(spark, "files")
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice", "l_shipdate", "l_returnflag")
-    parts = {"large": (lines.filter("l_orderkey % 4 < 2"), 1), "well": (lines.filter("l_orderkey % 4 = 2"), 1),
-             "small": (lines.filter("l_orderkey % 4 = 3"), 12)}
+    each = -(-lines.count() // FILE_LINES)  # files grow in number, not in size
+    parts = {"large": (lines.filter("l_orderkey % 4 < 2"), each), "well": (lines.filter("l_orderkey % 4 = 2"), each),
+             "small": (lines.filter("l_orderkey % 4 = 3"), 12 * each)}
     written, files = {}, set()
     for name, (rows, count) in parts.items():
         rows.repartition(count).write.mode("append").partitionBy("l_returnflag").parquet(root)

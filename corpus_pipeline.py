@@ -37,7 +37,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """All rows, secrets in their texts replaced; n_chars follows the text."""
     ship_code(configure(spark))
     clean = secret_scan.redact(docs)
-    return clean.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns) if "n_chars" in docs.columns else clean
+    return clean.withColumn("n_chars", F.length("text").cast("long")).select([F.col(f"`{c}`") for c in docs.columns]) if "n_chars" in docs.columns else clean
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

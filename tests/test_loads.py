@@ -407,3 +407,36 @@ def test_ranges_bound_hot_keys(spark):
     frame = df.toPandas().sort_values(["k", "day", "id"])
     want = frame.assign(before=frame.groupby("k")["id"].shift())
     assert {r["id"]: r["before"] for r in got.collect()} == {i: None if np.isnan(b) else int(b) for i, b in zip(want["id"], want["before"])}
+
+
+def test_compaction_writes_one_file_per_task(spark):
+    """However many groups there are for the shuffle partitions: a task holds no second file, and has nothing to sort."""
+    root = scratch_dir(spark, "files")
+    spark.range(4000).withColumn("d", F.col("id") % 9).repartition(8, F.col("id") % 8).write.partitionBy("d").parquet(root)
+    sizes = [r["file_size"] for r in list_files(spark, root).collect()]
+    after = M.compact_files(spark, root, 3.5 * max(sizes) / M.MB)
+    new = [r["file_path"].rsplit("/", 1)[1] for r in after.collect() if "/part-s" in r["file_path"]]
+    tasks = [name.split("-")[2] for name in new]
+    assert len(new) == 9 and len(set(tasks)) == len(tasks)
+    assert [tuple(r) for r in spark.read.parquet(root).agg(F.count("*"), F.sum("id")).collect()] == [(4000, 3999 * 2000)]
+
+
+def test_shuffles_follow_the_size_of_the_input(spark):
+    from leadvault import session
+    name, before = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", {}
+    for key in (name, *session.TASK_SETTINGS):
+        before[key] = spark.conf.get(key, None)
+        spark.conf.unset(key)
+    try:
+        seen = []
+        for rows in (10, 2_000_000, 10):
+            path = scratch_dir(spark, "input")
+            spark.range(rows).select("id", F.xxhash64("id").alias("x")).write.parquet(path)
+            session.size_tasks(spark, path)
+            seen.append(int(spark.conf.get(name, "4")))
+        assert seen[0] == 4 and seen[1] > 4 and seen[2] == seen[1]
+        spark.conf.set(name, "3")  # somebody else's
+        assert session.size_tasks(spark, path).conf.get(name) == "3"
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
