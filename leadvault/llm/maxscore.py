@@ -49,37 +49,50 @@ def _top(scores: np.ndarray, ids: np.ndarray, top: int) -> np.ndarray:
     return kept[np.lexsort((ids[kept], -scores[kept]))][:top]
 
 
-def search(shard: np.ndarray, ids: np.ndarray, rows: np.ndarray, low: np.ndarray, high: np.ndarray, query: np.ndarray, own: int,
-           top: int) -> tuple[np.ndarray, np.ndarray]:
-    """(indexes, scores) of the best `top` columns of `shard` (terms x vectors, with their least and greatest values
-    per term) for `query`, the query's own row left out."""
-    bounds = np.abs(query) * (high - low)
-    terms = np.argsort(-bounds, kind="stable")
-    terms = terms[query[terms] != 0]
-    rest = np.concatenate([np.cumsum(bounds[terms][::-1])[::-1], [0]])  # what terms from here on can add
-    base = (np.where(query > 0, low, high) * query).sum()  # the score of a vector with least contributions
-    n = len(ids)
-    some = np.flatnonzero(rows[:4 * top] != own)
-    first = query @ shard[:, some] - base
-    needed = np.partition(first, len(first) - top)[len(first) - top] if len(first) >= top else -1
-    essential = int(np.searchsorted(-rest, -needed, side="right")) if needed >= 0 else len(terms)
-    essential = min(max(essential, 1), len(terms))
-
-    def added(term, of):
-        return query[term] * (of - (low[term] if query[term] > 0 else high[term]))
-
-    partial = np.zeros(n, shard.dtype)
-    for term in terms[:essential]:
-        partial += added(term, shard[term])
-    alive = np.flatnonzero(rows != own)
-    scores = partial[alive]
-    for at in range(essential, len(terms)):
-        if len(scores) > top:
-            needed = max(needed, np.partition(scores, len(scores) - top)[len(scores) - top])
-        stay = scores + rest[at] >= needed
-        alive, scores = alive[stay], scores[stay] + added(terms[at], shard[terms[at]][alive[stay]])
-    best = _top(scores, ids[alive], top)
-    return alive[best], scores[best] + base
+#: The share of the score needed that the terms left to probing can add: traversing a term together costs less than probing it.
+PROBED = 1 / 4
+#: Queries whose essential terms are traversed together.
+TOGETHER = 128
+
+
+def search(shard: np.ndarray, ids: np.ndarray, rows: np.ndarray, low: np.ndarray, high: np.ndarray, asked: np.ndarray, own: np.ndarray,
+           top: int):
+    """Per query (a column of `asked`) the (indexes, scores) of the best `top` columns of `shard` (terms x vectors, with their
+    least and greatest values per term), the query's own row left out. The essential terms of all these queries are
+    traversed at once, the others probed query by query."""
+    bounds = np.abs(asked) * (high - low)[:, None]
+    order = np.argsort(-bounds, axis=0, kind="stable")
+    sorted_bounds = np.take_along_axis(bounds, order, 0)
+    rest = np.vstack([np.cumsum(sorted_bounds[::-1], axis=0)[::-1], np.zeros((1, asked.shape[1]), bounds.dtype)])  # what terms from here on can add
+    base = (np.where(asked > 0, low[:, None], high[:, None]) * asked).sum(axis=0)  # the score of a vector with least contributions
+    some, width = min(4 * top, len(ids)), len(asked)
+    first = asked.T @ shard[:, :some] - base[:, None]
+    essential, needed = np.ones(len(own), np.int64), np.full(len(own), -1, bounds.dtype)
+    for k in range(len(own)):
+        scores = first[k][rows[:some] != own[k]]
+        terms = int((bounds[:, k] > 0).sum())
+        if len(scores) >= top:
+            needed[k] = np.partition(scores, len(scores) - top)[len(scores) - top]
+            terms = min(terms, int(np.searchsorted(-rest[:, k], -needed[k] * PROBED, side="right")))
+        essential[k] = min(max(terms, 1), width)
+    taken = np.zeros(asked.shape, asked.dtype)
+    np.put_along_axis(taken, order, np.where(np.arange(width)[:, None] < essential, np.take_along_axis(asked, order, 0), 0), 0)
+    partial = taken.T @ shard - (np.where(taken > 0, low[:, None], high[:, None]) * taken).sum(axis=0)[:, None]
+    for k in range(len(own)):
+        alive = np.flatnonzero(partial[k] + rest[essential[k], k] >= needed[k])
+        alive = alive[rows[alive] != own[k]]
+        scores = partial[k][alive]
+        for at in range(essential[k], width):
+            if not rest[at, k]:
+                break
+            if len(scores) > top:
+                needed[k] = max(needed[k], np.partition(scores, len(scores) - top)[len(scores) - top])
+            stay = scores + rest[at, k] >= needed[k]
+            term, alive, scores = order[at, k], alive[stay], scores[stay]
+            query = asked[term, k]
+            scores = scores + query * (shard[term, alive] - (low[term] if query > 0 else high[term]))
+        best = _top(scores, ids[alive], top)
+        yield alive[best], scores[best] + base[k]
 
 
 def _block(queries: pd.DataFrame, shard: pd.DataFrame, top: int) -> pd.DataFrame:
@@ -94,9 +107,11 @@ def _block(queries: pd.DataFrame, shard: pd.DataFrame, top: int) -> pd.DataFrame
     if reach * 4 < _EXACT:
         vectors, asked = vectors.astype(float), asked.astype(float)
     low, high = vectors.min(axis=1), vectors.max(axis=1)
-    for k, (own, query) in enumerate(zip(queries["row"], queries["vec_id"])):
-        at, scores = search(vectors, ids, rows, low, high, asked[:, k], own, top)
-        out.append(pd.DataFrame({"query": own, "query_id": query, "vec_id": ids[at], "score": scores.astype("int64")}))
+    owns, names = queries["row"].to_numpy(), queries["vec_id"].to_numpy()
+    for at in range(0, len(owns), TOGETHER):
+        found = search(vectors, ids, rows, low, high, asked[:, at:at + TOGETHER], owns[at:at + TOGETHER], top)
+        for own, query, (best, scores) in zip(owns[at:], names[at:], found):
+            out.append(pd.DataFrame({"query": own, "query_id": query, "vec_id": ids[best], "score": scores.astype("int64")}))
     return pd.concat(out)
 
 

@@ -381,6 +381,22 @@ def test_vote_estimates():
     assert weak_quality.estimate([]) == {}
 
 
+@pytest.mark.parametrize("kind, terms", [(float, 12), (np.int64, 12), (float, 0)])
+def test_search_takes_queries_together(kind, terms):
+    """Several queries at once find what each finds by itself; ties, null queries and vectors without a term too."""
+    rng = np.random.default_rng(5)
+    shard = (rng.integers(-9, 10, (terms, 400)) ** 3).astype(kind)
+    ids, rows = rng.permutation(400) // 2, np.arange(400)
+    asked = np.concatenate([shard[:, 390:], shard[:, :20], np.zeros((terms, 1), kind)], axis=1)
+    own = np.concatenate([rows[390:], rows[:20], [-1]])
+    low, high = (shard.min(axis=1), shard.max(axis=1)) if terms else (shard[:, 0], shard[:, 0])
+    found = list(maxscore.search(shard, ids, rows, low, high, asked, own, 20))
+    assert len(found) == len(own)
+    for k, (at, scores) in enumerate(found):
+        want = sorted((-s, i) for s, i, r in zip(asked[:, k] @ shard, ids, rows) if r != own[k])[:20]
+        assert [(-s, i) for s, i in zip(scores, ids[at])] == want
+
+
 def test_search(spark):
     rng = random.Random(4)
     rows = [(k, [rng.gauss(0, 1) for _ in range(rng.choice([8, 8, 5]))], 0) for k in range(300)]
