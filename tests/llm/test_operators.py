@@ -7,8 +7,10 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
+import zstandard
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -129,6 +131,42 @@ def test_column_bwt():
             assert common[n] == next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
 
 
+@pytest.mark.parametrize("narrow", [1 << 23, 0])
+def test_column_bwt_keys(narrow, monkeypatch):
+    """Keys of 32 and of 64 bits; strings that hold every byte, repeat, are empty or longer than a common prefix can tell."""
+    monkeypatch.setattr(suffix_dedup, "NARROW_ROWS", narrow)
+    rng = random.Random(2)
+    strings = [b"", bytes(range(256)), b"\xff" * 30, b"\0" * 9, *[b"a" * 300] * 2, *[bytes(rng.choice(b"ab\xff") for _ in range(40)) for _ in range(6)]]
+    string, offset, common = suffix_dedup.column_bwt(strings)
+    got = [(strings[i][k:], i) for i, k in zip(string, offset)]
+    assert got == sorted((s[k:], i) for i, s in enumerate(strings) for k in range(len(s) + 1))
+    for n, ((a, _), (b, _)) in enumerate(zip(got, got[1:]), 1):
+        assert common[n] == min(255, next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b))))
+
+
+def test_suffix_dedup_batches(monkeypatch):
+    """Segments of many documents leave a worker together, as they are told one document at a time."""
+    rng = random.Random(3)
+    data = [words(rng, rng.randint(0, 120)).encode() for _ in range(40)]
+    told = pa.RecordBatch.from_arrays([pa.array(range(40), pa.int64()), pa.array([d.decode() for d in data])], ["row", "text"])
+    alone = [r for k in range(40) for b in suffix_dedup._anchors(iter([told.slice(k, 1)])) for r in b.to_pylist()]
+    got = list(suffix_dedup._anchors(iter([told.slice(0, 15), told.slice(15)])))
+    assert len(got) == 1 and got[0].to_pylist() == alone
+    wanted = [[{"minimizer": r["minimizer"], "place": r["place"], "n": k} for r in alone if r["row"] == k] for k in range(40)]
+    kind = pa.list_(pa.struct([("minimizer", pa.int64()), ("place", pa.int64()), ("n", pa.int64())]))
+    packed = pa.RecordBatch.from_arrays([told.column(0), pa.array([zstandard.compress(d) for d in data]), pa.array(wanted, kind)],
+                                        ["row", "packed", "wanted"])
+    want = []
+    for r in alone:
+        start, windows = r["place"] >> 8, r["place"] >> 1 & 127
+        want.append({"minimizer": r["minimizer"], "row": r["row"], "start": start, "content": data[r["row"]][start:start + windows + 99], "n": r["row"]})
+    for together in (1 << 15, 64):
+        monkeypatch.setattr(suffix_dedup, "ROWS_TOGETHER", together)
+        cut = list(suffix_dedup._cut(iter([packed.slice(0, 20), packed.slice(20), packed.slice(0, 0)])))
+        assert [r for b in cut for r in b.to_pylist()] == want
+        assert len(cut) == 3 if together > 64 else 3 < len(cut) < len(want)
+
+
 def base_spans(text):
     found = []
     for order, (kind, pattern, flags, group, least) in enumerate([
