@@ -125,7 +125,9 @@ def top_k(spark: SparkSession, queries: DataFrame, vectors: DataFrame, top: int
     deal = F.xxhash64("row")
     asked = queries.withColumn("block", F.pmod(deal, F.lit(blocks))).withColumn(
         "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
-    held = vectors.withColumn("shard", F.pmod(deal, F.lit(shards))).withColumn(
+    # Columns of their own: where both sides of the cogroup are of one table, Spark mixes up what they share.
+    own = vectors.select(*[F.col(c).alias(c) for c in ("row", "vec_id", "weights")])
+    held = own.withColumn("shard", F.pmod(deal, F.lit(shards))).withColumn(
         "block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
     found = asked.groupBy("shard", "block").cogroup(held.groupBy("shard", "block")).applyInPandas(
         lambda q, v: _block(q, v, top), "query long, query_id long, vec_id long, score long")

@@ -435,6 +435,14 @@ def test_search_takes_queries_together(kind, terms):
         assert [(-s, i) for s, i in zip(scores, ids[at])] == want
 
 
+def test_search_is_counted(spark):
+    """Queries and candidates come from one table; what the caller reads of the result does not matter."""
+    rng = random.Random(6)
+    df = ship_code(spark).createDataFrame([(k, [rng.gauss(0, 1) for _ in range(8)]) for k in range(60)], "vec_id long, embedding array<float>")
+    assert maxscore.nearest(spark, df, 20).count() == 60
+    assert {r[0] for r in maxscore.nearest(spark, df, 20).select("query_id").collect()} == {0, 20, 40}
+
+
 def test_search(spark):
     rng = random.Random(4)
     rows = [(k, [rng.gauss(0, 1) for _ in range(rng.choice([8, 8, 5]))], 0) for k in range(300)]
