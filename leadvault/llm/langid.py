@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leadvault.llm.common import by_place
+
 UNKNOWN = "und"
 #: Labelled documents per language that the model is fitted on (expected number, drawn by hash).
 TRAIN_DOCS = 4000
@@ -254,6 +256,6 @@ def accepted(docs: DataFrame, model: Model, least: float = 0.4) -> DataFrame:
         for batch in batches:
             texts = batch.column(text).to_pylist()
             shares = [x for group in _groups(texts, model) for x in infer(group, model, background=True)]
-            yield batch.filter(pa.array([good(s) for s in shares], pa.bool_()))
+            yield batch.filter(pa.array([good(s) for s in shares], pa.bool_())).rename_columns(names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return by_place(docs).mapInArrow(run, docs.schema)

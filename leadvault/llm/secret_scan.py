@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadvault.llm.automaton import compile_rules, linked_rows
+from leadvault.llm.common import by_place
 
 
 @dataclass(frozen=True)
@@ -174,4 +175,4 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[secre
             texts = pa.array([cleaned(t.as_py()) for t in batch.column(text)], pa.string())
             yield pa.RecordBatch.from_arrays([texts if k == text else batch.column(k) for k in range(len(names))], names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return by_place(docs).mapInArrow(run, docs.schema)
